@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import jaccard_join, line_crf, line_dedup, prefix_tokens, pu_quality, repeats, toxic_grammar
+from starloom.llm import jaccard_join, license_scan, line_crf, line_dedup, piece_lattice, prefix_tokens, pu_quality, repeats, toxic_grammar
 from starloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -34,6 +34,10 @@ def op4_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"), piece_table())
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,10 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(repeats.without_repeats(table(spark, sf_dir, "documents")))
 
 
+def op8_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.document_digests(table(spark, sf_dir, "documents"), piece_table())
+
+
 def op9_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxic_grammar.score(docs, toxic_grammar.train(docs, table(spark, sf_dir, "labels")))
@@ -55,8 +63,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op3_pu_quality": op3_pu_quality,
     "op4_prefix_tokens": op4_prefix_tokens,
+    "op5_license_scan": op5_license_scan,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_repeats": op7_repeats,
+    "op8_piece_lattice": op8_piece_lattice,
     "op9_toxic_grammar": op9_toxic_grammar,
     "op10_line_dedup": op10_line_dedup,
 }
