@@ -150,17 +150,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a copy in the folder that all executors share."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="starloom-")  # one machine: a session in a test
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; only a session on one machine, as in tests, may do without it."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    import tempfile
+
+    return tempfile.mkdtemp(prefix="starloom-")
+
+
 def crc_fold(column: str, n: int) -> F.Column:
     return F.crc32(F.col(column).cast("string")) % n
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import jaccard_join, license_scan, line_crf, line_dedup, piece_lattice, prefix_tokens, pu_quality, repeats, toxic_grammar
+from starloom.llm import jaccard_join, latent_decontam, license_scan, line_crf, line_dedup, piece_lattice, prefix_tokens, pu_quality, repeats, toxic_grammar
 from starloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -25,6 +25,10 @@ def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.verdicts(line_crf.label_lines(docs, line_crf.train(docs, table(spark, sf_dir, "labels"))))
 
 
+def op2_latent_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pu_quality.score(docs, pu_quality.train(docs, table(spark, sf_dir, "labels")))
@@ -61,6 +65,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
+    "op2_latent_decontam": op2_latent_decontam,
     "op3_pu_quality": op3_pu_quality,
     "op4_prefix_tokens": op4_prefix_tokens,
     "op5_license_scan": op5_license_scan,

@@ -214,3 +214,16 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, folds: int
 
     scored = id_text(docs).mapInArrow(run, "doc_id long, score double, predicted int, n_clauses long")
     return scored.select("doc_id", F.coalesce(crc_fold("doc_id", folds) == held, F.lit(False)).alias("held_out"), "score", "predicted", "n_clauses")
+
+
+def without_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs whose text scores below the threshold, all columns as they are; null texts stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Finder(model.lexicon)
+        for batch in batches:
+            got = [own.scores(t) if t else [] for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            z = np.array([model.bias + model.best * max(s, default=0.0) + model.total * math.log1p(sum(s)) for s in got])
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
