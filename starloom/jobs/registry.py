@@ -1,6 +1,8 @@
-"""Registered queries over the reference's data work, and their SQL."""
+"""All registered queries over the reference's data work, and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from starloom.jobs import sky_queries, stream_queries
+from starloom.jobs.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "sky_queries", "stream_queries"]
