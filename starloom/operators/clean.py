@@ -7,22 +7,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from starloom.functions.flags import COSMIC_RAY, GAP
 
 KEYS = ("obs_id", "chunk_index", "det_idx")
-_by = Window.partitionBy(*KEYS).orderBy("sample_idx")
-_before = _by.rowsBetween(Window.unboundedPreceding, -1)
-_after = _by.rowsBetween(1, Window.unboundedFollowing)
-_whole = Window.partitionBy(*KEYS)
+
+def _whole() -> WindowSpec:
+    return Window.partitionBy(*KEYS)
+
+
+def _by() -> WindowSpec:
+    return _whole().orderBy("sample_idx")
+
+
+def _before() -> WindowSpec:
+    return _by().rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _after() -> WindowSpec:
+    return _by().rowsBetween(1, Window.unboundedFollowing)
 
 
 def gap_runs(tod: DataFrame) -> DataFrame:
     """One row for each run of missing samples: first and last sample and the length."""
-    edge = F.when(F.col("signal").isNull() & (F.lag("signal").over(_by).isNotNull() | (F.row_number().over(_by) == 1)), 1).otherwise(0)
-    runs = tod.withColumn("__e", edge).withColumn("__run", F.sum("__e").over(_by)).where("signal is null")
+    edge = F.when(F.col("signal").isNull() & (F.lag("signal").over(_by()).isNotNull() | (F.row_number().over(_by()) == 1)), 1).otherwise(0)
+    runs = tod.withColumn("__e", edge).withColumn("__run", F.sum("__e").over(_by())).where("signal is null")
     return runs.groupBy(*KEYS, "__run").agg(F.min("sample_idx").alias("first_sample"), F.max("sample_idx").alias("last_sample"), F.count("*").alias("n")).drop("__run")
 
 
@@ -59,9 +70,9 @@ def fill_gaps(tod: DataFrame, min_cubic: int = 4, noise: DataFrame | None = None
     i = F.col("__p")
     at = F.when(F.col("signal").isNotNull(), F.struct(i.alias("p"), F.col("signal").alias("y")))
     # each sample carries the valid sample before and after it, which give the second ones at a gap's edge
-    placed = own.withColumn("__p", F.row_number().over(_by)).withColumn("__v", at)
-    near = placed.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before), "__r": F.first("__v", ignorenulls=True).over(_after)})
-    second = near.withColumns({"__ll": F.last(F.when(F.col("__v").isNotNull(), F.struct("__l")), ignorenulls=True).over(_before)["__l"], "__rr": F.first(F.when(F.col("__v").isNotNull(), F.struct("__r")), ignorenulls=True).over(_after)["__r"]})
+    placed = own.withColumn("__p", F.row_number().over(_by())).withColumn("__v", at)
+    near = placed.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before()), "__r": F.first("__v", ignorenulls=True).over(_after())})
+    second = near.withColumns({"__ll": F.last(F.when(F.col("__v").isNotNull(), F.struct("__l")), ignorenulls=True).over(_before())["__l"], "__rr": F.first(F.when(F.col("__v").isNotNull(), F.struct("__r")), ignorenulls=True).over(_after())["__r"]})
     l1, r1, l2, r2 = (F.col(c) for c in ("__l", "__r", "__ll", "__rr"))
     pt = lambda s: (s["p"], s["y"])
     straight = _line(i, *pt(l1), *pt(r1))
@@ -87,11 +98,11 @@ def flag_cosmic_rays(tod: DataFrame, sigma: float = 3.5, max_width: int = 5, pad
     samples.  Groups that still have missing samples, or would keep fewer than two good ones, are left alone.
     """
     own = tod if "clean_flags" in tod.columns else tod.withColumn("clean_flags", F.lit(0))
-    d = own.withColumns({"__d": F.col("signal") - F.lag("signal").over(_by), "__s": F.stddev_pop("signal").over(_whole) * sigma, "__miss": F.max(F.when(F.col("signal").isNull(), 1).otherwise(0)).over(_whole)})
-    fall = F.max(F.when(F.col("__d") < -F.col("__s"), 1).otherwise(0)).over(_by.rowsBetween(0, max_width))
+    d = own.withColumns({"__d": F.col("signal") - F.lag("signal").over(_by()), "__s": F.stddev_pop("signal").over(_whole()) * sigma, "__miss": F.max(F.when(F.col("signal").isNull(), 1).otherwise(0)).over(_whole())})
+    fall = F.max(F.when(F.col("__d") < -F.col("__s"), 1).otherwise(0)).over(_by().rowsBetween(0, max_width))
     d = d.withColumn("__spike", F.when((F.col("__miss") == 0) & (F.col("__d") > F.col("__s")) & (fall == 1), 1).otherwise(0))
-    d = d.withColumn("__hit", F.max("__spike").over(_by.rowsBetween(-(max_width + pad), pad)))
-    d = d.withColumn("__good", F.sum(1 - F.col("__hit")).over(_whole))
+    d = d.withColumn("__hit", F.max("__spike").over(_by().rowsBetween(-(max_width + pad), pad)))
+    d = d.withColumn("__good", F.sum(1 - F.col("__hit")).over(_whole()))
     bit = F.when((F.col("__hit") == 1) & (F.col("__good") >= 2), COSMIC_RAY).otherwise(0)
     return d.withColumn("clean_flags", F.col("clean_flags").bitwiseOR(bit)).drop("__d", "__s", "__miss", "__spike", "__hit", "__good")
 
@@ -99,9 +110,9 @@ def flag_cosmic_rays(tod: DataFrame, sigma: float = 3.5, max_width: int = 5, pad
 def interp_flagged(tod: DataFrame, bit: int = COSMIC_RAY) -> DataFrame:
     """Samples with the bit take the line between their good neighbours, or the nearest good value at the ends."""
     bad = F.col("clean_flags").bitwiseAND(F.lit(bit)) != 0
-    d = tod.withColumn("__p", F.row_number().over(_by))
+    d = tod.withColumn("__p", F.row_number().over(_by()))
     d = d.withColumn("__v", F.when(~bad, F.struct(F.col("__p").alias("p"), F.col("signal").alias("y"))))
-    d = d.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before), "__r": F.first("__v", ignorenulls=True).over(_after)})
+    d = d.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before()), "__r": F.first("__v", ignorenulls=True).over(_after())})
     line = _line(F.col("__p"), F.col("__l.p"), F.col("__l.y"), F.col("__r.p"), F.col("__r.y"))
     return d.withColumn("signal", F.when(~bad, F.col("signal")).otherwise(F.coalesce(line, F.col("__l.y"), F.col("__r.y"), F.col("signal")))).drop("__p", "__v", "__l", "__r")
 
