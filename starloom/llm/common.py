@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -25,13 +26,20 @@ _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+BATCH_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the input; texts go to Python in batches of at most BATCH_BYTES, whatever their rows' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_text(docs: DataFrame) -> DataFrame:
     """(doc_id, text) of a documents table, whatever else it carries; a null text counts as empty."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # a needless alias would keep Spark from seeing that two joins read the same exchange
+    doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType == LongType() else F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(doc_id, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -39,7 +47,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = offsets_of(batch.column(column))[1:]
+        texts = batch.column(column)
+        if texts.null_count:
+            texts = texts.fill_null("")
+        ends = offsets_of(texts)[1:]
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
@@ -103,9 +114,23 @@ def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((total[end] - total[start]) * down[start])
 
 
-def split_words(column: pa.Array) -> Spans:
-    """The words of every row of a string column without nulls."""
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_FOLD[[*b".,!?;:\"'()[]"]] = 32
+
+
+def fold(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with ASCII punctuation as spaces, and ASCII and Latin-1 letters in lower case."""
+    out = _FOLD[data]
+    upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    out[upper] += 32
+    return out
+
+
+def split_words(column: pa.Array, folded: bool = False) -> Spans:
+    """The words of every row of a string column without nulls, as they are or in lower case without punctuation."""
     data, off = bytes_of(column), offsets_of(column)
+    data = fold(data) if folded else data
     n = len(data)
     if not n:
         empty = np.zeros(0, dtype=np.int64)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Spans, as_list, id_text, signed, slices, split_words, windows
+from starloom.llm.common import Spans, as_list, id_text, mix, signed, slices, split_words, windows
 from starloom.llm.text_stats import words_in
 
 LENGTH, SEED = 13, 5
@@ -61,7 +61,7 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         size = np.diff(np.append(start, len(h)))
         alone, many = start[size == 1], start[size > 1]
-        ids, ths = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("th").to_numpy()
+        ids, ths = batch.column("doc_id").to_numpy(), batch.column("th").to_numpy()
         known = np.repeat(size > 1, size)
         back = np.argsort(row[known], kind="stable")
         who, what = row[known][back], h[known][back]
@@ -70,24 +70,25 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, m, k = len(alone), len(many), len(has)
         yield pa.record_batch(
             [
-                pa.array(np.concatenate([signed(h[alone]), signed(h[many]), np.zeros(k, np.int64)]), mask=np.concatenate([np.zeros(n + m, bool), np.ones(k, bool)])),
+                pa.array(np.concatenate([signed(h[alone]), signed(h[many]), signed(mix(has.astype(np.uint64) ^ ids[has].view(np.uint64)))])),
                 pa.array(np.concatenate([ids[row[alone]], np.zeros(m), ids[has]]).astype(np.int64), mask=np.concatenate([np.zeros(n, bool), np.ones(m, bool), np.zeros(k, bool)])),
-                pa.array(np.concatenate([ths[row[alone]], np.zeros(m, np.int64), ths[has]])),
-                as_list(signed(what), np.concatenate([np.zeros(n + m, np.int64), bounds]), pa.int64()),
+                pa.array(np.concatenate([ths[row[alone]], np.zeros(m, np.int32), ths[has]]).astype(np.int32)),
+                _told(signed(what), n + m, bounds, pa.int64()),
             ],
             names=["seed", "doc_id", "th", "known"],
         )
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w1, w2, doc_id, th, at): windows round shared seeds, each from its least document in the slice;
-    and (doc_id, th, known): starts of windows that a smaller document of the slice has as well."""
+    """(seed, doc_id, th, at, wins): hashes of the windows in a row that own a shared seed, for windows of which
+    the row's document is the least of the slice; and (doc_id, th, known): starts of windows that a smaller
+    document of the slice has as well."""
     for batch in slices(batches, limit=JOIN_SLICE):
         words = split_words(batch.column("text"))
         at, h = seeds_of(words)
         if not len(at):
             continue
-        w1, w2 = windows(words, LENGTH)[1], windows(words, LENGTH, salt=1)[1]
+        win = windows(words, LENGTH, salt=1)[1]
         shared = batch.column("seeds")
         lens = np.diff(np.asarray(shared.offsets))
         values = np.asarray(shared.flatten()).view(np.uint64)
@@ -95,55 +96,66 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a seed of one row may be shared only there: pair it with its row
         own, theirs = _pair(h, row), _pair(values, np.repeat(np.arange(len(lens)), lens))
         hit = np.isin(own, theirs)
-        at, row, w1, w2 = at[hit], row[hit], w1[hit], w2[hit]
+        at, row, h, win = at[hit], row[hit], h[hit], win[hit]
         if not len(at):
             continue
         ids, ths = batch.column("doc_id").to_numpy(), batch.column("th").to_numpy()
-        doc = ids[row]
-        order = np.lexsort((at, doc, w2, w1))
-        a, b, d, r, p = w1[order], w2[order], doc[order], row[order], (at - words.bounds[row])[order]
+        doc, place = ids[row], at - words.bounds[row]
+        order = np.lexsort((doc, win, h))
+        a, b, d = h[order], win[order], doc[order]
         fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        group = np.cumsum(fresh) - 1
-        least = d[np.flatnonzero(fresh)][group]
-        sure = d > least
-        back = np.argsort(r[sure], kind="stable")
-        who, what = r[sure][back], p[sure][back]
+        sure = np.zeros(len(order), dtype=bool)
+        sure[order] = d > d[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        who, what = row[sure], place[sure]
         has = np.unique(who)
-        bounds = np.searchsorted(who, np.append(has, len(ids)))
         ask = ~sure
-        n, k = int(ask.sum()), len(has)
-        none = np.concatenate([np.zeros(n, bool), np.ones(k, bool)])
-        pad = np.zeros(k, np.int64)
+        seed, r, p, w = h[ask], row[ask], place[ask], win[ask]
+        first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (seed[1:] != seed[:-1]) | (p[1:] != p[:-1] + 1)])) if len(r) else np.zeros(0, np.int64)
+        n, k = len(first), len(has)
         yield pa.record_batch(
             [
-                pa.array(np.concatenate([signed(a[ask]), pad]), mask=none), pa.array(np.concatenate([signed(b[ask]), pad])), pa.array(np.concatenate([d[ask], ids[has]])), pa.array(np.concatenate([ths[r[ask]], ths[has]])),
-                pa.array(np.concatenate([p[ask], pad]), pa.int32()), as_list(what, np.concatenate([np.zeros(n, np.int64), bounds]), pa.int32()),
+                pa.array(np.concatenate([signed(seed[first]), signed(mix(has.astype(np.uint64) ^ ids[has].view(np.uint64)))])), pa.array(np.concatenate([ids[r[first]], ids[has]])), pa.array(np.concatenate([ths[r[first]], ths[has]]).astype(np.int32)),
+                pa.array(np.concatenate([p[first], np.zeros(k, np.int64)]), pa.int32()), as_list(signed(w), np.concatenate([first, np.full(k + 1, len(w))]), pa.int64()), _told(what, n, np.searchsorted(who, np.append(has, len(ids))), pa.int32()),
             ],
-            names=["w1", "w2", "doc_id", "th", "at", "known"],
+            names=["seed", "doc_id", "th", "at", "wins", "known"],
         )
 
 
+def _told(values: np.ndarray, nulls: int, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A list column: null for the first rows, then values[bounds[i]:bounds[i + 1]]."""
+    offsets = pa.array(np.concatenate([np.zeros(nulls, np.int64), bounds]), pa.int32(), mask=np.concatenate([np.ones(nulls, bool), np.zeros(len(bounds), bool)]))
+    return pa.ListArray.from_arrays(offsets, pa.array(values, kind))
+
+
 def _pair(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return h ^ (row.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def repeat_starts(docs: DataFrame) -> DataFrame:
     """doc_id, th, starts array<int>: word indexes at which a window starts that also starts in a
-    smaller document.  th is xxhash64(text), so rows that share a doc_id stay apart."""
+    smaller document.  th is a hash of the text, so rows that share a doc_id stay apart."""
     texts = _texts(docs)
-    # a null doc_id is smaller than nothing and nothing is smaller: such rows keep all words
-    rows = texts.where("doc_id is not null").mapInArrow(_seed_rows, "seed long, doc_id long, th long, known array<long>")
-    met = rows.where("seed is not null").withColumn("n", F.count("*").over(Window.partitionBy("seed"))).where("n > 1 and doc_id is not null").groupBy("doc_id", "th").agg(F.collect_list("seed").alias("known"))
-    told = rows.where("seed is null").select("doc_id", "th", "known")
-    shared = met.unionByName(told).groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list("known"))).alias("seeds"))
-    found = texts.join(shared, ["doc_id", "th"]).select("doc_id", "th", "text", "seeds").mapInArrow(_window_rows, "w1 long, w2 long, doc_id long, th long, at int, known array<int>")
-    least = found.where("w1 is not null").withColumn("least", F.min("doc_id").over(Window.partitionBy("w1", "w2"))).where("least < doc_id").groupBy("doc_id", "th").agg(F.collect_list("at").alias("known"))
-    sure = found.where("w1 is null").select("doc_id", "th", "known")
-    return least.unionByName(sure).groupBy("doc_id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("known")))).alias("starts"))
+    # rows that tell what a slice has settled ride along under a key of their own
+    rows = texts.mapInArrow(_seed_rows, "seed long, doc_id long, th int, known array<long>")
+    met = F.count(F.when(F.col("known").isNull(), 1)).over(Window.partitionBy("seed"))
+    shared = _gathered(rows.withColumn("n", met).where("known is not null or (n > 1 and doc_id is not null)"), "seed").withColumnRenamed("all", "seeds")
+    found = texts.join(shared.hint("shuffle_hash"), ["doc_id", "th"]).select("doc_id", "th", "text", "seeds").mapInArrow(_window_rows, "seed long, doc_id long, th int, at int, wins array<long>, known array<int>")
+    # windows travel with their seed, some five to a row, and are taken apart where they meet
+    each = found.repartition("seed").select("seed", "doc_id", "th", "known", "at", F.posexplode_outer("wins").alias("i", "win")).withColumn("at", F.col("at") + F.col("i"))
+    least = F.min("doc_id").over(Window.partitionBy("seed", "win"))
+    return _gathered(each.withColumn("least", least).where("known is not null or (win is not null and least < doc_id)"), "at").select("doc_id", "th", F.array_sort("all").alias("starts"))
+
+
+def _gathered(rows: DataFrame, column: str) -> DataFrame:
+    """doc_id, th, all: the distinct values of a column and of the arrays in known, for each text."""
+    one = F.collect_list(F.when(F.col("known").isNull(), F.col(column)))
+    return rows.groupBy("doc_id", "th").agg(F.array_distinct(F.concat(one, F.flatten(F.collect_list("known")))).alias("all"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return id_text(docs).select("doc_id", F.xxhash64("text").alias("th"), "text")
+    """The rows that have a place in the order of documents, the same frame for both joins, which then share
+    one exchange of the texts (th is made not nullable, else the inner join would filter it apart)."""
+    return id_text(docs).select("doc_id", F.coalesce(F.pmod(F.xxhash64("text"), F.lit(1 << 15)), F.lit(0)).cast("int").alias("th"), "text").where("doc_id is not null")
 
 
 def spans_of(starts: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -179,7 +191,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 spans.append([x for r in runs for x in r])
             yield pa.record_batch([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.int32()))], names=["doc_id", "n_words", "n_removed", "kept_text", "spans"])
 
-    return _texts(docs).join(repeat_starts(docs), ["doc_id", "th"], "left").select("doc_id", "text", "starts").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, spans array<int>")
+    # a null doc_id is smaller than nothing, and nothing is smaller than it: such rows keep all words
+    apart = id_text(docs).where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<int>").alias("starts"))
+    placed = _texts(docs).join(repeat_starts(docs).hint("shuffle_hash"), ["doc_id", "th"], "left").select("doc_id", "text", "starts")
+    return placed.unionByName(apart).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, spans array<int>")
 
 
 def digests(kept: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 from starloom.llm.common import WORD
 
 words_in = re.compile(WORD).findall
-_has_word = re.compile(WORD).search
+has_word = re.compile(WORD).search
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -54,7 +54,7 @@ def base_counts(text: str) -> tuple[list[str], int, int, int, int]:
     if "\n" in text:
         for line in text.split("\n"):
             if line in seen:
-                dup += _has_word(line) is not None
+                dup += has_word(line) is not None
             else:
                 seen.add(line)
     return words, len(text) - sum(map(text.count, " \t\n\v\f\r")), symbols, dup, repeated_words(ids, len(number))
