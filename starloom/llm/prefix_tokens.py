@@ -13,8 +13,10 @@ those of their common beginnings.
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterator
+import string
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -51,6 +53,25 @@ def load_pieces(model_path: str, kind: str = "bpe") -> PieceTable:
     return PieceTable(tuple(sp.id_to_piece(i) for i in own), tuple(own), tuple(sp.get_score(i) for i in own), tuple(by.get(f"<0x{b:02X}>", -1) for b in range(256)), sp.unk_id(), kind)
 
 
+def word_pattern(pieces: tuple[str, ...]) -> str:
+    """A pattern for the words of a marked text: cuts only where no piece of the table reaches across.
+
+    That is before a run of marks, around a newline, and between punctuation that no piece joins to a letter
+    and characters that no piece joins to such punctuation.
+    """
+    beside = {pair for p in pieces for pair in itertools.pairwise(p)}
+    if any(b == MARK and a != MARK for a, b in beside):
+        return r"(?s).+"
+    cut = "" if any("\n" in pair for pair in beside) else "\n"
+    marks = set(string.punctuation) - {c for a, b in beside for c, d in ((a, b), (b, a)) if d.isalpha()}
+    joined = {d for a, b in beside for c, d in ((a, b), (b, a)) if c in marks and d not in marks and d != MARK}
+    q, j = (re.escape("".join(sorted(x))) for x in (marks, joined))
+    parts = [rf"{MARK}*[^{MARK}{cut}]+", rf"{MARK}+"] + (["\n"] if cut else [])
+    if marks:
+        parts = [rf"{MARK}*[^{MARK}{cut}{q}]++(?:(?<=[^{MARK}{cut}{q}{j}])|(?![^{MARK}{cut}]))", rf"{MARK}*[{q}]++" + (f"(?![{j}])" if joined else ""), *parts]
+    return "|".join(parts)
+
+
 class PrefixCounter:
     """Counts tokens of words and of each of their prefixes."""
 
@@ -63,11 +84,7 @@ class PrefixCounter:
         self._agree: dict[tuple[str, str], bool] = {}
         self.whole = {p: self._halves(p) for p in table.pieces}
         self.whole = {p: h for p, h in self.whole.items() if h is not None}
-        inner = {c for p in table.pieces if len(p) > 1 for c in p}
-        # a newline that is in no longer piece is a border on both sides
-        cut = "\n" if "\n" not in inner else ""
-        crossing = any(MARK in p.lstrip(MARK) for p in table.pieces)
-        self.chunk = re.compile(r"(?s).+" if crossing else rf"{MARK}*[^{MARK}{cut}]+|{MARK}+" + (r"|\n" if cut else ""))
+        self.chunk = re.compile(word_pattern(table.pieces))
         self.memo: dict[str, int] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -170,6 +187,18 @@ class PrefixCounter:
         return out
 
 
+_splitters: dict[PieceTable, Callable[[str], list[str]]] = {}
+
+
+def splitter(table: PieceTable) -> Callable[[str], list[str]]:
+    """Cuts texts into words that pieces cannot cross, without the tables that counting needs."""
+    if table not in _splitters:
+        _splitters.clear()
+        find = re.compile(word_pattern(table.pieces)).findall
+        _splitters[table] = lambda text: find(MARK + text.replace(" ", MARK)) if text else []
+    return _splitters[table]
+
+
 _counters: dict[PieceTable, PrefixCounter] = {}
 
 

@@ -60,7 +60,7 @@ def op9_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digests(line_dedup.without_repeated_lines(table(spark, sf_dir, "documents")))
+    return line_dedup.digests(line_dedup.cleaned_texts(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
