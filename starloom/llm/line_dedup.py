@@ -5,10 +5,10 @@ word put in, left out or exchanged) turns one into the other.  A line goes if an
 order of (doc_id, line number), is the same; lines are judged on the input.  Lines without a word stay.
 
 Every distinct line emits its own hash and that of the line less each one of its words; equal hashes
-meet in a join.  The edit is then verified: a variant at word i of one line must meet the whole of the
+meet in one group.  The edit is then verified: a variant at word i of one line must meet the whole of the
 other, or the variant at the same word i.  Before that, guards leave out lines that cannot meet
 any: two lines one edit apart share their first or their last half, so lines of which no half is
-found in another line emit no variants.  All hashes of whole lines and variants have 128 bits.
+found in another line emit no variants.  Whole lines have hashes of 128 bits, variants of 96.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.common import as_list, bytes_of, checkpoint, id_text, mix, offsets_of, signed, slices, split_words
+from starloom.llm.text_stats import has_word
 
 MIN_WORDS = 8
 _U = np.uint64
@@ -107,7 +109,8 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(v1, v2, at, doc_id, th, line): the whole line (at -1) and the line less its word ``at``."""
+    """(v1, v2, at, doc_id, th, line, told): the whole line (at -1) and the line less its word ``at``; told rows
+    name lines that the slice itself has shown to be repeats."""
     for batch in slices(batches):
         lines = lines_of(batch.column("text"))
         wanted = batch.column("lines")
@@ -127,38 +130,52 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             less = lines.span(s, a, a + at) + lines.span(s, a + at + 1, b) * s[1][at]
             out.append(np.concatenate([_sized(lines.span(s, first, last), n), _sized(less, n[owner] - 1)]))
         who = np.concatenate([np.arange(len(row)), owner])
+        spot = np.concatenate([np.full(len(row), -1), at])
+        v1, v2 = signed(out[0]), signed(out[1]) >> 32
         ids, ths = batch.column("doc_id").to_numpy(), batch.column("th").to_numpy()
+        # of the lines of a slice that agree without their word ``at``, the first speaks for all: the others go
+        order = np.lexsort((number[who], ids[row[who]], spot, v2, v1))
+        a, b, c = v1[order], v2[order], spot[order]
+        fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])]) | (c < 0)
+        ahead = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+        other = (ids[row[who[order]]] != ids[row[who[ahead]]]) | (number[who[order]] != number[who[ahead]])  # not the same place of a repeated row
+        keep, sure = order[fresh], np.unique(who[order[~fresh & other]])
+        told = np.concatenate([np.zeros(len(keep), bool), np.ones(len(sure), bool)])
+        who = np.concatenate([who[keep], sure])
+        own = signed(mix(number[sure].astype(np.uint64) ^ ids[row[sure]].view(np.uint64)))
+        none = np.zeros(len(sure), np.int64)
         yield pa.record_batch(
-            [pa.array(signed(out[0])), pa.array(signed(out[1])), pa.array(np.concatenate([np.full(len(row), -1), at]).astype(np.int32)), pa.array(ids[row[who]]), pa.array(ths[row[who]]), pa.array(number[who].astype(np.int32))],
-            names=["v1", "v2", "at", "doc_id", "th", "line"],
+            [pa.array(np.concatenate([v1[keep], own])), pa.array(np.concatenate([v2[keep], none]), pa.int32()), pa.array(np.concatenate([spot[keep], none - 2]).astype(np.int32)), pa.array(ids[row[who]]), pa.array(ths[row[who]]), pa.array(number[who].astype(np.int32)), pa.array(told)],
+            names=["v1", "v2", "at", "doc_id", "th", "line", "told"],
         )
 
 
+def _mark() -> Column:
+    """A short hash of the text, so that rows that share a doc_id stay apart."""
+    return F.coalesce(F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(1 << 15)), F.lit(0)).cast("int")  # not nullable: both joins read one exchange
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    return id_text(docs).select("doc_id", F.xxhash64("text").alias("th"), "text")
+    return id_text(docs).select("doc_id", _mark().alias("th"), "text").where("doc_id is not null")
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
     """doc_id, th, kept array<int>: numbers of the lines with a word that stay in each text."""
     texts = _texts(docs)
     place = F.struct("doc_id", "line", "th")
-    rows = texts.where("doc_id is not null").mapInArrow(_line_rows, "h1 long, h2 long, doc_id long, th long, line int, guards array<long>")
+    rows = texts.mapInArrow(_line_rows, "h1 long, h2 long, doc_id long, th int, line int, guards array<long>")
     distinct = checkpoint(rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("guards").alias("guards")).select("first.*", "guards"))
     guarded = distinct.select("doc_id", "th", "line", F.explode(F.array_distinct("guards")).alias("guard"))
     met = guarded.groupBy("guard").agg(F.count("*").alias("n")).where("n > 1").select("guard")
     likely = guarded.join(met, "guard").groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines"))
-    variants = texts.join(likely, ["doc_id", "th"]).select("doc_id", "th", "text", "lines").mapInArrow(_variant_rows, "v1 long, v2 long, at int, doc_id long, th long, line int")
-    variants = checkpoint(variants)
-    by_word = variants.groupBy("v1", "v2", "at").agg(F.min(place).alias("least"), F.count("*").alias("n"))
-    groups = (
-        by_word.groupBy("v1", "v2")
-        .agg(F.min(F.when(F.col("at") < 0, F.col("least"))).alias("whole"), F.min(F.when(F.col("at") >= 0, F.col("least"))).alias("less"), F.collect_list(F.struct("at", "least")).alias("each"), F.sum("n").alias("n"))
-        .where("n > 1")
-    )
-    mine = F.struct("doc_id", "line", "th")
-    same = F.element_at(F.filter("each", lambda e: e["at"] == F.col("at")), 1)["least"]
-    later = F.when(F.col("at") < 0, F.col("less") < mine).otherwise((F.col("whole") < mine) | (same < mine))
-    gone = variants.join(groups.drop("n"), ["v1", "v2"]).where(F.coalesce(later, F.lit(False))).select("doc_id", "th", "line").distinct()
+    variants = texts.join(likely.hint("shuffle_hash"), ["doc_id", "th"]).select("doc_id", "th", "text", "lines").mapInArrow(_variant_rows, "v1 long, v2 int, at int, doc_id long, th int, line int, told boolean")
+    # one exchange brings equal variants together; each line sees the first of those it may be matched with
+    group = Window.partitionBy("v1", "v2")
+    seen = variants.withColumns({
+        "whole": F.min(F.when(F.col("at") == -1, place)).over(group), "less": F.min(F.when(F.col("at") >= 0, place)).over(group), "same": F.min(place).over(Window.partitionBy("v1", "v2", "at")),
+    })
+    later = F.when(F.col("at") < 0, F.col("less") < place).otherwise((F.col("whole") < place) | (F.col("same") < place))
+    gone = seen.where(F.col("told") | F.coalesce(later, F.lit(False))).select("doc_id", "th", "line").distinct()
     return distinct.select("doc_id", "th", "line").join(gone, ["doc_id", "th", "line"], "left_anti").groupBy("doc_id", "th").agg(F.collect_set("line").alias("kept"))
 
 
@@ -170,14 +187,41 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     Rows without doc_id have no place in the order and stay as they are.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__th"), "text", F.struct(*others).alias("__rest") if others else F.lit(None).alias("__rest"))
-    kept = kept_lines(docs).select("doc_id", F.col("th").alias("__th"), F.col("kept").alias("__kept"))
-    split = F.split(F.col("text"), "\n")
-    joined = base.join(kept, ["doc_id", "__th"], "left").withColumn("__lines", F.transform(split, lambda line, i: F.struct(line.alias("line"), line.rlike(r"[^\x20\x09-\x0D]").alias("word"), i.alias("i"))))
-    stay = F.filter("__lines", lambda x: ~x["word"] | F.col("doc_id").isNull() | F.coalesce(F.array_contains("__kept", x["i"]), F.lit(False)))
-    n_lines, left = F.size(F.filter("__lines", lambda x: x["word"])), F.size(F.filter("__stay", lambda x: x["word"]))
-    out = joined.withColumn("__stay", stay).select("doc_id", F.array_join(F.transform("__stay", lambda x: x["line"]), "\n").alias("text"), F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"), F.coalesce(n_lines - left, F.lit(0)).cast("long").alias("n_removed"), "__rest")
-    return out.select("doc_id", "text", "n_lines", "n_removed", *(F.col("__rest")[c].alias(c) for c in others))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("th"), "text", F.struct(F.lit(0).alias("__"), *others).alias("rest"))
+    joined = base.join(kept_lines(docs).hint("shuffle_hash"), ["doc_id", "th"], "left").select("doc_id", "text", "kept", "rest")
+    schema = T.StructType([joined.schema["doc_id"], joined.schema["text"], T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()), joined.schema["rest"]])
+    return joined.mapInArrow(_kept_rows, schema).select("doc_id", "text", "n_lines", "n_removed", *(F.col("rest")[c].alias(c) for c in others))
+
+
+def cleaned_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text, n_lines, n_removed: the same without the other columns.
+
+    The texts are the frame that kept_lines() joins as well, so all joins read one exchange of them.
+    """
+    apart = id_text(docs).where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<int>").alias("kept"))
+    joined = _texts(docs).join(kept_lines(docs).hint("shuffle_hash"), ["doc_id", "th"], "left").select("doc_id", "text", "kept")
+    return joined.unionByName(apart).mapInArrow(_kept_rows, "doc_id long, text string, n_lines long, n_removed long")
+
+
+def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        out, n_lines, n_removed = [], [], []
+        for doc, text, kept in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("kept").to_pylist(), strict=True):
+            lines = text.split("\n") if text else []
+            stay = set(kept or ())
+            left, n, m = [], 0, 0
+            for i, line in enumerate(lines):
+                if has_word(line):
+                    n += 1
+                    if i not in stay and doc is not None:
+                        m += 1
+                        continue
+                left.append(line)
+            out.append("\n".join(left) if m else text)
+            n_lines.append(n)
+            n_removed.append(m)
+        rest = [batch.column("rest")] if "rest" in batch.schema.names else []
+        yield pa.record_batch([batch.column("doc_id"), pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), *rest], names=["doc_id", "text", "n_lines", "n_removed", "rest"][: 4 + len(rest)])
 
 
 def digests(cleaned: DataFrame) -> DataFrame:
