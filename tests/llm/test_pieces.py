@@ -82,3 +82,31 @@ def test_viterbi_fold_matches_the_library_on_a_unigram_table(spark, texts):
     for r in lattice.encode_documents(rows(spark, some), table).collect():
         want = other.encode(some[r.doc_id]) if r.doc_id < len(some) else []
         assert sum(score.get(i, 0) for i in r.ids) == pytest.approx(sum(score.get(i, 0) for i in want)) and (len(r.ids) == len(want) or r.ids != want)
+
+
+def test_digests_see_wrong_ids_their_order_and_marks_in_the_text(spark, monkeypatch):
+    from dataclasses import replace
+
+    table = piece_table()
+    texts = ["one two three two", "two one three two", "two three two one", "a▁b", "漢 one", "x" * 60 + " one", "q" * 60 + "𓀀"]
+
+    def digests(t):
+        return {r.doc_id: r for r in lattice.document_digests(rows(spark, texts), t).collect()}
+
+    for frequent in (40_000, 2):
+        monkeypatch.setattr(lattice, "FREQUENT", frequent)
+        got = digests(table)
+        assert [got[i].round_trip for i in range(7)] == [True] * 7
+        assert [got[i].exact for i in range(7)] == [True, True, True, False, True, True, True]
+        assert len({got[i].id_hash for i in range(3)}) == 3 and len({got[i].id_sum for i in range(3)}) == 1
+        want = got if frequent > 2 else want
+        assert {i: r.id_hash for i, r in got.items()} == {i: r.id_hash for i, r in want.items()}
+        # without byte pieces an unknown character is one id that spells nothing
+        assert not digests(replace(table, byte_ids=(-1,) * 256))[6].round_trip
+        # two ids that change places as the lattice is made, but not where ids are decoded
+        right = lattice.pieces_frame
+        a, b = (table.ids[table.pieces.index(p)] for p in ("▁one", "▁two"))
+        with monkeypatch.context() as m:
+            m.setattr(lattice, "pieces_frame", lambda s, t: right(s, replace(t, ids=tuple({a: b, b: a}.get(i, i) for i in t.ids))))
+            got = digests(table)
+        assert [got[i].round_trip for i in range(7)] == [False, False, False, True, False, False, True]
