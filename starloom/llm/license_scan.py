@@ -2,15 +2,17 @@
 
 A candidate block is the stretch of a line round words that only licence notices use.  Each block is
 compressed with zstandard on its own and with every template as a raw dictionary; templates are ranked by
-the bytes they save.  The best ones are then confirmed, or not, by the word differences between the
-template and the part of the block it fits best.
+the bytes they save.  Every template is then held against the block by word differences, save those of which the
+block lacks more words than there may be edits, and all fits that do not overlap are confirmed.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -39,7 +41,6 @@ CUES = re.compile(r"licen[sc]e|copyright|rights\s+reserved|permission\s+is\s+her
 HINTS = ("licen", "copyright", "rights", "permission", "redistribution", "commons", "cc by", "cc-by", "gpl", "waived")
 REACH = 24
 MAX_EDIT_SHARE = 0.15
-TRIED = 3
 
 _edge = re.compile(r"^\W+|\W+$")
 
@@ -70,16 +71,23 @@ def blocks_of(line: str) -> list[str]:
     return [line[spots[lo][0] : spots[hi][1]] for lo, hi in runs]
 
 
+def fits(template: list[str], block: list[str]) -> np.ndarray:
+    """For each end in the block, 0 to its length: least word edits to a stretch that ends there << 32 | its first word."""
+    number: dict[str, int] = {}
+    ids = np.array([number.setdefault(w, len(number)) for w in block], dtype=np.int64)
+    at = np.arange(len(block) + 1, dtype=np.int64)
+    row, step = at, at << 32
+    for t in template:
+        new = row + (1 << 32)
+        np.minimum(new[1:], row[:-1] + ((ids != number.get(t, -1)).astype(np.int64) << 32), out=new[1:])
+        row = np.minimum.accumulate(new - step) + step
+    return row
+
+
 def best_fit(template: list[str], block: list[str]) -> tuple[int, int, int]:
     """Least word edits between the template and any stretch of the block, and that stretch."""
-    row = [(0, j, j) for j in range(len(block) + 1)]
-    for i, t in enumerate(template, 1):
-        new = [(i, 0, 0)]
-        for j, w in enumerate(block, 1):
-            d, a, _ = min((row[j - 1][0] + (t != w), row[j - 1][1], 0), (row[j][0] + 1, row[j][1], 0), (new[j - 1][0] + 1, new[j - 1][1], 0))
-            new.append((d, a, j))
-        row = new
-    return min(row, key=lambda x: (x[0], x[2] - x[1]))
+    row = fits(template, block).tolist()
+    return min(((x >> 32, x & 0xFFFFFFFF, j) for j, x in enumerate(row)), key=lambda x: (x[0], x[2] - x[1]))
 
 
 class Scanner:
@@ -92,6 +100,7 @@ class Scanner:
         self.bare = z.ZstdCompressor(compression_params=own)
         self.primed = {k: z.ZstdCompressor(dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=own) for k, t in templates.items()}
         self.words = {k: normal(words_in(t)) for k, t in templates.items()}
+        self.counts = {k: Counter(ws) for k, ws in self.words.items()}
 
     def rank(self, block: str) -> list[tuple[int, str]]:
         """(bytes saved, template), most first; equal savings in order of name."""
@@ -99,36 +108,64 @@ class Scanner:
         alone = len(self.bare.compress(raw))
         return sorted(((alone - len(c.compress(raw)), k) for k, c in self.primed.items()), key=lambda x: (-x[0], x[1]))
 
-    def judge(self, block: str) -> tuple[str, int, int, list[str], bool]:
-        """(template, bytes saved, word edits, differing words, confirmed) for one block."""
+    def confirmed(self, words: list[str], saved: dict[str, int]) -> list[tuple[int, int, str, int]]:
+        """(first word, end, template, word edits) of fits that do not overlap, in order.
+
+        Fits with more of a template's words unchanged go first, then those with fewer edits and more bytes saved;
+        what they leave is searched again until nothing more is found.
+        """
+        found, gaps = [], [(0, len(words))]
+        while gaps:
+            lo, hi = gaps.pop()
+            part = words[lo:hi]
+            have, tried = Counter(part), []
+            for k, own in self.words.items():
+                most = int(MAX_EDIT_SHARE * len(own))
+                if sum((self.counts[k] - have).values()) > most:  # each word that the part lacks is an edit
+                    continue
+                row = fits(own, part)
+                for b in np.flatnonzero(row >> 32 <= most).tolist():
+                    edits, a = int(row[b]) >> 32, int(row[b]) & 0xFFFFFFFF
+                    tried.append((edits - len(own), edits, -saved[k], k, b - a, lo + a, lo + b))
+            taken: list[tuple[int, int]] = []
+            for _, edits, _, k, _, a, b in sorted(tried):
+                if all(b <= x or a >= y for x, y in taken):
+                    taken.append((a, b))
+                    found.append((a, b, k, edits))
+            if taken:
+                taken.sort()
+                gaps += [(x, y) for x, y in zip([lo, *(b for _, b in taken)], [*(a for a, _ in taken), hi], strict=True) if x < y]
+        return sorted(found)
+
+    def judge(self, block: str) -> list[tuple[int, str, int, int, list[str], bool]]:
+        """(first word or -1, template, bytes saved, word edits, differing words, confirmed) for each notice of a block, or for none."""
         words = normal(words_in(block))
         ranked = self.rank(block)
-        # templates that save as much as the TRIED-th are tried too
-        floor = ranked[min(TRIED, len(ranked)) - 1][0]
-        tried = []
-        for saved, k in ranked:
-            if saved < floor:
-                break
+        saved = {k: s for s, k in ranked}
+        found = [(a, a, b, k, edits, True) for a, b, k, edits in self.confirmed(words, saved)]
+        if not found:
+            k = ranked[0][1]
             edits, a, b = best_fit(self.words[k], words)
-            good = edits <= int(MAX_EDIT_SHARE * len(self.words[k]))
-            tried.append((not good, edits / len(self.words[k]) if good else 0.0, -len(self.words[k]) if good else 0, -saved, k, edits, a, b))
-        bad, _, _, saved, k, edits, a, b = min(tried)
-        differ = [f"-{w}" for w in self.words[k] if w not in words[a:b]] + [f"+{w}" for w in words[a:b] if w not in self.words[k]]
-        return k, -saved, edits, differ, not bad
+            found = [(-1, a, b, k, edits, False)]
+        out = []
+        for first, a, b, k, edits, good in found:
+            differ = [f"-{w}" for w in self.words[k] if w not in words[a:b]] + [f"+{w}" for w in words[a:b] if w not in self.words[k]]
+            out.append((first, k, saved[k], edits, differ, good))
+        return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """doc_id, line, block, license, bytes_saved, n_edits, differences, confirmed: one row for each block.
+    """doc_id, line, block, license, bytes_saved, n_edits, differences, confirmed: one row for each notice.
 
-    line counts the text's \\n-split lines from 0, block the blocks of a line.  Where no template is
-    confirmed, license is the one that saves most.  Null, empty and licence-free texts give no rows;
+    line counts the text's \\n-split lines from 0, block the blocks of a line; a block has a row for each template
+    that is confirmed.  Where none is, it has one row, and license is the one that saves most.  Null, empty and licence-free texts give no rows;
     repeated rows repeat theirs.  Ties of savings go by template name.
     """
     own_templates = TEMPLATES if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scanner(own_templates)
-        judged: dict[str, tuple] = {}
+        judged: dict[str, list[tuple]] = {}
         for batch in slices(batches):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -141,7 +178,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
                             if len(judged) > 50_000:
                                 judged.clear()
                             judged[block] = own.judge(block)
-                        rows.append((doc, i, j, *judged[block]))
+                        rows.extend((doc, i, j, *found) for _, *found in judged[block])
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_()), strict=True)], names=["doc_id", "line", "block", "license", "bytes_saved", "n_edits", "differences", "confirmed"])
 

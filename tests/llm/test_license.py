@@ -22,3 +22,23 @@ def test_ranking_is_by_bytes_saved_over_all_templates():
     ranked = own.rank("Licensed under CC BY-NC 4.0.")
     assert len(ranked) == len(scan.TEMPLATES) and ranked == sorted(ranked, key=lambda x: (-x[0], x[1]))
     assert scan.best_fit(["a", "b", "c"], ["x", "a", "q", "c", "y"]) == (1, 1, 4)
+
+
+def found(spark, texts, templates=None):
+    rows = scan.scan(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA).repartition(2), templates).collect()
+    return [sorted((r.line, r.license) for r in rows if r.doc_id == i and r.confirmed) for i in range(len(texts))]
+
+
+def test_each_notice_of_a_block_is_returned(spark):
+    texts = [
+        "Licensed under the Apache License, Version 2.0. All rights reserved.",
+        "Dual: Released under the MIT License. or Licensed under the Apache License, Version 2.0. and again Released under the MIT Licence.. Licensed under CC BY 4.0. All rights reserved.",
+    ]
+    assert found(spark, texts) == [
+        [(0, "Apache-2.0"), (0, "all-rights-reserved")],
+        [(0, "Apache-2.0"), (0, "CC-BY-4.0"), (0, "MIT"), (0, "all-rights-reserved")],
+    ]
+    # six templates that save more than the right one, none of which fits
+    long = {f"bad-{i}": "the copyright of each of these works by many hands stays for ever with those who made it " + f"z{i} y{i} x{i} w{i}" for i in range(6)}
+    text = "Copyright stays. the copyright of each of these works by many hands stays for ever with those who made it"
+    assert found(spark, [text], {**long, "right": "Copyright stays."}) == [[(0, "right")]]
