@@ -1,6 +1,6 @@
 """Licence notices by conditional compression.
 
-A candidate block is the stretch of a line round words that only licence notices use.  Each block is
+A candidate block is the stretch of a text, over line breaks, round words that only licence notices use.  Each block is
 compressed with zstandard on its own and with every template as a raw dictionary; templates are ranked by
 the bytes they save.  Every template is then held against the block by word differences, save those of which the
 block lacks more words than there may be edits, and all fits that do not overlap are confirmed.
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starloom.llm.common import id_text, slices
+from starloom.llm.common import WORD, id_text, slices
 from starloom.llm.text_stats import words_in
 
 #: Short notices as they are commonly printed.
@@ -36,25 +36,35 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "all-rights-reserved": "All rights reserved.",
 }
-CUES = re.compile(r"licen[sc]e|copyright|rights\s+reserved|permission\s+is\s+hereby|redistribution\s+and\s+use|creative\s+commons|\bCC[ -]BY|\bGPL|waived\s+all", re.I)
-#: Each match of CUES holds one of these in lower case, which are far quicker to look for.
-HINTS = ("licen", "copyright", "rights", "permission", "redistribution", "commons", "cc by", "cc-by", "gpl", "waived")
+CUES = re.compile(r"licen[sc]e|copyright|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|creative\W+commons|\bCC\W+BY|\bGPL|waived\W+all", re.I)
+#: Each match of CUES holds one of these, or _cc, in lower case, which are far quicker to look for.
+HINTS = ("licen", "copyright", "rights", "permission", "redistribution", "commons", "gpl", "waived")
+_cc = re.compile(r"cc\W+by")
 REACH = 24
 MAX_EDIT_SHARE = 0.15
 
 _edge = re.compile(r"^\W+|\W+$")
+_letter = re.compile(r"\w").search
 
 
 def normal(words: list[str]) -> list[str]:
     return [w for w in (_edge.sub("", x).lower() for x in words) if w]
 
 
-def blocks_of(line: str) -> list[str]:
-    """Stretches of a line within REACH words of a cue; cues close together share one."""
-    marks = [(m.start(), m.end()) for m in CUES.finditer(line)]
+def spots_of(text: str) -> list[tuple[int, int]]:
+    """Where the words that normal() keeps stand in a text."""
+    return [(m.start(), m.end()) for m in re.finditer(WORD, text) if _letter(m[0])]
+
+
+def blocks_of(text: str) -> list[tuple[str, list[int]]]:
+    """(block, place of each of its words) of stretches within REACH words of a cue; cues close together share one.
+
+    Only words that normal() keeps are counted, so the marks of comments at line starts take no reach.
+    """
+    marks = [(m.start(), m.end()) for m in CUES.finditer(text)]
     if not marks:
         return []
-    spots = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", line)]
+    spots = spots_of(text)
     runs: list[list[int]] = []
     k = 0
     for a, b in marks:
@@ -68,7 +78,7 @@ def blocks_of(line: str) -> list[str]:
             runs[-1][1] = max(hi, runs[-1][1])
         else:
             runs.append([lo, hi])
-    return [line[spots[lo][0] : spots[hi][1]] for lo, hi in runs]
+    return [(text[spots[lo][0] : spots[hi][1]], [x for x, _ in spots[lo : hi + 1]]) for lo, hi in runs]
 
 
 def fits(template: list[str], block: list[str]) -> np.ndarray:
@@ -138,27 +148,34 @@ class Scanner:
         return sorted(found)
 
     def judge(self, block: str) -> list[tuple[int, str, int, int, list[str], bool]]:
-        """(first word or -1, template, bytes saved, word edits, differing words, confirmed) for each notice of a block, or for none."""
-        words = normal(words_in(block))
+        """(first word, template, bytes saved, word edits, differing words, confirmed) for each notice of a block, and for each stretch that they leave and that holds a cue."""
+        spots = spots_of(block)
+        words = normal([block[a:b] for a, b in spots])
         ranked = self.rank(block)
         saved = {k: s for s, k in ranked}
-        found = [(a, a, b, k, edits, True) for a, b, k, edits in self.confirmed(words, saved)]
-        if not found:
-            k = ranked[0][1]
-            edits, a, b = best_fit(self.words[k], words)
-            found = [(-1, a, b, k, edits, False)]
+        found = [(a, a, b, k, edits, saved[k], True) for a, b, k, edits in self.confirmed(words, saved)]
+        for lo, hi in zip([0, *(x[2] for x in found)], [*(x[1] for x in found), len(words)], strict=True):
+            rest = block[spots[lo][0] : spots[hi - 1][1]] if lo < hi else ""
+            cue = CUES.search(rest)
+            if cue:
+                gain, k = (self.rank(rest) if found else ranked)[0]
+                edits, a, b = best_fit(self.words[k], words[lo:hi])
+                first = next(i for i in range(lo, hi) if spots[i][1] > spots[lo][0] + cue.start())
+                found.append((first, lo + a, lo + b, k, edits, gain, False))
+        found.sort()
         out = []
-        for first, a, b, k, edits, good in found:
+        for first, a, b, k, edits, gain, good in found:
             differ = [f"-{w}" for w in self.words[k] if w not in words[a:b]] + [f"+{w}" for w in words[a:b] if w not in self.words[k]]
-            out.append((first, k, saved[k], edits, differ, good))
+            out.append((first, k, gain, edits, differ, good))
         return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, line, block, license, bytes_saved, n_edits, differences, confirmed: one row for each notice.
 
-    line counts the text's \\n-split lines from 0, block the blocks of a line; a block has a row for each template
-    that is confirmed.  Where none is, it has one row, and license is the one that saves most.  Null, empty and licence-free texts give no rows;
+    block counts the blocks of a text from 0; a block has a row for each template that is confirmed, and one for each
+    stretch before, between and after those that holds a cue, whose license is the one that saves most.  line is that of
+    the notice's first word, or of the stretch's first cue, among the text's \\n-split lines from 0.  Null, empty and licence-free texts give no rows;
     repeated rows repeat theirs.  Ties of savings go by template name.
     """
     own_templates = TEMPLATES if templates is None else templates
@@ -170,15 +187,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 low = text.lower()
-                if not any(h in low for h in HINTS):
+                if not any(h in low for h in HINTS) and not _cc.search(low):
                     continue
-                for i, line in enumerate(text.split("\n")):
-                    for j, block in enumerate(blocks_of(line)):
-                        if block not in judged:
-                            if len(judged) > 50_000:
-                                judged.clear()
-                            judged[block] = own.judge(block)
-                        rows.extend((doc, i, j, *found) for _, *found in judged[block])
+                for j, (block, places) in enumerate(blocks_of(text)):
+                    if block not in judged:
+                        if len(judged) > 50_000:
+                            judged.clear()
+                        judged[block] = own.judge(block)
+                    rows.extend((doc, text.count("\n", 0, places[first]), j, *found) for first, *found in judged[block])
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_()), strict=True)], names=["doc_id", "line", "block", "license", "bytes_saved", "n_edits", "differences", "confirmed"])
 

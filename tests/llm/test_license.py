@@ -42,3 +42,23 @@ def test_each_notice_of_a_block_is_returned(spark):
     long = {f"bad-{i}": "the copyright of each of these works by many hands stays for ever with those who made it " + f"z{i} y{i} x{i} w{i}" for i in range(6)}
     text = "Copyright stays. the copyright of each of these works by many hands stays for ever with those who made it"
     assert found(spark, [text], {**long, "right": "Copyright stays."}) == [[(0, "right")]]
+
+
+def test_wrapped_notices_are_found_at_their_first_line(spark):
+    import textwrap
+
+    names = ["MIT-permission", "BSD-3-Clause", "Apache-2.0-header", "CC0-1.0"]
+    texts, want = [], []
+    for k in names:
+        for width, mark in ((70, ""), (40, "# "), (24, " * ")):
+            lines = [mark + x for x in textwrap.wrap(scan.TEMPLATES[k], width)]
+            assert len(lines) > 1
+            texts.append("\n".join(["some prose before it", "", *lines, "", "and after", "All rights reserved."]))
+            want.append([(2, k), (2 + len(lines) + 2, "all-rights-reserved")])
+    texts += ["a\nAll rights\n# reserved.\nb", "a\nunder CC\n# BY 4.0 Licensed\nunder CC\n# BY 4.0."]
+    assert found(spark, texts) == [*want, [(1, "all-rights-reserved")], [(2, "CC-BY-4.0")]]
+    # one that is not confirmed stands at its cue
+    rows = scan.scan(spark.createDataFrame([(0, "one\ntwo\nthree licence four\nfive", "x")], SCHEMA)).collect()
+    assert [(r.line, r.block, r.confirmed) for r in rows] == [(2, 0, False)]
+    rows = scan.scan(spark.createDataFrame([(0, "one licence two\nAll rights reserved.\n\nthree copyright four", "x")], SCHEMA)).collect()
+    assert [(r.line, r.confirmed) for r in rows] == [(0, False), (1, True), (3, False)]
