@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from starloom.llm.common import WORD, id_text, slices
 from starloom.llm.text_stats import words_in
 
-#: Short notices as they are commonly printed.
+#: Notices as they are commonly printed, and the paragraphs of short licences.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
@@ -34,11 +34,40 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "Apache-2.0-body": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "Apache-2.0-title": "Apache License Version 2.0, January 2004",
+    "MIT-licensed": "Licensed under the MIT License.",
+    "MIT-title": "The MIT License (MIT)",
+    "MIT-body": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "MIT-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "MIT-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "MIT-SPDX": "SPDX-License-Identifier: MIT",
+    "MIT-or-Apache-2.0": "MIT/Apache-2.0",
+    "MIT-or-Apache-2.0-SPDX": "MIT OR Apache-2.0",
+    "Apache-2.0-SPDX": "SPDX-License-Identifier: Apache-2.0",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "LGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "GPL-copy": "You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    "GPL-3.0-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "GPL-2.0-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-verbatim": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    "BSD-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "BSD-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "MPL-2.0-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "CC-BY-4.0-work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0-work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     "all-rights-reserved": "All rights reserved.",
 }
-CUES = re.compile(r"licen[sc]e|copyright|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|creative\W+commons|\bCC\W+BY|\bGPL|waived\W+all", re.I)
-#: Each match of CUES holds one of these, or _cc, in lower case, which are far quicker to look for.
-HINTS = ("licen", "copyright", "rights", "permission", "redistribution", "commons", "gpl", "waived")
+CUES = re.compile(r"licen[sc]e|copyright|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|creative\W+commons|\bCC\W+BY|(?-i:\bMIT\b)|\bGPL|\bapache\b|\bmozilla\b|waived\W+all", re.I)
+#: Each match of CUES holds one of these, or _cc, in lower case, or MIT in upper case, which are far quicker to look for.
+HINTS = ("licen", "copyright", "rights", "permission", "redistribution", "commons", "gpl", "apache", "mozilla", "waived")
 _cc = re.compile(r"cc\W+by")
 REACH = 24
 MAX_EDIT_SHARE = 0.15
@@ -56,8 +85,8 @@ def spots_of(text: str) -> list[tuple[int, int]]:
     return [(m.start(), m.end()) for m in re.finditer(WORD, text) if _letter(m[0])]
 
 
-def blocks_of(text: str) -> list[tuple[str, list[int]]]:
-    """(block, place of each of its words) of stretches within REACH words of a cue; cues close together share one.
+def blocks_of(text: str, reach: int = REACH) -> list[tuple[str, list[int]]]:
+    """(block, place of each of its words) of stretches within reach of a cue; cues close together share one.
 
     Only words that normal() keeps are counted, so the marks of comments at line starts take no reach.
     """
@@ -73,7 +102,7 @@ def blocks_of(text: str) -> list[tuple[str, list[int]]]:
         e = k
         while e + 1 < len(spots) and spots[e + 1][0] < b:
             e += 1
-        lo, hi = max(0, k - REACH), min(len(spots) - 1, e + REACH)
+        lo, hi = max(0, k - reach), min(len(spots) - 1, e + reach)
         if runs and lo <= runs[-1][1]:
             runs[-1][1] = max(hi, runs[-1][1])
         else:
@@ -110,6 +139,8 @@ class Scanner:
         self.bare = z.ZstdCompressor(compression_params=own)
         self.primed = {k: z.ZstdCompressor(dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=own) for k, t in templates.items()}
         self.words = {k: normal(words_in(t)) for k, t in templates.items()}
+        # a template with its edits lies in the block whichever of its words is the cue
+        self.reach = max(REACH, *(len(ws) + int(MAX_EDIT_SHARE * len(ws)) for ws in self.words.values()))
         self.counts = {k: Counter(ws) for k, ws in self.words.items()}
 
     def rank(self, block: str) -> list[tuple[int, str]]:
@@ -187,9 +218,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 low = text.lower()
-                if not any(h in low for h in HINTS) and not _cc.search(low):
+                if not any(h in low for h in HINTS) and "MIT" not in text and not _cc.search(low):
                     continue
-                for j, (block, places) in enumerate(blocks_of(text)):
+                for j, (block, places) in enumerate(blocks_of(text, own.reach)):
                     if block not in judged:
                         if len(judged) > 50_000:
                             judged.clear()

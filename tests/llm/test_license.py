@@ -62,3 +62,18 @@ def test_wrapped_notices_are_found_at_their_first_line(spark):
     assert [(r.line, r.block, r.confirmed) for r in rows] == [(2, 0, False)]
     rows = scan.scan(spark.createDataFrame([(0, "one licence two\nAll rights reserved.\n\nthree copyright four", "x")], SCHEMA)).collect()
     assert [(r.line, r.confirmed) for r in rows] == [(0, False), (1, True), (3, False)]
+
+
+def test_apache_mozilla_and_upper_case_mit_are_cues_and_bodies_are_known(spark):
+    texts = [
+        "Ours is dual MIT/Apache-2.0 as is usual",
+        "This Source Code Form is subject to the terms of the Mozilla Public Lisence, v. 2.0.",
+        "wir gehen mit ihr und Mit ihm",
+        "\n".join(scan.TEMPLATES[k] for k in ("MIT-body", "MIT-notice", "MIT-warranty")),
+        "\n".join(scan.TEMPLATES[k] for k in ("GPL-2.0-notice", "GPL-warranty", "GPL-copy")),
+    ]
+    assert found(spark, texts) == [
+        [(0, "MIT-or-Apache-2.0")], [(0, "MPL-2.0")], [],
+        [(0, "MIT-body"), (1, "MIT-notice"), (2, "MIT-warranty")], [(0, "GPL-2.0-notice"), (1, "GPL-warranty"), (2, "GPL-copy")],
+    ]
+    assert scan.blocks_of(texts[2]) == []
