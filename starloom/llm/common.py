@@ -7,6 +7,7 @@ partition; a single longer text makes a slice of its own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -179,6 +180,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in that folder, for rows that are read more than once and in part."""
+    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; only a session on one machine, as in tests, may do without it."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
