@@ -115,6 +115,12 @@ def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((total[end] - total[start]) * down[start])
 
 
+def hashes_of(column: pa.Array) -> np.ndarray:
+    """64-bit hashes of the strings of a column without nulls."""
+    off = offsets_of(column)
+    return _hashed(bytes_of(column), off[:-1], off[1:])
+
+
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[[*b".,!?;:\"'()[]"]] = 32

@@ -53,17 +53,28 @@ def load_pieces(model_path: str, kind: str = "bpe") -> PieceTable:
     return PieceTable(tuple(sp.id_to_piece(i) for i in own), tuple(own), tuple(sp.get_score(i) for i in own), tuple(by.get(f"<0x{b:02X}>", -1) for b in range(256)), sp.unk_id(), kind)
 
 
+def _borders(pieces: tuple[str, ...]) -> tuple[set[tuple[str, str]], str, set[str]]:
+    """Neighbours inside pieces, the newline if it has none, and the punctuation that no piece joins to a letter."""
+    beside = {pair for p in pieces for pair in itertools.pairwise(p)}
+    cut = "" if any("\n" in pair for pair in beside) else "\n"
+    return beside, cut, set(string.punctuation) - {c for a, b in beside for c, d in ((a, b), (b, a)) if d.isalpha()}
+
+
+def border_characters(pieces: tuple[str, ...]) -> list[str]:
+    """Characters at which word_pattern() may cut inside a run between marks; a run without any is one word."""
+    _, cut, marks = _borders(pieces)
+    return sorted(marks | set(cut))
+
+
 def word_pattern(pieces: tuple[str, ...]) -> str:
     """A pattern for the words of a marked text: cuts only where no piece of the table reaches across.
 
     That is before a run of marks, around a newline, and between punctuation that no piece joins to a letter
     and characters that no piece joins to such punctuation.
     """
-    beside = {pair for p in pieces for pair in itertools.pairwise(p)}
+    beside, cut, marks = _borders(pieces)
     if any(b == MARK and a != MARK for a, b in beside):
         return r"(?s).+"
-    cut = "" if any("\n" in pair for pair in beside) else "\n"
-    marks = set(string.punctuation) - {c for a, b in beside for c, d in ((a, b), (b, a)) if d.isalpha()}
     joined = {d for a, b in beside for c, d in ((a, b), (b, a)) if c in marks and d not in marks and d != MARK}
     q, j = (re.escape("".join(sorted(x))) for x in (marks, joined))
     parts = [rf"{MARK}*[^{MARK}{cut}]+", rf"{MARK}+"] + (["\n"] if cut else [])
