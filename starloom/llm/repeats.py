@@ -6,9 +6,11 @@ another document has as well, the match is extended both ways, window by window,
 that own the seed reach, and equal windows are joined with the least document that has them.  The
 windows found this way, run together, are the maximal repeats of at least 13 words.
 
-Before each shuffle the copies inside one slice of a task are settled: a seed or window leaves a slice
-once, however many of its documents hold it, so a passage that stands in a third of all documents
-costs one row a slice.
+Before each shuffle the copies inside one task are settled: a seed or window that several documents of a slice
+hold leaves once, and the task remembers it, so a passage that stands in a third of all documents costs some
+rows a task and not one for each of its places.  What a task remembers is bounded; what it forgets is sent again.
+
+Windows are told apart by 128 bits (the hash of their words and that of their seed).
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from starloom.llm.common import Spans, as_list, id_text, mix, signed, slices, sp
 from starloom.llm.text_stats import words_in
 
 LENGTH, SEED = 13, 5
-JOIN_SLICE = 4 << 20
+JOIN_SLICE = 2 << 20
+#: So many seeds and windows does a task remember as shared.
+REMEMBERED = 1 << 18
 
 
 def seeds_of(words: Spans, length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -46,6 +50,7 @@ def seeds_of(words: Spans, length: int = LENGTH, seed: int = SEED) -> tuple[np.n
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(seed, doc_id, th) for seeds of one row; for seeds of more rows of the slice one row without a
     document, and to each of these rows what it now knows to be shared."""
+    seen = np.zeros(0, dtype=np.uint64)
     for batch in slices(batches, limit=JOIN_SLICE):
         words = split_words(batch.column("text"))
         at, h = seeds_of(words)
@@ -60,9 +65,12 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, row = h[keep], row[keep]
         start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         size = np.diff(np.append(start, len(h)))
-        alone, many = start[size == 1], start[size > 1]
+        again = _within(h[start], seen)
+        alone, many = start[(size == 1) & ~again], start[(size > 1) & ~again]
         ids, ths = batch.column("doc_id").to_numpy(), batch.column("th").to_numpy()
-        known = np.repeat(size > 1, size)
+        known = np.repeat((size > 1) | again, size)
+        if len(seen) < REMEMBERED:
+            seen = np.union1d(seen, h[many])
         back = np.argsort(row[known], kind="stable")
         who, what = row[known][back], h[known][back]
         has = np.unique(who)
@@ -82,7 +90,8 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(seed, doc_id, th, at, wins): hashes of the windows in a row that own a shared seed, for windows of which
     the row's document is the least of the slice; and (doc_id, th, known): starts of windows that a smaller
-    document of the slice has as well."""
+    document of the slice, or of the task before it, has as well."""
+    seen = np.zeros((3, 0), dtype=np.uint64)  # windows in order, their seeds, and the least documents that have been sent
     for batch in slices(batches, limit=JOIN_SLICE):
         words = split_words(batch.column("text"))
         at, h = seeds_of(words)
@@ -104,8 +113,19 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((doc, win, h))
         a, b, d = h[order], win[order], doc[order]
         fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        group, lead = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
+        place_of = np.minimum(np.searchsorted(seen[0], b[lead]), max(0, seen.shape[1] - 1))
+        told = (seen[0][place_of] == b[lead]) & (seen[1][place_of] == a[lead]) if seen.shape[1] else np.zeros(len(lead), dtype=bool)
+        least = d[lead].copy()
+        if told.any():
+            least[told] = np.minimum(least[told], seen[2][place_of[told]].view(np.int64))
+            seen[2][place_of[told]] = least[told].view(np.uint64)
+        more = np.flatnonzero(~told & (np.diff(np.append(lead, len(d))) > 1))
+        if len(more) and seen.shape[1] < REMEMBERED:
+            seen = np.concatenate([seen, np.stack([b[lead[more]], a[lead[more]], d[lead[more]].view(np.uint64)])], axis=1)
+            seen = seen[:, np.argsort(seen[0], kind="stable")]
         sure = np.zeros(len(order), dtype=bool)
-        sure[order] = d > d[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        sure[order] = d > least[group]
         who, what = row[sure], place[sure]
         has = np.unique(who)
         ask = ~sure
@@ -127,19 +147,26 @@ def _told(values: np.ndarray, nulls: int, bounds: np.ndarray, kind: pa.DataType)
     return pa.ListArray.from_arrays(offsets, pa.array(values, kind))
 
 
+def _within(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(h), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+
+
 def _pair(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return h ^ (row.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def repeat_starts(docs: DataFrame) -> DataFrame:
     """doc_id, th, starts array<int>: word indexes at which a window starts that also starts in a
-    smaller document.  th is a hash of the text, so rows that share a doc_id stay apart."""
+    smaller document.  th is a hash of the text in 31 bits, so rows that share a doc_id stay apart."""
     texts = _texts(docs)
     # rows that tell what a slice has settled ride along under a key of their own
     rows = texts.mapInArrow(_seed_rows, "seed long, doc_id long, th int, known array<long>")
     met = F.count(F.when(F.col("known").isNull(), 1)).over(Window.partitionBy("seed"))
     shared = _gathered(rows.withColumn("n", met).where("known is not null or (n > 1 and doc_id is not null)"), "seed").withColumnRenamed("all", "seeds")
-    found = texts.join(shared.hint("shuffle_hash"), ["doc_id", "th"]).select("doc_id", "th", "text", "seeds").mapInArrow(_window_rows, "seed long, doc_id long, th int, at int, wins array<long>, known array<int>")
+    found = texts.join(shared, ["doc_id", "th"]).select("doc_id", "th", "text", "seeds").mapInArrow(_window_rows, "seed long, doc_id long, th int, at int, wins array<long>, known array<int>")
     # windows travel with their seed, some five to a row, and are taken apart where they meet
     each = found.repartition("seed").select("seed", "doc_id", "th", "known", "at", F.posexplode_outer("wins").alias("i", "win")).withColumn("at", F.col("at") + F.col("i"))
     least = F.min("doc_id").over(Window.partitionBy("seed", "win"))
@@ -155,7 +182,7 @@ def _gathered(rows: DataFrame, column: str) -> DataFrame:
 def _texts(docs: DataFrame) -> DataFrame:
     """The rows that have a place in the order of documents, the same frame for both joins, which then share
     one exchange of the texts (th is made not nullable, else the inner join would filter it apart)."""
-    return id_text(docs).select("doc_id", F.coalesce(F.pmod(F.xxhash64("text"), F.lit(1 << 15)), F.lit(0)).cast("int").alias("th"), "text").where("doc_id is not null")
+    return id_text(docs).select("doc_id", F.coalesce(F.pmod(F.xxhash64("text"), F.lit(1 << 31)), F.lit(0)).cast("int").alias("th"), "text").where("doc_id is not null")
 
 
 def spans_of(starts: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -193,7 +220,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     # a null doc_id is smaller than nothing, and nothing is smaller than it: such rows keep all words
     apart = id_text(docs).where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<int>").alias("starts"))
-    placed = _texts(docs).join(repeat_starts(docs).hint("shuffle_hash"), ["doc_id", "th"], "left").select("doc_id", "text", "starts")
+    placed = _texts(docs).join(repeat_starts(docs), ["doc_id", "th"], "left").select("doc_id", "text", "starts")
     return placed.unionByName(apart).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, spans array<int>")
 
 
