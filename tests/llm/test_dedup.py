@@ -1,7 +1,10 @@
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 
 from starloom.llm import line_dedup, repeats
@@ -50,6 +53,35 @@ def test_repeats_of_repeated_rows_and_empty_table(spark):
     assert repeats.without_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("size", [300, 3000])
+def test_repeats_over_many_slices_of_a_task(monkeypatch, size):
+    monkeypatch.setattr(repeats, "JOIN_SLICE", size)
+    texts = {i: t or "" for i, t in texts_for(5).items()}
+    ids = list(texts)
+    random.Random(5).shuffle(ids)
+    batch = lambda extra: pa.record_batch([pa.array(ids, pa.int64()), pa.array([0] * len(ids), pa.int32()), *extra, pa.array([texts[i] for i in ids])], names=["doc_id", "th", *["seeds"] * len(extra), "text"])
+    seeds, shared = [r for b in repeats._seed_rows(iter([batch([])])) for r in b.to_pylist()], {i: set() for i in ids}
+    times = Counter(r["seed"] for r in seeds if r["known"] is None)
+    for r in seeds:
+        if r["known"] is not None:
+            shared[r["doc_id"]] |= set(r["known"])
+        elif times[r["seed"]] > 1 and r["doc_id"] is not None:
+            shared[r["doc_id"]].add(r["seed"])
+    rows = [r for b in repeats._window_rows(iter([batch([pa.array([list(shared[i]) for i in ids], pa.list_(pa.int64()))])])) for r in b.to_pylist()]
+    each = [(r["seed"], w, r["doc_id"], r["at"] + k) for r in rows if r["known"] is None for k, w in enumerate(r["wins"])]
+    least: dict[tuple[int, int], int] = {}
+    for s, w, d, _ in each:
+        least[s, w] = min(d, least.get((s, w), d))
+    starts = {i: set() for i in ids}
+    for s, w, d, a in each:
+        if least[s, w] < d:
+            starts[d].add(a)
+    for r in rows:
+        starts[r["doc_id"]] |= set(r["known"] or [])
+    got = {i: sum(b - a for a, b in repeats.spans_of(np.array(sorted(x)))) for i, x in starts.items()}
+    assert got == {i: n for i, (_, n, _) in plain.repeats(texts).items()}
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_line_dedup_matches_the_plain_rule(spark, seed):
     texts = texts_for(seed)
