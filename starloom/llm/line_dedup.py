@@ -151,8 +151,8 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _mark() -> Column:
-    """A short hash of the text, so that rows that share a doc_id stay apart."""
-    return F.coalesce(F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(1 << 15)), F.lit(0)).cast("int")  # not nullable: both joins read one exchange
+    """A hash of the text in 31 bits, so that rows that share a doc_id stay apart."""
+    return F.coalesce(F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(1 << 31)), F.lit(0)).cast("int")  # not nullable: both joins read one exchange
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -168,7 +168,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     guarded = distinct.select("doc_id", "th", "line", F.explode(F.array_distinct("guards")).alias("guard"))
     met = guarded.groupBy("guard").agg(F.count("*").alias("n")).where("n > 1").select("guard")
     likely = guarded.join(met, "guard").groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines"))
-    variants = texts.join(likely.hint("shuffle_hash"), ["doc_id", "th"]).select("doc_id", "th", "text", "lines").mapInArrow(_variant_rows, "v1 long, v2 int, at int, doc_id long, th int, line int, told boolean")
+    variants = texts.join(likely, ["doc_id", "th"]).select("doc_id", "th", "text", "lines").mapInArrow(_variant_rows, "v1 long, v2 int, at int, doc_id long, th int, line int, told boolean")
     # one exchange brings equal variants together; each line sees the first of those it may be matched with
     group = Window.partitionBy("v1", "v2")
     seen = variants.withColumns({
@@ -188,7 +188,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("th"), "text", F.struct(F.lit(0).alias("__"), *others).alias("rest"))
-    joined = base.join(kept_lines(docs).hint("shuffle_hash"), ["doc_id", "th"], "left").select("doc_id", "text", "kept", "rest")
+    joined = base.join(kept_lines(docs), ["doc_id", "th"], "left").select("doc_id", "text", "kept", "rest")
     schema = T.StructType([joined.schema["doc_id"], joined.schema["text"], T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()), joined.schema["rest"]])
     return joined.mapInArrow(_kept_rows, schema).select("doc_id", "text", "n_lines", "n_removed", *(F.col("rest")[c].alias(c) for c in others))
 
@@ -199,7 +199,7 @@ def cleaned_texts(docs: DataFrame) -> DataFrame:
     The texts are the frame that kept_lines() joins as well, so all joins read one exchange of them.
     """
     apart = id_text(docs).where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<int>").alias("kept"))
-    joined = _texts(docs).join(kept_lines(docs).hint("shuffle_hash"), ["doc_id", "th"], "left").select("doc_id", "text", "kept")
+    joined = _texts(docs).join(kept_lines(docs), ["doc_id", "th"], "left").select("doc_id", "text", "kept")
     return joined.unionByName(apart).mapInArrow(_kept_rows, "doc_id long, text string, n_lines long, n_removed long")
 
 
