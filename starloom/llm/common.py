@@ -189,7 +189,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in that folder, for rows that are read more than once and in part."""
     folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
