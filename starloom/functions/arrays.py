@@ -50,33 +50,6 @@ def welch_segment(x: np.ndarray, rate: float) -> np.ndarray:
     return one_sided(np.abs(np.fft.rfft((x - x.mean()) * w)) ** 2 / (rate * (w**2).sum()), n)
 
 
-def running_median(x: np.ndarray, width: int) -> np.ndarray:
-    pad = width // 2
-    return np.median(np.lib.stride_tricks.sliding_window_view(np.pad(x, pad, mode="edge"), 2 * pad + 1), axis=1)
-
-
-def line_anomalies(freq: np.ndarray, power: np.ndarray, sigma: float = 5.0, width: int = 21, skip: float = 0.05) -> list[tuple[float, float]]:
-    """(frequency, dB over the local continuum) of narrow features, strongest first."""
-    use = freq >= skip
-    freq, power = freq[use], power[use]
-    if len(freq) < width or not (power > 0).any():
-        return []
-    ok = power > 0
-    log = np.log10(np.where(ok, power, 1))
-    level = running_median(np.where(ok, log, np.median(log[ok])), width | 1)
-    res = np.where(ok, log - level, -np.inf)
-    mad = np.median(np.abs(res[ok] - np.median(res[ok])))
-    hot = np.flatnonzero(res > sigma * 1.4826 * mad) if mad else np.zeros(0, int)
-    peaks = [g[np.argmax(res[g])] for g in np.split(hot, np.flatnonzero(np.diff(hot) > 1) + 1) if len(g)]
-    return sorted(((float(freq[p]), float(10 * res[p])) for p in peaks), key=lambda a: -a[1])
-
-
-def sweep_phase(i: np.ndarray, q: np.ndarray, freq: np.ndarray, obs_i: np.ndarray, obs_q: np.ndarray) -> np.ndarray:
-    """Frequencies at which a sweep has the observed phases about the centre of its bounding box."""
-    ci, cq = (i.min() + i.max()) / 2, (q.min() + q.max()) / 2
-    return np.interp(np.arctan2(obs_q - cq, obs_i - ci), np.arctan2(q - cq, i - ci), freq, period=2 * np.pi)
-
-
 def gauss2d_fit(x: np.ndarray, y: np.ndarray, z: np.ndarray, step: float, rounds: int = 60) -> tuple[float, float, float, float, float] | None:
     """(amplitude, x, y, sigma, background) of a round Gaussian by damped least squares within bounds."""
     if len(z) < 6:

@@ -8,18 +8,15 @@ from pyspark.sql import functions as F
 COSMIC_RAY, GAP = 1, 2
 
 
-def flag_ok(flags: Column) -> Column:
-    return flags == 0
-
-
-def flag_or(a: Column, b: Column) -> Column:
-    return a.bitwiseOR(b)
-
-
 def has_flag(flags: Column, bit: int) -> Column:
     return flags.bitwiseAND(F.lit(bit)) != 0
 
 
-def usable(flags: Column, clean_flags: Column) -> Column:
+def usable(flags: Column, clean_flags: Column | None = None) -> Column:
     """Good on input and after cleaning."""
-    return (flags == 0) & (F.coalesce(clean_flags, F.lit(0)) == 0)
+    return (flags == 0) if clean_flags is None else (flags == 0) & (F.coalesce(clean_flags, F.lit(0)) == 0)
+
+
+def is_finite(x: Column) -> Column:
+    """A number that is neither null, NaN nor infinite (NaN compares as greater than all)."""
+    return F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False))

@@ -17,12 +17,13 @@ EVENTS_GRID = Grid(9.875, 19.975, 0.05, 0.05, 24, 12)
 LINES_GRID = Grid(10.0, 20.0, 0.05, 0.05, 40, 30)
 
 
-#: Means of amounts in cents often end in an exact half; both sides add this share of the last digit first.
-OFF_HALF = 0.13
+#: Means of amounts in cents often end in an exact half, where engines that add in another order round either way: so
+#: that all round up, what is within this share of the last digit below a half goes up as well.
+OFF_HALF = 0.01
 
 
 def steady(sql: str) -> str:
-    """The SQL with each round(x, n) taken of a double moved off the halves."""
+    """The SQL with each round(x, n) taken of a double, halves up."""
     out, at = [], 0
     while (k := sql.find("round(", at)) >= 0:
         depth, i, comma = 1, k + 6, -1
@@ -49,7 +50,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def r(c: str | Column, n: int = 6) -> Column:
-    """Rounded off the halves, as steady() does it, without a negative zero."""
+    """Rounded with halves up, as steady() does it, without a negative zero."""
     return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(OFF_HALF * 10.0**-n), n) + F.lit(0.0)
 
 
@@ -62,7 +63,7 @@ TOD = """
 cells AS (SELECT event_type AS det, CAST(floor((epoch_us(ts) / 1e6 - 1704067200) / 1800) AS BIGINT) AS sample_idx, avg(value) AS signal,
     max(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS top_k FROM events GROUP BY 1, 2),
 dets AS (SELECT det, CAST(row_number() OVER (ORDER BY det) - 1 AS INTEGER) AS det_idx FROM (SELECT DISTINCT event_type AS det FROM events)),
-grid AS (SELECT det, det_idx, sample_idx FROM dets CROSS JOIN (SELECT range AS sample_idx FROM range(1440))),
+grid AS (SELECT det, det_idx, sample_idx FROM dets CROSS JOIN (SELECT unnest(range(least(0, CAST(floor(min(sample_idx) / 48) AS BIGINT)) * 48, (CAST(floor(max(sample_idx) / 48) AS BIGINT) + 1) * 48)) AS sample_idx FROM cells)),
 tod0 AS (SELECT sample_idx // 48 AS chunk_index, sample_idx, 1704067200.0::DOUBLE + sample_idx * 1800.0::DOUBLE AS t, det, det_idx, signal,
     CASE WHEN top_k >= 97 THEN 4 ELSE 0 END AS flags, 10.0::DOUBLE + 0.05::DOUBLE * (sample_idx % 20) AS ra_bore, 20.0::DOUBLE + 0.05::DOUBLE * ((sample_idx // 20) % 12) AS dec_bore
     FROM grid LEFT JOIN cells USING (det, sample_idx)),

@@ -158,7 +158,7 @@ def difference_noise(spark, sf_dir):
 @query(f"WITH {TOD}, s AS (SELECT DISTINCT chunk_index, sample_idx, ra_bore, dec_bore FROM tod WHERE chunk_index % 7 <> 3) SELECT round(avg(ra_bore), 8) AS ra, round(avg(dec_bore), 8) AS dec FROM s")
 def mean_boresight_position(spark, sf_dir):
     t = tod_of(spark, sf_dir).withColumn("flags", F.when(F.col("chunk_index") % 7 == 3, 4).otherwise(0))
-    return rounded(detectors.mean_boresight(boresight(spark), chunks.fully_flagged(t)), 8)
+    return rounded(detectors.mean_boresight(boresight(spark, sf_dir), chunks.fully_flagged(t)), 8)
 
 
 @query(f"WITH {TOD} SELECT det_idx, round(min(least(ra, ra_bore)), 8) AS ra_min, round(max(greatest(ra, ra_bore)), 8) AS ra_max, round(min(dec), 8) AS dec_min, round(max(dec), 8) AS dec_max FROM tod WHERE flags = 0 GROUP BY det_idx")

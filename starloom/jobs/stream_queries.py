@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import geometry as g
-from starloom.jobs.base import EVENTS_GRID, LINES, ON_GRID, PX, TOD, query, r, rounded
+from starloom.jobs.base import EVENTS_GRID, LINES, LINES_GRID, ON_GRID, PX, TOD, query, r, rounded
 from starloom.jobs.sky_queries import tod_of
-from starloom.operators import align, clean, detectors, nulls, pointing, readout, recon, spectra
+from starloom.operators import align, binning, clean, detectors, nulls, pointing, readout, recon, spectra
 from starloom.operators.binning import Grid, bin_per_detector
 from starloom.operators.common_mode import common_mode
 from starloom.operators.quality import top_k
@@ -132,9 +132,16 @@ def spectra_quartiles(spark, sf_dir):
     return q.select("bin", r("freq_hz", 12).alias("freq_hz"), *(r(F.col(c) / 1e6, 5).alias(c) for c in ("p25", "median", "p75")))
 
 
-@query()
+#: A line planted in bins 6 and 7; the level is the median of five bins, end bins standing for those beyond.
+ANOMALY = f"""{PSD}, mb AS (SELECT bin, log10(median(power * CASE bin WHEN 6 THEN 1000 WHEN 7 THEN 300 ELSE 1 END)) AS lg FROM psd WHERE bin >= 1 GROUP BY bin), mi AS (SELECT *, row_number() OVER (ORDER BY bin) AS i, count(*) OVER () AS n FROM mb),
+lv AS (SELECT a.i, a.bin, a.lg - median(b.lg) AS res FROM mi a CROSS JOIN (SELECT unnest([-2, -1, 0, 1, 2]) AS o) JOIN mi b ON b.i = greatest(1, least(a.n, a.i + o)) GROUP BY a.i, a.bin, a.lg),
+ma AS (SELECT median(abs(res - m)) AS mad FROM lv, (SELECT median(res) AS m FROM lv)), ht AS (SELECT lv.*, i - row_number() OVER (ORDER BY i) AS isl FROM lv, ma WHERE mad > 0 AND res > 2 * 1.4826 * mad)"""
+
+
+@query(f"WITH {TOD}, {ANOMALY} SELECT round(bin / 86400.0, 12) AS freq_hz, round(10 * res, 5) + 0.0 AS power_db FROM ht QUALIFY row_number() OVER (PARTITION BY isl ORDER BY res DESC, i) = 1")
 def spectral_anomalies(spark, sf_dir):
-    return spectra.psd_anomalies(_psd(spark, sf_dir), sigma=2.0, width=5, skip_hz=0.5 / 86400)
+    p = _psd(spark, sf_dir).withColumn("power", F.col("power") * F.when(F.col("bin") == 6, 1000.0).when(F.col("bin") == 7, 300.0).otherwise(1.0))
+    return spectra.psd_anomalies(p, sigma=2.0, width=5, skip_hz=0.5 / 86400).select(r("freq_hz", 12).alias("freq_hz"), r("power_db", 5).alias("power_db"))
 
 
 SEG = f"""{FILL}, cm AS (SELECT *, signal - coalesce(avg(CASE WHEN flags = 0 THEN signal END) OVER (PARTITION BY sample_idx), 0) AS after FROM filled),
@@ -185,11 +192,16 @@ def iq_pairs(spark, sf_dir):
     return rounded(readout.pair_iq(_iq_raw(spark, sf_dir)).select("block", "res_id", "det", "t_ticks", "i", "q"))
 
 
-@query("SELECT DISTINCT 'B' || (user_id % 3) AS block, 'bad channel name' AS problem FROM events WHERE event_id % 997 = 5 UNION SELECT DISTINCT 'B' || (user_id % 3), 'duplicate channel' FROM events WHERE event_id % 991 = 7")
+@query("""SELECT DISTINCT 'B' || (user_id % 3) AS block, 'bad channel name' AS problem FROM events WHERE event_id % 997 = 5 UNION SELECT DISTINCT 'B' || (user_id % 3), 'duplicate channel' FROM events WHERE event_id % 991 = 7 AND NOT (user_id % 3 = 1 AND event_type = 'purchase') AND NOT (user_id % 3 < 2 AND event_type = 'signup' AND event_id % 2 = 1)
+UNION SELECT DISTINCT 'B' || (user_id % 3), 'missing half' FROM events WHERE user_id % 3 = 0 AND event_type = 'click' UNION SELECT DISTINCT 'B' || (user_id % 3), 'ids not contiguous' FROM events WHERE user_id % 3 = 1
+UNION SELECT DISTINCT 'B' || (user_id % 3), 'detector list changes between files' FROM events WHERE user_id % 3 < 2""")
 def iq_violations(spark, sf_dir):
-    raw = _iq_raw(spark, sf_dir)
-    odd = raw.withColumn("channel", F.when((F.col("t_ticks") % 997 == 5) & F.col("channel").endswith("_I"), F.concat("channel", F.lit("x"))).otherwise(F.col("channel")))
-    return readout.validate_iq(odd.unionByName(raw.where("t_ticks % 991 = 7"))).where("problem in ('bad channel name', 'duplicate channel')")
+    raw = _iq_raw(spark, sf_dir).withColumn("file_idx", F.col("t_ticks") % 2)
+    raw = raw.withColumn("channel", F.when((F.col("t_ticks") % 997 == 5) & F.col("channel").endswith("_I"), F.concat("channel", F.lit("x"))).otherwise(F.col("channel")))
+    raw = raw.where("not (block = 'B0' and channel = 'r0000_Q')")  # a half without its other
+    raw = raw.where("not (block = 'B1' and channel in ('r0002_I', 'r0002_Q'))")  # an id that is missing
+    raw = raw.where("not (block in ('B0', 'B1') and channel in ('r0003_I', 'r0003_Q') and file_idx = 1)")  # in one of two files
+    return readout.validate_iq(raw.unionByName(raw.where("t_ticks % 991 = 7")))
 
 
 @query(f"""WITH {SWEEP}, a AS (SELECT block, res_id, least(arg_min(pt, (i * i + q * q, pt)), max(pt) - 1) AS i_min FROM (SELECT block, res_id, pt, i * (1.5 + (pt + res_id) % 4) AS i, q FROM sweep) GROUP BY block, res_id),
@@ -231,20 +243,38 @@ def frequency_shift_gradient(spark, sf_dir):
     return readout.iq_to_df_gradient(iq, readout.tone_reference(s, _tones(spark, sf_dir))).select("block", "res_id", "t_ticks", r("df_f0", 8).alias("df_f0"))
 
 
-@query()
+#: Phases about the middle of the sweep's box, and the lines between sweep points that follow in phase, the last one closing the turn.
+ANGLE = f"""{GRAD}, ct AS (SELECT block, res_id, (min(i) + max(i)) / 2 AS ci, (min(q) + max(q)) / 2 AS cq FROM sweep GROUP BY ALL),
+ph AS (SELECT block, res_id, pt, freq, (atan2(q - cq, i - ci) + 2 * pi()) % (2 * pi()) AS p FROM sweep JOIN ct USING (block, res_id)),
+sl AS (SELECT block, res_id, p AS lo, coalesce(lead(p) OVER w, first(p) OVER w + 2 * pi()) AS hi, freq AS f0, coalesce(lead(freq) OVER w, first(freq) OVER w) AS f1 FROM ph WINDOW w AS (PARTITION BY block, res_id ORDER BY p, pt ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+sx AS (SELECT gr.*, (atan2(q - cq, i - ci) + 2 * pi()) % (2 * pi()) AS x FROM gr JOIN ct USING (block, res_id)),
+an AS (SELECT sx.*, (f0 + (f1 - f0) * (CASE WHEN x >= lo THEN x ELSE x + 2 * pi() END - lo) / (hi - lo) - f_tone) / f_tone AS by_angle FROM sx JOIN sl ON sx.block = sl.block AND sx.res_id = sl.res_id AND (x >= lo AND x < hi OR x + 2 * pi() >= lo AND x + 2 * pi() < hi))"""
+
+
+@query(f"WITH {ANGLE} SELECT block, res_id, t_ticks, round(by_angle, 8) + 0.0 AS df_f0 FROM an")
+def frequency_shift_angle(spark, sf_dir):
+    return readout.iq_to_df_angle(readout.pair_iq(_iq_raw(spark, sf_dir)), _sweep(spark, sf_dir), _tones(spark, sf_dir)).select("block", "res_id", "t_ticks", r("df_f0", 8).alias("df_f0"))
+
+
+@query(f"WITH {ANGLE} SELECT block, res_id, t_ticks, round(CASE WHEN abs(shift) > 4 * abs(df) THEN by_angle ELSE shift / f_tone END, 8) + 0.0 AS df_f0, abs(shift) > 4 * abs(df) AS angle_used FROM an")
 def frequency_shift_hybrid(spark, sf_dir):
     return readout.iq_to_df_hybrid(readout.pair_iq(_iq_raw(spark, sf_dir)), _sweep(spark, sf_dir), _tones(spark, sf_dir)).select("block", "res_id", "t_ticks", r("df_f0", 8).alias("df_f0"), "angle_used")
 
 
-@query("SELECT 'B' || b AS block, CAST(r AS INTEGER) AS res_id, 'tone outside the sweep' AS problem FROM (SELECT DISTINCT user_id % 3 AS b FROM events), (SELECT range AS r FROM range(5)) WHERE r % 2 = 1")
+@query("""WITH b AS (SELECT DISTINCT user_id % 3 AS b FROM events) SELECT 'B' || b AS block, CAST(r AS INTEGER) AS res_id, 'tone outside the sweep' AS problem FROM b, (SELECT range AS r FROM range(5)) WHERE r % 2 = 1
+UNION ALL SELECT 'B' || b, 0, 'more than one comb tone' FROM b WHERE b = 0 UNION ALL SELECT 'B' || b, 2, 'more than one sweep' FROM b WHERE b = 1 UNION ALL SELECT 'B' || b, 9, 'no sweep' FROM b
+UNION ALL SELECT 'B' || b, 4, 'frequencies must rise from above 0' FROM b WHERE b = 2 UNION ALL SELECT 'B' || b, 4, 'values missing' FROM b WHERE b = 1""")
 def sweep_violations(spark, sf_dir):
     t = _tones(spark, sf_dir).withColumn("f_tone", F.when(F.col("res_id") % 2 == 1, 1000.0).otherwise(F.col("f_tone")))
-    return readout.validate_sweep(_sweep(spark, sf_dir), t)
+    t = t.unionByName(t.where("block = 'B0' and res_id = 0")).unionByName(t.where("res_id = 0").withColumn("res_id", F.lit(9)))
+    s = _sweep(spark, sf_dir).withColumn("sweep_id", F.when(F.expr("block = 'B1' and res_id = 2"), F.col("pt") % 2).otherwise(0))
+    s = s.withColumns({"freq": F.when(F.expr("block = 'B2' and res_id = 4 and pt = 0"), 301.0).otherwise(F.col("freq")), "q": F.when(F.expr("block = 'B1' and res_id = 4 and pt = 20"), F.lit(None)).otherwise(F.col("q"))})
+    return readout.validate_sweep(s, t)
 
 
 # ---------------------------------------------------------------- alignment
 
-STREAM = "st AS (SELECT event_type AS stream, epoch_us(ts) / 1e6 - 1704067200 AS t, avg(value) AS v FROM events GROUP BY 1, 2), tg AS (SELECT CAST(range * 7200.0 AS DOUBLE) AS t FROM range(350))"
+STREAM = "st AS (SELECT event_type AS stream, epoch_us(ts) / 1e6 - 1704067200 AS t, avg(value) AS v FROM events GROUP BY 1, 2), tg AS (SELECT CAST(unnest(range(0, CAST(floor(max(t) / 7200) AS BIGINT) + 1)) * 7200.0 AS DOUBLE) AS t FROM st)"
 
 
 def _streams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,24 +282,31 @@ def _streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").groupBy(F.col("event_type").alias("stream"), t.alias("t")).agg(F.avg("value").alias("v"))
 
 
-def _targets(spark: SparkSession) -> DataFrame:
-    return spark.range(350).select((F.col("id") * 7200.0).alias("t"))
+def _steps(spark: SparkSession, sf_dir: str, step: float, beyond: int = 0) -> DataFrame:
+    """id: 0 to the number of whole steps up to the last event, and so many beyond."""
+    last = _streams(spark, sf_dir).agg(F.floor(F.max("t") / step).alias("n")).where("n is not null")
+    return last.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") + beyond)).alias("id"))
+
+
+def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _steps(spark, sf_dir, 7200.0).select((F.col("id") * 7200.0).alias("t"))
 
 
 BRACKET = f"""{STREAM}, cd AS (SELECT stream, median(d) AS cad FROM (SELECT stream, t - lag(t) OVER (PARTITION BY stream ORDER BY t) AS d FROM st) GROUP BY stream),
 pr AS (SELECT s.stream, tg.t FROM tg, (SELECT DISTINCT stream FROM st) s), lo AS (SELECT pr.stream, pr.t, st.t AS t0, st.v AS v0 FROM pr ASOF LEFT JOIN st ON pr.stream = st.stream AND pr.t >= st.t),
-br AS (SELECT lo.*, st.t AS t1, st.v AS v1 FROM lo ASOF LEFT JOIN st ON lo.stream = st.stream AND lo.t <= st.t), bv AS (SELECT br.*, coalesce(t0 IS NOT NULL AND t1 IS NOT NULL AND t1 - t0 <= 1.5 * cad, false) AS valid FROM br JOIN cd USING (stream))"""
+br AS (SELECT lo.*, st.t AS t1, st.v AS v1 FROM lo ASOF LEFT JOIN st ON lo.stream = st.stream AND lo.t <= st.t), bv AS (SELECT br.*, coalesce(t0 IS NOT NULL AND t1 IS NOT NULL AND t1 - t0 <= 1.5 * cad, false) AS valid, CASE WHEN t - t0 <= 40 THEN 0 WHEN t1 - t <= 40 THEN 1 END AS hit FROM br JOIN cd USING (stream))"""
 
 
-@query(f"WITH {BRACKET} SELECT stream, t, round(t0, 4) AS t0, round(v0, 6) AS v0, round(t1, 4) AS t1, round(v1, 6) AS v1, valid FROM bv")
+@query(f"""WITH {BRACKET} SELECT stream, t, round(CASE WHEN hit = 1 THEN t1 ELSE t0 END, 4) AS t0, round(CASE WHEN hit = 1 THEN v1 ELSE v0 END, 6) AS v0, round(CASE WHEN hit = 0 THEN t0 ELSE t1 END, 4) AS t1,
+round(CASE WHEN hit = 0 THEN v0 ELSE v1 END, 6) AS v1, valid OR hit IS NOT NULL AS valid FROM bv""")
 def as_of_brackets(spark, sf_dir):
-    j = align.bracket_join(_streams(spark, sf_dir), _targets(spark), "v", bucket=20_000.0)
+    j = align.bracket_join(_streams(spark, sf_dir), _targets(spark, sf_dir), "v", bucket=20_000.0, tol=40.0)
     return j.select("stream", "t", r("t0", 4).alias("t0"), r("v0").alias("v0"), r("t1", 4).alias("t1"), r("v1").alias("v1"), "valid")
 
 
 @query(f"WITH {BRACKET} SELECT stream, t, CASE WHEN valid THEN round(CASE WHEN t1 > t0 THEN v0 + (v1 - v0) * (t - t0) / (t1 - t0) ELSE v0 END, 5) + 0.0 END AS v, CASE WHEN valid THEN 0 ELSE 2 END AS flags FROM bv")
 def aligned_streams(spark, sf_dir):
-    return align.align_streams(_streams(spark, sf_dir), _targets(spark), "v", bucket=20_000.0).select("stream", "t", r("v", 5).alias("v"), "flags")
+    return align.align_streams(_streams(spark, sf_dir), _targets(spark, sf_dir), "v", bucket=20_000.0).select("stream", "t", r("v", 5).alias("v"), "flags")
 
 
 @query(f"""WITH {STREAM}, sp AS (SELECT stream, min(t) AS a, max(t) AS b FROM st GROUP BY stream), c AS (SELECT median(d) AS cad FROM (SELECT t - lag(t) OVER (ORDER BY t) AS d FROM st WHERE stream = (SELECT min(stream) FROM st)))
@@ -278,15 +315,15 @@ def shared_time_grid(spark, sf_dir):
     return align.common_grid(_streams(spark, sf_dir)).select(r("t", 3).alias("t"))
 
 
-HK = "hk AS (SELECT range * 600.0 AS t, (355.0 + range * 0.37) % 360 AS az, 45 + 10 * sin(range / 50.0) AS el FROM range(4321))"
+HK = "hk AS (SELECT k * 600.0 AS t, (355.0 + k * 0.37) % 360 AS az, 45 + 10 * sin(k / 50.0) AS el FROM (SELECT unnest(range(0, CAST(floor(max(t) / 600) AS BIGINT) + 2)) AS k FROM st))"
 
 
 @query(f"WITH {STREAM}, {HK}, j AS (SELECT tg.t, floor(tg.t / 600) AS k FROM tg) SELECT t, round((355.0 + t / 600 * 0.37) % 360, 6) AS az, round((SELECT el FROM hk WHERE hk.t = j.t), 6) AS el FROM j WHERE t IN (SELECT DISTINCT floor((epoch_us(ts) / 1e6 - 1704067200) / 7200) * 7200.0 FROM events)")
 def aligned_pointing(spark, sf_dir):
     i = F.col("id")
-    hk = spark.range(4321).select((i * 600.0).alias("t"), ((355.0 + i * 0.37) % 360).alias("az"), (45 + 10 * F.sin(i / 50.0)).alias("el"))
+    hk = _steps(spark, sf_dir, 600.0, 1).select((i * 600.0).alias("t"), ((355.0 + i * 0.37) % 360).alias("az"), (45 + 10 * F.sin(i / 50.0)).alias("el"))
     seen = _streams(spark, sf_dir).select((F.floor(F.col("t") / 7200) * 7200.0).alias("t")).distinct()
-    return rounded(align.align_pointing(hk, seen.join(_targets(spark), "t"), bucket=50_000.0))
+    return rounded(align.align_pointing(hk, seen.join(_targets(spark, sf_dir), "t"), bucket=50_000.0))
 
 
 @query("""WITH d AS (SELECT o_custkey % 5 AS stream, o_orderkey AS row, o_totalprice % 360 AS a FROM orders), s AS (SELECT *, coalesce(((a - lag(a) OVER w + 180) % 360 + 360) % 360 - 180, 0) AS d, first(a) OVER w AS f FROM d WINDOW w AS (PARTITION BY stream ORDER BY row))
@@ -323,8 +360,8 @@ def _quat(ra, dec):
     return g.quat(-F.sin(a) * F.sin(b), F.cos(a) * F.sin(b), F.sin(a) * F.cos(b), F.cos(a) * F.cos(b))
 
 
-def _bore(spark: SparkSession) -> DataFrame:
-    return boresight(spark).withColumn("q", _quat(F.col("ra_bore"), F.col("dec_bore")))
+def _bore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boresight(spark, sf_dir).withColumn("q", _quat(F.col("ra_bore"), F.col("dec_bore")))
 
 
 def _focalplane(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,13 +374,13 @@ def _focalplane(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {TOD} SELECT det, sample_idx, round(ra_bore, 6) AS ra, round(dec_bore - 0.05 * (det_idx - 2), 6) AS dec FROM tod WHERE flags = 0")
 def detector_positions(spark, sf_dir):
     t = tod_of(spark, sf_dir).drop("ra", "dec", "ra_bore", "dec_bore").where("flags = 0")
-    return pointing.detector_radec(t, _bore(spark), _focalplane(spark, sf_dir)).select("det", "sample_idx", r("ra").alias("ra"), r("dec").alias("dec"))
+    return pointing.detector_radec(t, _bore(spark, sf_dir), _focalplane(spark, sf_dir)).select("det", "sample_idx", r("ra").alias("ra"), r("dec").alias("dec"))
 
 
 @query(f"WITH {TOD} SELECT DISTINCT sample_idx, round(ra_bore, 6) AS ra_bore, round(dec_bore, 6) AS dec_bore FROM tod")
 def boresight_positions(spark, sf_dir):
     seen = tod_of(spark, sf_dir).select("sample_idx").distinct()
-    return pointing.boresight_to_radec(_bore(spark).drop("ra_bore", "dec_bore")).join(seen, "sample_idx").select("sample_idx", r("ra_bore").alias("ra_bore"), r("dec_bore").alias("dec_bore"))
+    return pointing.boresight_to_radec(_bore(spark, sf_dir).drop("ra_bore", "dec_bore")).join(seen, "sample_idx").select("sample_idx", r("ra_bore").alias("ra_bore"), r("dec_bore").alias("dec_bore"))
 
 
 @query("SELECT s_suppkey, round((CAST(s_nationkey AS DOUBLE) * 14.2 + 1) % 360, 6) AS ra, round(s_acctbal / 200, 6) + 0.0 AS dec FROM supplier")
@@ -375,7 +412,7 @@ def names(spark, sf_dir):
 def map_centres(spark, sf_dir):
     from starloom.operators.chunks import fully_flagged
 
-    stats = detectors.mean_boresight(boresight(spark), fully_flagged(tod_of(spark, sf_dir)))
+    stats = detectors.mean_boresight(boresight(spark, sf_dir), fully_flagged(tod_of(spark, sf_dir)))
     targets = spark.createDataFrame([("Blob A", 10.4, 20.3)], "name string, ra double, dec double")
     return rounded(pointing.map_center(stats, targets, " blob a").unionByName(pointing.map_center(stats, targets, "other")).unionByName(pointing.map_center(stats, pair=(1, 2))), 8)
 
@@ -433,20 +470,20 @@ def residual_statistics(spark, sf_dir):
 TRACK = "tk AS (SELECT DISTINCT sample_idx, ra_bore, (10.5 - ra_bore) AS du, (20.3 - dec_bore) AS dv FROM tod), dr AS (SELECT *, coalesce(ra_bore > lag(ra_bore) OVER (ORDER BY sample_idx), false) AS rt FROM tk)"
 
 
-def _track(spark: SparkSession) -> DataFrame:
-    return boresight(spark).withColumns({"du": F.lit(10.5) - F.col("ra_bore"), "dv": F.lit(20.3) - F.col("dec_bore")})
+def _track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boresight(spark, sf_dir).withColumns({"du": F.lit(10.5) - F.col("ra_bore"), "dv": F.lit(20.3) - F.col("dec_bore")})
 
 
 @query(f"WITH {TOD}, {TRACK} SELECT rt AS \"right\", count(*) AS n FROM dr WHERE sample_idx IN (SELECT sample_idx FROM tod) GROUP BY rt")
 def scan_directions(spark, sf_dir):
     seen = tod_of(spark, sf_dir).select("obs_id", "sample_idx").distinct()
-    return recon.scan_direction(boresight(spark)).join(seen, ["obs_id", "sample_idx"], "left_semi").groupBy("right").agg(F.count("*").alias("n"))
+    return recon.scan_direction(boresight(spark, sf_dir)).join(seen, ["obs_id", "sample_idx"], "left_semi").groupBy("right").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {TOD}, {TRACK}, b AS (SELECT det_idx, rt, du, dv FROM tod JOIN dr USING (sample_idx) WHERE flags = 0 AND signal IS NOT NULL QUALIFY row_number() OVER (PARTITION BY det_idx, rt ORDER BY signal DESC, sample_idx) = 1)
 SELECT r.det_idx, round(r.du - l.du, 6) + 0.0 AS dx, round(r.dv - l.dv, 6) + 0.0 AS dy FROM b r JOIN b l ON r.det_idx = l.det_idx AND r.rt AND NOT l.rt""")
 def left_right_asymmetry(spark, sf_dir):
-    return rounded(recon.scan_asymmetry(tod_of(spark, sf_dir), _track(spark)))
+    return rounded(recon.scan_asymmetry(tod_of(spark, sf_dir), _track(spark, sf_dir)))
 
 
 FP_GRID = Grid(-0.575, -0.325, 0.05, 0.05, 24, 14)
@@ -457,14 +494,14 @@ fm AS (SELECT det_idx, iy, ix, sum(x) AS data, CAST(count(*) AS DOUBLE) AS hits
 
 @query(f"WITH {TOD}, {FP} SELECT det_idx, iy, ix, round(data, 6) + 0.0 AS data, hits FROM fm")
 def focalplane_detector_maps(spark, sf_dir):
-    return rounded(recon.focalplane_maps(tod_of(spark, sf_dir), _track(spark), FP_GRID))
+    return rounded(recon.focalplane_maps(tod_of(spark, sf_dir), _track(spark, sf_dir), FP_GRID))
 
 
 @query(f"""WITH {TOD}, {FP}, v AS (SELECT *, data / hits AS value FROM fm), q AS (SELECT det_idx, median(value) AS m FROM v GROUP BY det_idx), rm AS (SELECT det_idx, sqrt(avg(value * value)) AS rms FROM v JOIN q USING (det_idx) WHERE value < m GROUP BY det_idx),
 pk AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY det_idx ORDER BY value DESC, iy, ix) = 1)
 SELECT det_idx, iy, ix, hits, round(value / rms, 5) AS snr FROM pk JOIN rm USING (det_idx) WHERE ix BETWEEN 1 AND 22 AND iy BETWEEN 1 AND 12 AND hits >= 2 AND value / rms >= 0.5""")
 def picked_peaks(spark, sf_dir):
-    p = recon.pick_peaks(recon.focalplane_maps(tod_of(spark, sf_dir), _track(spark), FP_GRID), FP_GRID, 1, 2, 0.5)
+    p = recon.pick_peaks(recon.focalplane_maps(tod_of(spark, sf_dir), _track(spark, sf_dir), FP_GRID), FP_GRID, 1, 2, 0.5)
     return p.select("det_idx", "iy", "ix", "hits", r("snr", 5).alias("snr"))
 
 
@@ -498,14 +535,39 @@ def fine_centroids(spark, sf_dir):
 
 @query(f"WITH {TOD}, {BEST}, {TRACK} SELECT det_idx, round(du, 6) + 0.0 AS x, round(dv, 6) + 0.0 AS y FROM bs JOIN tk USING (sample_idx)")
 def peak_time_positions(spark, sf_dir):
-    return rounded(recon.peak_time_position(tod_of(spark, sf_dir), _track(spark)))
+    return rounded(recon.peak_time_position(tod_of(spark, sf_dir), _track(spark, sf_dir)))
 
 
 #: With the turn used here the focal plane's x axis points to lower Dec along the meridian at every sample.
 @query(f"WITH {TOD} SELECT CAST(-90.0 AS DOUBLE) + 0.0 AS mean, CAST(0.0 AS DOUBLE) AS std, CAST(0.0 AS DOUBLE) AS range FROM tod LIMIT 1")
 def position_angles(spark, sf_dir):
     seen = tod_of(spark, sf_dir).select("obs_id", "sample_idx").distinct()
-    return rounded(recon.position_angle(_bore(spark).join(seen, ["obs_id", "sample_idx"], "left_semi")))
+    return rounded(recon.position_angle(_bore(spark, sf_dir).join(seen, ["obs_id", "sample_idx"], "left_semi")))
+
+
+@query(f"WITH {LINES} SELECT iy, ix, round(sum(signal), 2) + 0.0 AS data, count(*) AS n_samples FROM li WHERE flags = 0 AND sample_idx % 11 > 6 GROUP BY iy, ix")
+def finite_samples_map(spark, sf_dir):
+    """Samples whose pointing or signal is NaN, infinite or null are in no pixel."""
+    k = F.col("sample_idx") % 11
+    odd = lambda c, at: F.when(k == at, float("nan")).when(k == at + 1, float("inf")).when(k == 6, F.lit(None)).otherwise(F.col(c))
+    t = tod_from_lineitem(spark, sf_dir)
+    return binning.bin_map(t.withColumns({c: odd(c, 2 * j) for j, c in enumerate(("ra", "dec", "signal"))}), LINES_GRID).select("iy", "ix", r("data", 2).alias("data"), "n_samples")
+
+
+@query(f"WITH {LINES} SELECT det_idx, iy, ix, count(*) * 1.0::DOUBLE AS hits FROM li WHERE flags = 0 AND sample_idx % 11 > 6 GROUP BY det_idx, iy, ix")
+def finite_samples_detector_maps(spark, sf_dir):
+    k = F.col("sample_idx") % 11
+    odd = lambda c, at: F.when(k == at, float("nan")).when(k == at + 1, float("-inf")).when(k == 6, F.lit(None)).otherwise(F.col(c))
+    t = tod_from_lineitem(spark, sf_dir).withColumns({c: odd(c, 2 * j) for j, c in enumerate(("signal", "dec", "ra"))})
+    return binning.bin_per_detector(t, LINES_GRID).select("det_idx", "iy", "ix", "hits")
+
+
+@query(f"WITH {TOD} SELECT det, sample_idx, iy, ix FROM (SELECT *, CAST(floor((ra - 9.875) / 0.05) AS INTEGER) AS ix, CAST(floor((dec - 20.075) / (0.3 / 5)) AS INTEGER) AS iy FROM tod) WHERE ix BETWEEN 0 AND 23 AND iy BETWEEN 0 AND 4")
+def fixed_axis_pixels(spark, sf_dir):
+    """RA pixels to the extent, and five pixels of 0.06 degrees in a Dec axis of fixed length."""
+    g_ = binning.make_grid(10.475, 20.225, 1.2, 0.3, 0.06)
+    assert g_.ny == 5
+    return binning.pixels(tod_of(spark, sf_dir), Grid(9.875, g_.dec_lo, 0.05, g_.step_dec, 24, g_.ny)).select("det", "sample_idx", "iy", "ix")
 
 
 # ---------------------------------------------------------------- storage
@@ -562,7 +624,6 @@ def _arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query(f"WITH {LINES} SELECT iy, ix, round(sum(signal), 2) + 0.0 AS data, CAST(count(*) AS DOUBLE) AS hits, count(*) AS n_samples FROM li WHERE flags = 0 GROUP BY iy, ix")
 def streamed_map(spark, sf_dir):
-    from starloom.jobs.base import LINES_GRID
     from starloom.sources.adapters import lineitem_samples
 
     at = _shared(spark)

@@ -14,11 +14,12 @@ from starloom.functions.geometry import shortest_arc
 from starloom.operators.chunks import median_cadence
 
 
-def bracket_join(src: DataFrame, targets: DataFrame, value: str, factor: float = 1.5, bucket: float = 3600.0) -> DataFrame:
+def bracket_join(src: DataFrame, targets: DataFrame, value: str, factor: float = 1.5, bucket: float = 3600.0, tol: float = 0.0) -> DataFrame:
     """stream, t, t0, v0, t1, v1, valid: the last source row at or before each target time and the first at or after.
 
     src has (stream, t, value), targets (t), all times in one unit.  Not valid outside the source's range or
-    where the bracket is wider than factor median cadences.  bucket is a time span of the same unit.
+    where the bracket is wider than factor median cadences.  A source row within tol of the target is an exact hit, valid
+    over any gap, and both ends of the bracket.  bucket and tol are time spans of the same unit.
     """
     s = src.select("stream", "t", F.col(value).alias("v")).where("v is not null")
     b = lambda c: F.floor(F.col(c) / bucket)
@@ -33,7 +34,9 @@ def bracket_join(src: DataFrame, targets: DataFrame, value: str, factor: float =
     up = Window.partitionBy("stream", "k").orderBy("t").rangeBetween(0, Window.unboundedFollowing)
     near = rows.withColumns({"l": F.last("p", ignorenulls=True).over(at), "r": F.first("p", ignorenulls=True).over(up)}).where("ask")
     full = near.join(ends.select("stream", "k", "before", "after"), ["stream", "k"], "left")
-    full = full.select("stream", "t", F.coalesce("l", "before").alias("l"), F.coalesce("r", "after").alias("r")).join(F.broadcast(median_cadence(s, "stream")), "stream", "left")
+    full = full.select("stream", "t", F.coalesce("l", "before").alias("l"), F.coalesce("r", "after").alias("r")).join(F.broadcast(median_cadence(s, "stream", bucket=bucket)), "stream", "left")
+    hit = F.when(F.col("t") - F.col("l.t") <= tol, F.col("l")).when(F.col("r.t") - F.col("t") <= tol, F.col("r"))
+    full = full.withColumn("hit", hit).withColumns({c: F.coalesce("hit", c) for c in ("l", "r")})
     valid = F.col("l").isNotNull() & F.col("r").isNotNull() & ((F.col("r.t") - F.col("l.t")) <= factor * F.col("cadence"))
     return full.select("stream", "t", F.col("l.t").alias("t0"), F.col("l.v").alias("v0"), F.col("r.t").alias("t1"), F.col("r.v").alias("v1"), F.coalesce(valid, F.lit(False)).alias("valid"))
 
@@ -90,7 +93,3 @@ def validate_times(df: DataFrame) -> DataFrame:
     if "az" in df.columns:
         tests += [((F.col("az") < 0) | (F.col("az") >= 360), "azimuth out of range"), (F.abs("el") > 90, "elevation out of range")]
     return d.select("stream", F.explode(F.filter(F.array(*(F.when(t, F.lit(m)) for t, m in tests)), lambda p: p.isNotNull())).alias("problem")).distinct()
-
-
-def order_hk(hk: DataFrame) -> DataFrame:
-    return hk.orderBy("t")

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.flags import is_finite, usable
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -41,15 +43,19 @@ def auto_grid(extent: DataFrame, ra: float, dec: float, res: float, xlen: float
 
 
 def pixels(tod: DataFrame, grid: Grid, ra: str = "ra", dec: str = "dec") -> DataFrame:
-    """Adds iy, ix and drops samples off the grid; a pixel's right edge is the next one's."""
-    ix, iy = F.floor((F.col(ra) - grid.ra_lo) / grid.step_ra).cast("int"), F.floor((F.col(dec) - grid.dec_lo) / grid.step_dec).cast("int")
-    return tod.withColumns({"iy": iy, "ix": ix}).where(F.col("ix").between(0, grid.nx - 1) & F.col("iy").between(0, grid.ny - 1))
+    """Adds iy, ix and drops samples off the grid or without finite pointing; a pixel's right edge is the next one's."""
+    ix, iy = spot((F.col(ra) - grid.ra_lo) / grid.step_ra, grid.nx), spot((F.col(dec) - grid.dec_lo) / grid.step_dec, grid.ny)
+    return tod.withColumns({"iy": iy, "ix": ix}).where("ix is not null and iy is not null")
+
+
+def spot(place: Column, n: int) -> Column:
+    """The number of the pixel, of n on an axis, that holds a place in pixels; null off the axis and for what is not finite."""
+    return F.when((place >= 0) & (place < n), F.floor(place).cast("int"))
 
 
 def good_samples(tod: DataFrame) -> DataFrame:
-    """Unflagged before and after cleaning, with a value."""
-    out = tod.where("flags = 0 and signal is not null")
-    return out.where("clean_flags = 0") if "clean_flags" in tod.columns else out
+    """Unflagged before and after cleaning, with a finite value."""
+    return tod.where(usable(F.col("flags"), F.col("clean_flags") if "clean_flags" in tod.columns else None) & is_finite(F.col("signal")))
 
 
 def weighted(tod: DataFrame, weights: DataFrame | None) -> DataFrame:
@@ -84,17 +90,17 @@ def bin_map_pair(tod: DataFrame, grid: Grid, weights: DataFrame | None, naive: s
 
 def bin_edges(tod: DataFrame, ra_edges: list[float], dec_edges: list[float], weights: DataFrame | None = None) -> DataFrame:
     """Bins of given edges, e[k] <= x < e[k + 1]; edges are the grid's own short lists."""
-    spot = lambda c, edges: F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(c))) - 1
-    px = weighted(good_samples(tod), weights).withColumns({"ix": spot("ra", ra_edges), "iy": spot("dec", dec_edges)})
+    bin_of = lambda c, edges: F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(c))) - 1
+    px = weighted(good_samples(tod), weights).withColumns({"ix": bin_of("ra", ra_edges), "iy": bin_of("dec", dec_edges)})
     px = px.where(F.col("ix").between(0, len(ra_edges) - 2) & F.col("iy").between(0, len(dec_edges) - 2))
     return px.groupBy("iy", "ix").agg(*sums(), F.count("*").alias("n_samples"))
 
 
 def bin_per_detector(tod: DataFrame, grid: Grid, ra: str = "ra", dec: str = "dec") -> DataFrame:
     """det_idx, iy, ix, data, hits: unweighted; the last pixel of an axis holds its right edge as well."""
-    spot = lambda c, lo, step, n: F.when(F.abs(F.col(c) - (lo + n * step)) < 1e-12, n - 1).otherwise(F.floor((F.col(c) - lo) / step)).cast("int")
-    px = good_samples(tod).withColumns({"ix": spot(ra, grid.ra_lo, grid.step_ra, grid.nx), "iy": spot(dec, grid.dec_lo, grid.step_dec, grid.ny)})
-    px = px.where(F.col("ix").between(0, grid.nx - 1) & F.col("iy").between(0, grid.ny - 1))
+    at = lambda c, lo, step, n: F.when(F.abs(F.col(c) - (lo + n * step)) < 1e-12, n - 1).otherwise(spot((F.col(c) - lo) / step, n))
+    px = good_samples(tod).withColumns({"ix": at(ra, grid.ra_lo, grid.step_ra, grid.nx), "iy": at(dec, grid.dec_lo, grid.step_dec, grid.ny)})
+    px = px.where("ix is not null and iy is not null")
     return px.groupBy("det_idx", "iy", "ix").agg(F.sum("signal").alias("data"), F.count("*").cast("double").alias("hits"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.medians import exact_median
+
 
 def assign_chunks(samples: DataFrame, dur_s: float, rate: float, per_file: bool = False) -> DataFrame:
     """Adds chunk_index to a per-time table (obs_id, file_idx, sample_idx, ...).
@@ -56,14 +58,23 @@ def subsample(samples: DataFrame, step: int) -> DataFrame:
 
 def sample_rate(samples: DataFrame) -> DataFrame:
     """obs_id, rate: samples of the first file over the time between its first and last."""
-    first = samples.withColumn("__f", F.min("file_idx").over(Window.partitionBy("obs_id"))).where("file_idx = __f") if "file_idx" in samples.columns else samples
+    first = samples
+    if "file_idx" in samples.columns:  # a row an observation
+        first = samples.join(samples.groupBy("obs_id").agg(F.min("file_idx").alias("file_idx")), ["obs_id", "file_idx"], "left_semi")
     return first.groupBy("obs_id").agg((F.countDistinct("t") / (F.max("t") - F.min("t"))).alias("rate"))
 
 
-def median_cadence(stream: DataFrame, key: str, t: str = "t") -> DataFrame:
-    """key, cadence: median step between neighbouring times."""
-    d = stream.withColumn("__d", F.col(t) - F.lag(t).over(Window.partitionBy(key).orderBy(t)))
-    return d.groupBy(key).agg(F.expr("percentile(__d, 0.5)").alias("cadence"))
+def median_cadence(stream: DataFrame, key: str, t: str = "t", bucket: float = 3600.0) -> DataFrame:
+    """key, cadence: median step between neighbouring times.
+
+    Steps are taken inside buckets of time, and the first of a bucket from the last time before it.
+    """
+    own = stream.select(key, F.col(t).alias("__t"), F.floor(F.col(t) / bucket).alias("__k"))
+    ends = own.groupBy(key, "__k").agg(F.max("__t").alias("__end"))
+    before = ends.withColumn("__before", F.lag("__end").over(Window.partitionBy(key).orderBy("__k"))).drop("__end")  # one row a bucket
+    last = F.lag("__t").over(Window.partitionBy(key, "__k").orderBy("__t"))
+    steps = own.join(before, [key, "__k"]).withColumn("__d", F.col("__t") - F.coalesce(last, F.col("__before")))
+    return exact_median(steps.where("__d is not null"), [key], "__d").withColumnRenamed("__d", "cadence")
 
 
 def fully_flagged(tod: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.flags import COSMIC_RAY, GAP, has_flag
 from starloom.operators.binning import Grid, good_samples, pixels, weighted
 
 
@@ -41,12 +42,16 @@ def all_splits(tod: DataFrame, grid: Grid, halves: DataFrame, weights: DataFrame
     return px.groupingSets(sets, "iy", "ix", "time_half", "det_half").agg(F.sum(F.col("w") * F.col("signal")).alias("data"), F.sum("w").alias("hits"))
 
 
-def null_report(null: DataFrame) -> DataFrame:
-    """Covered pixels of each half and of both, and whether there is any overlap."""
-    return null.agg(F.count_if(F.col("hits0") > 0).alias("covered0"), F.count_if(F.col("hits1") > 0).alias("covered1"), F.count_if(F.col("value").isNotNull()).alias("overlap")).withColumn("warn", F.col("overlap") == 0)
+def null_report(null: DataFrame, halves: DataFrame | None = None) -> DataFrame:
+    """Covered pixels of each half and of both, and whether there is any overlap; with halves (det_idx, half) also who is in each."""
+    out = null.agg(F.count_if(F.col("hits0") > 0).alias("covered0"), F.count_if(F.col("hits1") > 0).alias("covered1"), F.count_if(F.col("value").isNotNull()).alias("overlap")).withColumn("warn", F.col("overlap") == 0)
+    if halves is None:
+        return out
+    group = lambda k: F.array_sort(F.collect_set(F.when(F.col("half") == k, F.col("det_idx")))).alias(f"group{k}")
+    return out.crossJoin(halves.agg(group(0), group(1)))  # one row each; a group lists detectors, not samples
 
 
 def pass_stats(tod: DataFrame) -> DataFrame:
     """Counts of flagged samples by kind, for cleaned timestreams of kept detectors."""
     c = F.col("clean_flags")
-    return tod.agg(F.count("*").alias("samples"), F.count_if(F.col("flags") != 0).alias("input_flagged"), F.count_if(c.bitwiseAND(F.lit(2)) != 0).alias("gap_flagged"), F.count_if(c.bitwiseAND(F.lit(1)) != 0).alias("cosmic_flagged"), F.count_if((F.col("flags") != 0) | (c != 0)).alias("combined"))
+    return tod.agg(F.count("*").alias("samples"), F.count_if(F.col("flags") != 0).alias("input_flagged"), F.count_if(has_flag(c, GAP)).alias("gap_flagged"), F.count_if(has_flag(c, COSMIC_RAY)).alias("cosmic_flagged"), F.count_if((F.col("flags") != 0) | (c != 0)).alias("combined"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions import arrays
+from starloom.functions.medians import exact_median
 
 CHANNEL = r"^r(\d+)_([IQ])$"
 
@@ -23,7 +24,7 @@ def pair_iq(iq: DataFrame) -> DataFrame:
 
 
 def validate_iq(iq: DataFrame) -> DataFrame:
-    """block, problem: bad names, duplicates, missing halves, gaps in the ids, lists that change between frames."""
+    """block, problem: bad names, duplicates, missing halves, gaps in the ids, lists that change between frames or files."""
     c = _channels(iq)
     bad = c.where("part = ''").select("block", F.lit("bad channel name").alias("problem"))
     good = c.where("part <> ''")
@@ -31,9 +32,10 @@ def validate_iq(iq: DataFrame) -> DataFrame:
     half = good.groupBy("block", "res_id").agg(F.countDistinct("part").alias("n")).where("n < 2").select("block", F.lit("missing half").alias("problem"))
     gap = good.groupBy("block").agg(F.max("res_id").alias("m"), F.countDistinct("res_id").alias("n")).where("m + 1 <> n").select("block", F.lit("ids not contiguous").alias("problem"))
     parts = [bad, dup, half, gap]
-    if "frame" in iq.columns:
-        lists = good.groupBy("block", "frame").agg(F.array_sort(F.collect_set("channel")).alias("l"))
-        parts.append(lists.groupBy("block").agg(F.countDistinct("l").alias("n")).where("n > 1").select("block", F.lit("channel list changes").alias("problem")))
+    for by, message in (("frame", "channel list changes"), ("file_idx", "detector list changes between files")):
+        if by in iq.columns:  # a list of channels for each block and frame or file
+            lists = good.groupBy("block", by).agg(F.array_sort(F.collect_set("channel")).alias("l"))
+            parts.append(lists.groupBy("block").agg(F.countDistinct("l").alias("n")).where("n > 1").select("block", F.lit(message).alias("problem")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -41,7 +43,8 @@ def validate_iq(iq: DataFrame) -> DataFrame:
 
 
 def validate_sweep(sweep: DataFrame, tones: DataFrame) -> DataFrame:
-    """block, res_id, problem: too few points, frequencies not rising or not positive, tone outside, no gradient."""
+    """block, res_id, problem: too few points, frequencies not rising or not positive, tone outside, no gradient,
+    not exactly one sweep (where sweeps have a sweep_id), more than one comb tone."""
     w = Window.partitionBy("block", "res_id").orderBy("pt")
     s = sweep.withColumn("prev", F.lag("freq").over(w))
     stats = s.groupBy("block", "res_id").agg(F.count("*").alias("n"), F.min("freq").alias("lo"), F.max("freq").alias("hi"), F.bool_or(F.col("prev") >= F.col("freq")).alias("falls"), F.bool_or(F.col("freq").isNull() | F.col("i").isNull() | F.col("q").isNull()).alias("holes"))
@@ -49,7 +52,14 @@ def validate_sweep(sweep: DataFrame, tones: DataFrame) -> DataFrame:
     j = stats.join(tones, ["block", "res_id"], "left").join(ref, ["block", "res_id"], "left")
     tests = [(F.col("n") < 2, "fewer than two points"), (F.coalesce(F.col("falls"), F.lit(False)) | (F.col("lo") <= 0), "frequencies must rise from above 0"), (F.col("holes"), "values missing"), ((F.col("f_tone") < F.col("lo")) | (F.col("f_tone") > F.col("hi")), "tone outside the sweep"), ((F.col("g2") == 0) & F.col("f_tone").between(F.col("lo"), F.col("hi")), "no gradient at the tone")]
     problems = F.filter(F.array(*(F.when(t, F.lit(m)) for t, m in tests)), lambda p: p.isNotNull())
-    return j.select("block", "res_id", F.explode(problems).alias("problem"))
+    out = j.select("block", "res_id", F.explode(problems).alias("problem"))
+    combs = tones.groupBy("block", "res_id").agg(F.count("*").alias("n"))
+    lone = tones.join(sweep, ["block", "res_id"], "left_anti").select("block", "res_id", F.lit("no sweep").alias("problem"))
+    out = out.unionByName(lone).unionByName(combs.where("n > 1").select("block", "res_id", F.lit("more than one comb tone").alias("problem")))
+    if "sweep_id" in sweep.columns:
+        many = sweep.groupBy("block", "res_id").agg(F.countDistinct("sweep_id").alias("n")).where("n > 1")
+        out = out.unionByName(many.select("block", "res_id", F.lit("more than one sweep").alias("problem")))
+    return out.distinct()
 
 
 def sweep_i_min(sweep: DataFrame) -> DataFrame:
@@ -68,7 +78,7 @@ def sweep_i_dvmax(sweep: DataFrame) -> DataFrame:
 
 def tone_from_median(iq: DataFrame, sweep: DataFrame) -> DataFrame:
     """block, res_id, f_tone: the sweep's frequency nearest to the median of the data."""
-    med = iq.groupBy("block", "res_id").agg(F.expr("percentile(i, 0.5)").alias("mi"), F.expr("percentile(q, 0.5)").alias("mq"))
+    med = exact_median(iq, ["block", "res_id"], "i").withColumnRenamed("i", "mi").join(exact_median(iq, ["block", "res_id"], "q").withColumnRenamed("q", "mq"), ["block", "res_id"])
     d = sweep.join(med, ["block", "res_id"]).withColumn("d2", (F.col("i") - F.col("mi")) ** 2 + (F.col("q") - F.col("mq")) ** 2)
     return d.groupBy("block", "res_id").agg(F.min(F.struct("d2", "pt", "freq")).alias("b")).select("block", "res_id", F.col("b.freq").alias("f_tone"))
 
@@ -104,17 +114,35 @@ def iq_to_df_gradient(iq: DataFrame, ref: DataFrame) -> DataFrame:
     return j.withColumn("shift_hz", shift).withColumn("df_f0", F.col("shift_hz") / F.col("f_tone"))
 
 
-def iq_to_df_angle(iq: DataFrame, sweep: DataFrame, tones: DataFrame) -> DataFrame:
-    """Adds df_f0 from the phase about the sweep's centre; sweeps are packed to one row a resonator and joined."""
-    packed = sweep.groupBy("block", "res_id").agg(F.array_sort(F.collect_list(F.struct("pt", "freq", "i", "q"))).alias("s"))
-    small = packed.join(tones, ["block", "res_id"]).select("block", "res_id", "f_tone", F.col("s.freq").alias("sf"), F.col("s.i").alias("si"), F.col("s.q").alias("sq"))
+def _phase_lines(sweep: DataFrame, cells: int) -> DataFrame:
+    """block, res_id, cell, lo, hi, f, slope: lines between sweep points that follow in phase, in each phase cell that they cross."""
+    by = Window.partitionBy("block", "res_id").orderBy("p", "pt")  # a row a sweep point
+    every = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    turn = 2 * math.pi
+    s = sweep.withColumns({"p1": F.lead("p").over(by), "f1": F.lead("freq").over(by), "pf": F.first("p").over(every), "ff": F.first("freq").over(every)})
+    slope = (F.coalesce("f1", "ff") - F.col("freq")) / (F.coalesce(F.col("p1"), F.col("pf") + turn) - F.col("p"))
+    line = s.select("block", "res_id", F.col("p").alias("lo"), F.coalesce(F.col("p1"), F.lit(turn)).alias("hi"), F.col("freq").alias("f"), slope.alias("slope"), F.col("p1").isNull().alias("closes"), "pf")
+    # the last line goes on from phase 0 to the first point
+    rest = line.where("closes").select("block", "res_id", F.lit(0.0).alias("lo"), F.col("pf").alias("hi"), (F.col("f") + (turn - F.col("lo")) * F.col("slope")).alias("f"), "slope")
+    both = line.select(rest.columns).unionByName(rest).where("lo < hi")
+    cell = lambda c: F.floor(F.col(c) / turn * cells)
+    return both.withColumn("cell", F.explode(F.sequence(cell("lo"), cell("hi"))))
 
-    @F.pandas_udf("double")
-    def at_phase(i: pd.Series, q: pd.Series, sf: pd.Series, si: pd.Series, sq: pd.Series) -> pd.Series:
-        return pd.Series([float(arrays.sweep_phase(c, d, f, a, b)) for a, b, f, c, d in zip(i, q, sf, si, sq, strict=True)])
 
-    j = iq.join(small, ["block", "res_id"])
-    return j.withColumn("df_f0", (at_phase("i", "q", "sf", "si", "sq") - F.col("f_tone")) / F.col("f_tone")).drop("sf", "si", "sq")
+def iq_to_df_angle(iq: DataFrame, sweep: DataFrame, tones: DataFrame, cells: int = 64) -> DataFrame:
+    """Adds df_f0 from the phase about the sweep's centre, on lines between the sweep's points in order of phase.
+
+    The sample's cell of phase and the lines that cross it are equi-joined, and the line that holds the phase is kept.
+    """
+    keys = ["block", "res_id"]
+    mid = lambda c: ((F.min(c) + F.max(c)) / 2).alias(f"c{c}")
+    centre = sweep.groupBy(*keys).agg(mid("i"), mid("q"))
+    phase = F.pmod(F.atan2(F.col("q") - F.col("cq"), F.col("i") - F.col("ci")), F.lit(2 * math.pi))
+    lines = _phase_lines(sweep.join(centre, keys).withColumn("p", phase), cells).join(tones, keys)
+    own = iq.join(centre, keys).withColumn("x", phase).drop("ci", "cq").withColumn("cell", F.floor(F.col("x") / (2 * math.pi) * cells))
+    met = own.join(lines, [*keys, "cell"]).where("lo <= x and x < hi")
+    freq = F.col("f") + (F.col("x") - F.col("lo")) * F.col("slope")
+    return met.withColumn("df_f0", (freq - F.col("f_tone")) / F.col("f_tone")).select(*iq.columns, "f_tone", "df_f0")
 
 
 def iq_to_df_hybrid(iq: DataFrame, sweep: DataFrame, tones: DataFrame, tol: float = 4.0) -> DataFrame:

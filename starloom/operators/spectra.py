@@ -12,27 +12,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import arrays
-from starloom.operators.clean import KEYS, unfillable
+from starloom.operators.clean import KEYS
 
 
 def _filtered(tod: DataFrame, run) -> DataFrame:
-    """Each group with its signal replaced by run(signal in sample order)."""
+    """Each group with its signal replaced by run(signal in sample order); a sample that is missing still is an error."""
 
     def apply(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("sample_idx")
-        return part.assign(signal=run(part["signal"].to_numpy(dtype=float)))
+        x = part["signal"].to_numpy(dtype=float)
+        if not np.isfinite(x).all():
+            raise ValueError(f"a filter cannot run over the unfillable gap in {part[list(KEYS)].iloc[0].to_dict()}")
+        return part.assign(signal=run(x))
 
     return tod.groupBy(*KEYS).applyInPandas(apply, tod.schema)
 
 
-def require_filled(tod: DataFrame) -> DataFrame:
-    """The frame, or an error that says a filter would run over a gap that could not be filled."""
-    bad = unfillable(tod).limit(1).collect()
-    if bad:
-        raise ValueError(f"unfillable gap in {bad[0].asDict()}")
-    return tod
-
-
 def highpass(tod: DataFrame, rate: float, cutoff: float) -> DataFrame:
     return tod if cutoff <= 0 else _filtered(tod, lambda x: arrays.highpass(x, rate, cutoff))
 
@@ -68,17 +63,26 @@ def white_noise_floor(psd: DataFrame, rate: float, lo: float = 0.4, hi: float =
 
 
 def psd_anomalies(psd: DataFrame, sigma: float = 5.0, width: int = 21, skip_hz: float = 0.05) -> DataFrame:
-    """freq_hz, power_db of narrow features of the detectors' median spectrum, strongest first.
+    """freq_hz, power_db (over the level round it) of narrow features of the detectors' median spectrum, strongest first.
 
-    The median spectrum has one row a frequency bin of one chunk; the running median over it is one task.
+    The level is the median of width neighbouring bins of the logarithm, where the end bins stand for those beyond
+    them; neighbouring bins that stand out are one feature.  No features if there are fewer bins than
+    width or the residuals do not spread.  Windows are over one row a bin of a chunk's spectrum.
     """
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("freq_hz")
-        return pd.DataFrame(arrays.line_anomalies(part["freq_hz"].to_numpy(), part["power"].to_numpy(), sigma, width, skip_hz), columns=["freq_hz", "power_db"])
-
-    median = psd.groupBy("freq_hz").agg(F.expr("percentile(power, 0.5)").alias("power"))
-    return median.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(run, "freq_hz double, power_db double").orderBy(F.desc("power_db"))
+    half, last = width // 2, Window.unboundedFollowing
+    by, whole = Window.partitionBy().orderBy("freq_hz"), Window.partitionBy()
+    bins = psd.where(F.col("freq_hz") >= skip_hz).groupBy("freq_hz").agg(F.expr("percentile(power, 0.5)").alias("power"))
+    logs = bins.withColumns({"log": F.when(F.col("power") > 0, F.log10("power")), "i": F.row_number().over(by) - 1, "n": F.count("*").over(whole)}).where(F.col("n") >= width)
+    usual = logs.withColumn("y", F.coalesce("log", F.expr("percentile(log, 0.5)").over(whole)))
+    around = F.collect_list("y").over(by.rowsBetween(-half, half))
+    ends = {"first": F.first("y").over(by.rowsBetween(Window.unboundedPreceding, last)), "last": F.last("y").over(by.rowsBetween(Window.unboundedPreceding, last))}
+    padded = F.concat(F.array_repeat("first", F.greatest(F.lit(0), half - F.col("i"))), F.col("around"), F.array_repeat("last", F.greatest(F.lit(0), half - (F.col("n") - 1 - F.col("i")).cast("int"))))
+    level = usual.withColumns({"around": around, **ends}).withColumn("over", F.col("log") - F.array_sort(padded)[half])
+    centred = level.withColumn("off", F.abs(F.col("over") - F.expr("percentile(over, 0.5)").over(whole)))
+    hot = centred.withColumn("mad", F.expr("percentile(off, 0.5)").over(whole)).where((F.col("mad") > 0) & (F.col("over") > sigma * 1.4826 * F.col("mad")))
+    island = hot.withColumn("island", F.col("i") - F.row_number().over(by))
+    peak = island.groupBy("island").agg(F.max(F.struct("over", (-F.col("i")).alias("at"), "freq_hz")).alias("p"))
+    return peak.select(F.col("p.freq_hz").alias("freq_hz"), (10 * F.col("p.over")).alias("power_db")).orderBy(F.desc("power_db"))
 
 
 def psd_quartiles(psd: DataFrame) -> DataFrame:

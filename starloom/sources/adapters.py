@@ -1,6 +1,6 @@
 """The driver tables as detector timestreams, by arithmetic that SQL can repeat.
 
-events: a detector for each event type, half-hour samples over 30 days, chunks of a day; a sample without
+events: a detector for each event type, half-hour samples from the epoch to the last event's day, chunks of a day; a sample without
 events is a gap.  The boresight scans a raster of 20 x 12 pixels, and detectors sit a pixel apart in RA.
 lineitem: a dense sample for each row, detector = supplier, for work whose size follows the table.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EPOCH, STEP_S, N_SAMPLES, CHUNK = 1_704_067_200, 1800, 1440, 48
+EPOCH, STEP_S, CHUNK = 1_704_067_200, 1800, 48
 RATE = 1 / STEP_S
 
 
@@ -18,15 +18,26 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _sample() -> F.Column:
+    return F.floor((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - EPOCH) / STEP_S).cast("long")
+
+
+def samples(seen: DataFrame) -> DataFrame:
+    """sample_idx: every sample of the chunks from the epoch's, or the first that is seen before it, to the last that is seen."""
+    chunk = F.floor(F.col("sample_idx") / CHUNK)
+    ends = seen.agg(F.least(F.lit(0).cast("long"), F.min(chunk)).alias("a"), F.max(chunk).alias("b")).where("b is not null")
+    return ends.select(F.explode(F.sequence(F.col("a") * CHUNK, (F.col("b") + 1) * CHUNK - 1)).alias("sample_idx"))
+
+
 def tod_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """obs_id, chunk_index, sample_idx, t, det, det_idx, signal (null in gaps), flags."""
     e = read(spark, sf_dir, "events")
-    sample = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - EPOCH) / STEP_S).cast("long")
+    sample = _sample()
     k = F.get_json_object("props", "$.k").cast("int")
     cells = e.groupBy(F.col("event_type").alias("det"), sample.alias("sample_idx")).agg(F.avg("value").alias("signal"), F.max(k).alias("top_k"))
     # five event types: the detector list is a handful of rows
     dets = e.select(F.col("event_type").alias("det")).distinct().withColumn("n", F.lit(1)).groupBy("n").agg(F.array_sort(F.collect_set("det")).alias("dets")).select(F.posexplode("dets").alias("det_idx", "det"))
-    grid = dets.crossJoin(spark.range(N_SAMPLES).withColumnRenamed("id", "sample_idx"))
+    grid = dets.crossJoin(samples(cells))
     return grid.join(cells, ["det", "sample_idx"], "left").select(
         F.lit("ev").alias("obs_id"), F.floor(F.col("sample_idx") / CHUNK).cast("long").alias("chunk_index"), "sample_idx", (F.lit(float(EPOCH)) + F.col("sample_idx") * float(STEP_S)).alias("t"),
         "det", "det_idx", "signal", F.when(F.col("top_k") >= 97, 4).otherwise(0).alias("flags"),
@@ -41,9 +52,9 @@ def raster_dec(sample_idx: F.Column) -> F.Column:
     return F.lit(20.0) + F.lit(0.05) * (F.floor(sample_idx / 20) % 12)
 
 
-def boresight(spark: SparkSession) -> DataFrame:
+def boresight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """obs_id, chunk_index, sample_idx, t, ra_bore, dec_bore of the events' raster."""
-    s = spark.range(N_SAMPLES).withColumnRenamed("id", "sample_idx")
+    s = samples(read(spark, sf_dir, "events").select(_sample().alias("sample_idx")))
     i = F.col("sample_idx")
     return s.select(F.lit("ev").alias("obs_id"), F.floor(i / CHUNK).cast("long").alias("chunk_index"), i, (F.lit(float(EPOCH)) + i * float(STEP_S)).alias("t"), raster_ra(i).alias("ra_bore"), raster_dec(i).alias("dec_bore"))
 

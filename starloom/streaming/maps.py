@@ -23,6 +23,11 @@ def stream_chunk_stats(samples: DataFrame, duration: str, lateness: str, ts: str
     return samples.withWatermark(ts, lateness).groupBy(F.window(ts, duration), by).agg(F.count("*").alias("n"), F.avg("signal").alias("mean"), F.stddev_pop("signal").alias("std")).select(F.col("window.start").alias("t_start"), F.col("window.end").alias("t_stop"), by, "n", "mean", "std")
 
 
+def late_rows(done: StreamingQuery) -> int:
+    """Rows that came later than the watermark allows and were left out, over the run's recent batches."""
+    return sum(op.numRowsDroppedByWatermark for p in done.recentProgress for op in p.stateOperators)
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process what is there and stop; append results to files, with state and progress in the checkpoint folder."""
     q = df.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

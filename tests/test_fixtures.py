@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from starloom.functions import arrays
 from starloom.functions import geometry as g
+from starloom.functions.medians import exact_median
 from starloom.operators import align, binning, chunks, clean, common_mode, detectors, nulls, pointing, quality, readout, recon, spectra
+from starloom.operators.common_mode import predict_signal
 from starloom.sources import tables
 from starloom.streaming import maps as streams
 
@@ -108,11 +110,12 @@ def test_gaps_and_steps(spark):
     t = clean.fill_gaps(tod(spark, rows))
     r = t.where("sample_idx = 10").first()
     assert r.clean_flags == 2 and r.signal == pytest.approx((x[9] + x[11]) / 2)
-    assert spectra.highpass(spectra.require_filled(t), 16.0, 0.5).where("signal is null").isEmpty()
+    assert spectra.highpass(t, 16.0, 0.5).where("signal is null").isEmpty()
     open_end = clean.fill_gaps(tod(spark, [(0, i, 0, None if i == 0 else v, 0, 0.0, 0.0) for i, v in enumerate(x)]))
     assert open_end.where("sample_idx = 0").first().signal is None
-    with pytest.raises(ValueError, match="unfillable gap"):
-        spectra.require_filled(open_end)
+    for filtered in (spectra.highpass(open_end, 16.0, 0.5), spectra.notch(open_end, 16.0, 2.0)):
+        with pytest.raises(Exception, match="unfillable gap"):
+            filtered.collect()
     cubic = clean.fill_gaps(tod(spark, [(0, i, 0, None if 4 <= i <= 8 else i**3, 0, 0.0, 0.0) for i in range(12)]))
     assert [r.signal for r in cubic.orderBy("sample_idx").collect()] == pytest.approx([float(i**3) for i in range(12)])
     noise = spark.createDataFrame([(0, 0.5)], "det_idx int, noise double")
@@ -261,13 +264,18 @@ def test_first_chunk_sets_the_spectrum(spark):
     assert detectors.detector_offsets(tod(spark, [(c, 16 * c + i, 1, 5 if c == 0 else None, 0, 0.0, 0.0) for c in (0, 1) for i in range(16)])).first().offset == 5
 
 
-def test_anomalies_and_notch():
+def test_anomalies_and_notch(spark):
     f = np.arange(0, 50, 0.1)
     p = 1 + 0.01 * np.cos(f * 7)
     p[[200, 201]] *= [30, 100]
-    got = arrays.line_anomalies(f, p)
-    assert len(got) == 1 and got[0][0] == pytest.approx(20.1) and got[0][1] == pytest.approx(20, abs=0.2)
-    assert arrays.line_anomalies(f[:10], p[:10]) == [] and arrays.line_anomalies(f, np.ones_like(f)) == []
+    p[450] *= 1000
+    found = lambda x, y: [tuple(r) for r in spectra.psd_anomalies(spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y, strict=True)], "freq_hz double, power double")).collect()]
+    got = found(f, p)
+    assert [round(a, 6) for a, _ in got] == [45.0, 20.1] and [b for _, b in got] == pytest.approx([30, 20], abs=0.2)
+    assert found(f[:10], p[:10]) == [] and found(f, np.ones_like(f)) == []
+
+
+def test_notch():
     t = np.arange(256) / 64
     x = np.sin(2 * np.pi * 8 * t) + np.sin(2 * np.pi * 3 * t)
     assert arrays.notch(x, 64, 8, 2, 0.5) == pytest.approx(np.sin(2 * np.pi * 3 * t)) and arrays.notch(x, 64, 0, 2, 0.5) is x
@@ -320,6 +328,26 @@ def test_chunk_windows_drop_late_rows(spark, tmp_path):
         for f in (tmp_path / f"in{k}").glob("*.parquet"):
             f.rename(src / f"{k}-{f.name}")
         s = spark.readStream.schema(schema).parquet(str(src))
-        streams.run_available(streams.stream_chunk_stats(s, "10 minutes", "30 minutes"), str(tmp_path / "out"), str(tmp_path / "state"))
+        done = streams.run_available(streams.stream_chunk_stats(s, "10 minutes", "30 minutes"), str(tmp_path / "out"), str(tmp_path / "state"))
+        assert streams.late_rows(done) == (1 if k == 2 else 0)
     got = {str(r.t_start): r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got["2024-01-01 00:00:00"] == 2 and got["2024-01-01 02:00:00"] == 2
+
+
+def test_medians_of_groups_are_exact(spark):
+    rng = np.random.default_rng(5)
+    values = {0: rng.standard_normal(101).tolist(), 1: rng.integers(0, 4, 40).astype(float).tolist(), 2: [7.0], 3: [1.0, 2.0], 4: [5.0] * 30 + [1e9]}
+    df = spark.createDataFrame([(k, x) for k, v in values.items() for x in v] + [(0, None)], "k int, x double").repartition(3)
+    for parts in (2, 16, 4096):
+        assert {r.k: r.x for r in exact_median(df, ["k"], "x", parts).collect()} == pytest.approx({k: float(np.median(v)) for k, v in values.items()})
+
+
+def test_samples_without_finite_place_are_in_no_map(spark):
+    bad = [float("nan"), float("inf"), float("-inf"), None]
+    rows = [(0, i, 0, *v) for i, v in enumerate([(1.0, 0, 0.5, 0.5), *((1.0, 0, b, 0.5) for b in bad), *((1.0, 0, 0.5, b) for b in bad), *((b, 0, 0.5, 0.5) for b in bad)])]
+    t = tod(spark, rows)
+    assert binning.bin_map(t, GRID).agg(F.sum("n_samples"), F.sum("data")).first()[:] == (1, 1.0)
+    assert binning.bin_per_detector(t, GRID).agg(F.sum("hits")).first()[0] == 1
+    sky = spark.createDataFrame([(0, 0, 4.0)], "iy int, ix int, value double")
+    got = predict_signal(t, sky, GRID).where("sample_idx between 1 and 8 and sky <> 0")
+    assert got.isEmpty()
