@@ -4,8 +4,10 @@ Each line of a text that has a word is content or boilerplate.  Emission weights
 of text_stats.line_features, a 2 x 2 table scores neighbouring labels, and a pair of start weights the
 first line.  The share of words on content lines decides whether a text is kept.
 
-The field is fitted on a bounded sample of labelled texts: no line labels exist, so every line of a
-text takes the text's quality label, and the likelihood settles what such lines have in common.
+The field is fitted on a bounded sample of labelled texts.  No line labels exist, so they are hidden: a fit without
+moves, in which lines start with their text's label, gives each line odds of its own; lines then take the likelier
+label, as far as most words of a good text stay content and most of a bad one boilerplate, and after some turns of
+this the whole field is fitted to the line labels, so that its moves are learned from texts of both kinds of lines.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from starloom.llm.common import id_text, labelled_sample, slices
 from starloom.llm.text_stats import LINE_FEATURES, base_counts, line_features, words_in
 
 SAMPLE_PER_CLASS = 1500
+#: A labelled text gives the fit a stretch of at most so many lines, from a place that its doc_id settles.
+LINES_PER_TEXT = 400
+TURNS = 3
 CONTENT, BOILERPLATE = 1, 0
 
 
@@ -64,8 +69,27 @@ def viterbi(field: LineField, emit: np.ndarray) -> np.ndarray:
     return np.array(out[::-1], dtype=np.int8)
 
 
-def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 120, rate: float = 0.3, decay: float = 1e-3) -> LineField:
-    """Gradient ascent on the conditional likelihood, by forward-backward over all sequences at once."""
+def hidden_labels(odds: np.ndarray, sizes: np.ndarray, good: int) -> np.ndarray:
+    """The likelier label of each line; where most words would be of the other kind than the text, the lines nearest to it give way."""
+    labels = (odds > 0).astype(np.int64)
+    order = np.argsort(-odds if good else odds, kind="stable")  # lines by how well they suit the text's label
+    least = np.searchsorted(np.cumsum(sizes[order]), sizes.sum() / 2) + 1
+    labels[order[:least]] = good
+    return labels
+
+
+def fit_hidden(sequences: list[np.ndarray], sizes: list[np.ndarray], texts: list[int], turns: int = TURNS) -> LineField:
+    """The field of texts whose own labels are known and whose lines' are not; sizes are the lines' words."""
+    labels = [np.full(len(s), y) for s, y in zip(sequences, texts, strict=True)]
+    for _ in range(turns):
+        field = fit(sequences, labels, chain=False)
+        odds = [s @ (field.weights[:, CONTENT] - field.weights[:, BOILERPLATE]) for s in sequences]
+        labels = [hidden_labels(o, n, y) for o, n, y in zip(odds, sizes, texts, strict=True)]
+    return fit(sequences, labels)
+
+
+def fit(sequences: list[np.ndarray], labels: list[np.ndarray], rounds: int = 120, rate: float = 0.3, decay: float = 1e-3, chain: bool = True) -> LineField:
+    """Gradient ascent on the conditional likelihood of line labels, by forward-backward over all sequences at once."""
     k = len(LINE_FEATURES)
     if not sequences:
         weights = np.zeros((k, 2))
@@ -73,11 +97,13 @@ def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 120, rate:
         return LineField(weights, np.zeros((2, 2)), np.zeros(2))
     longest = max(map(len, sequences))
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    sequences, y = [sequences[i] for i in order], np.array([labels[i] for i in order])
+    sequences, labels = [sequences[i] for i in order], [labels[i] for i in order]
     sizes = np.array([len(s) for s in sequences])
     alive = [int((sizes > t).sum()) for t in range(longest)]
     x = [np.stack([s[t] for s in sequences[: alive[t]]]) for t in range(longest)]
-    share = np.array([0.5 / max(1, (y == v).sum()) for v in (0, 1)])[y] / np.maximum(sizes, 1)  # a text counts once, classes alike
+    y = [np.array([s[t] for s in labels[: alive[t]]]) for t in range(longest)]
+    kind = np.array([s.mean() >= 0.5 for s in labels]).astype(int)
+    share = np.array([0.5 / max(1, (kind == v).sum()) for v in (0, 1)])[kind] / np.maximum(sizes, 1)  # a text counts once, classes alike
     w, moves, start = np.zeros((k, 2)), np.zeros((2, 2)), np.zeros(2)
     vel = [np.zeros_like(p) for p in (w, moves, start)]
     sq = [np.zeros_like(p) for p in (w, moves, start)]
@@ -99,7 +125,7 @@ def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 120, rate:
             n = alive[t]
             post = np.exp(fwd[t] + bwd[t] - logz[:n, None])
             want = np.zeros((n, 2))
-            want[np.arange(n), y[:n]] = 1
+            want[np.arange(n), y[t]] = 1
             diff = (want - post) * share[:n, None]
             g[0] += x[t].T @ diff
             if t == 0:
@@ -107,9 +133,9 @@ def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 120, rate:
             else:
                 pair = np.exp(fwd[t - 1][:n, :, None] + moves + (emit[t] + bwd[t])[:, None, :] - logz[:n, None, None])
                 both = np.zeros((n, 2, 2))
-                both[np.arange(n), y[:n], y[:n]] = 1
+                both[np.arange(n), y[t - 1][:n], y[t]] = 1
                 g[1] += ((both - pair) * share[:n, None, None]).sum(0)
-        for p, d, v, s in zip((w, moves, start), g, vel, sq, strict=True):
+        for p, d, v, s in list(zip((w, moves, start), g, vel, sq, strict=True))[: 3 if chain else 1]:
             v *= 0.9
             v += 0.1 * d
             s *= 0.99
@@ -121,18 +147,23 @@ def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 120, rate:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> LineField:
     """Fit the field on at most ``per_class`` labelled texts of each kind.
 
-    What comes to the driver is the features of those texts' lines, at most 2 x per_class texts
-    with the labelled bound; lines of one text beyond the 400th are left out of the fit only.
+    What comes to the driver is the features of those texts' lines, at most 2 x per_class texts of
+    at most LINES_PER_TEXT lines each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [np.array(lines_of(t)[0][:400], dtype=np.float32).tobytes() for t in batch.column("text").to_pylist()]
+            rows = []
+            for doc, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                x, sizes = lines_of(t)
+                at = doc * 2654435761 % max(1, len(x) - LINES_PER_TEXT + 1)
+                rows.append(np.array([[*f, n] for f, n in zip(x, sizes, strict=True)][at : at + LINES_PER_TEXT], dtype=np.float32).tobytes())
             yield pa.record_batch([batch.column("y"), batch.column("doc_id"), pa.array(rows, pa.binary())], names=["y", "doc_id", "lines"])
 
     got = labelled_sample(docs, labels, "quality", per_class).select("y", "doc_id", "text").mapInArrow(run, "y int, doc_id long, lines binary").collect()
     got = sorted((r for r in got if r.lines), key=lambda r: (r.doc_id, r.y, r.lines))
-    return fit([np.frombuffer(r.lines, dtype=np.float32).reshape(-1, len(LINE_FEATURES)).astype(float) for r in got], [r.y for r in got])
+    rows = [np.frombuffer(r.lines, dtype=np.float32).reshape(-1, len(LINE_FEATURES) + 1).astype(float) for r in got]
+    return fit_hidden([x[:, :-1] for x in rows], [x[:, -1] for x in rows], [r.y for r in got])
 
 
 def label_lines(docs: DataFrame, field: LineField, min_share: float = 0.5) -> DataFrame:
@@ -140,7 +171,8 @@ def label_lines(docs: DataFrame, field: LineField, min_share: float = 0.5) -> Da
 
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     content_share, labels (array<tinyint>, one for each line with a word: 1 content, 0 boilerplate).
-    Null and empty texts have no words: base_failed, not kept, share 0.  Repeated rows repeat.
+    Null and empty texts have no words: base_failed, not kept, share 0.  Repeated rows repeat.  Very long texts are
+    labelled whole; ties of paths go to boilerplate, and a content share of exactly min_share is kept.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -96,7 +96,7 @@ class PrefixCounter:
         self.whole = {p: self._halves(p) for p in table.pieces}
         self.whole = {p: h for p, h in self.whole.items() if h is not None}
         self.chunk = re.compile(word_pattern(table.pieces))
-        self.memo: dict[str, int] = {}
+        self.memo: dict[str, bytes | tuple[int, ...]] = {}  # tokens of each prefix of a word, from one character on
 
     def merge(self, text: str) -> list[str]:
         """The merges themselves, for single pieces and as the plain check in tests."""
@@ -168,7 +168,7 @@ class PrefixCounter:
                 count.append(count[i - 1] + (len(word[i - 1].encode()) if self.bytes else 1))
 
     def learn(self, words: set[str]) -> None:
-        """Put the counts of words into the memo; neighbours in sorted order share beginnings."""
+        """Store the counts of all prefixes of words; neighbours in sorted order share beginnings."""
         memo = self.memo
         new = sorted(w for w in words if w not in memo)
         if len(memo) + len(new) > MEMO_WORDS:
@@ -180,7 +180,7 @@ class PrefixCounter:
             while n < top and w[n] == before[n]:
                 n += 1
             self.prefixes(w, last, count, n)
-            memo[w] = count[-1]
+            memo[w] = bytes(count[1:]) if count[-1] < 256 else tuple(count[1:])
             before = w
 
     def chunks(self, text: str) -> list[str]:
@@ -225,7 +225,7 @@ def token_counts(docs: DataFrame, table: PieceTable, limit: int = 4096) -> DataF
             split = [own.chunks(t) for t in texts]
             own.learn({w for ws in split for w in ws})
             memo = own.memo
-            tokens = [sum(map(memo.__getitem__, ws)) for ws in split]
+            tokens = [sum([memo[w][-1] for w in ws]) for ws in split]
             keep = [len(t) if n <= limit else cut(own, t, ws, limit) for t, ws, n in zip(texts, split, tokens, strict=True)]
             yield pa.record_batch([batch.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens]), pa.array(keep, pa.int64())], names=["doc_id", "n_bytes", "n_tokens", "over_limit", "keep_chars"])
 
@@ -233,22 +233,18 @@ def token_counts(docs: DataFrame, table: PieceTable, limit: int = 4096) -> DataF
 
 
 def cut(own: PrefixCounter, text: str, words: list[str], limit: int) -> int:
-    """Characters of the longest prefix with at most ``limit`` tokens."""
+    """Characters of the longest prefix with at most ``limit`` tokens, read off the stored counts of its words' prefixes."""
     best = chars = done = 0
     for k, w in enumerate(words):
         if done > limit + 4 * own.longest:
             break
-        total = own.memo[w]
+        stored = own.memo[w]
         if done + 4 * len(w) <= limit:  # no character takes more than four tokens
             best = chars + len(w)
         else:
-            last, count = [None], [0]
-            own.prefixes(w, last, count)
-            for i, c in enumerate(count):
-                if done + c <= limit:
-                    best = max(best, chars + i)
+            best = max([best, *(chars + i for i, c in enumerate(stored, 1) if done + c <= limit)])
         chars += len(w)
-        done += total
+        done += stored[-1]
     return max(0, best - 1)  # the mark before the text
 
 

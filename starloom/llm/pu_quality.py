@@ -4,8 +4,9 @@ Trusted texts (label 1) are the positives; texts taken from the table at large,
 stand for the unlabelled web.  With class prior p the risk is
     p R+(P)  +  max(0, R-(U) - p R-(P)),
 and where the second part turns negative the step goes against it instead, so a flexible model does
-not profit from pushing trusted texts out.  The prior is the share of label 1 among the learning
-labels.  The model is logistic in the features of text_stats.doc_features and their squares.
+not profit from pushing trusted texts out.  The prior is estimated from the same two samples: a logistic
+model of positives against unlabelled texts gives the ratio of their densities, which is 1 / p wherever no
+negative lies, so p is one over the ratio's median among the positives.  No negative label is read.  The model is logistic in the features of text_stats.doc_features and their squares.
 """
 
 from __future__ import annotations
@@ -59,6 +60,20 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     return QualityModel(w, prior)
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, ridge: float = 1e-3) -> float:
+    """The share of positives among the unlabelled, from the density ratio at the positives; 0.5 without either."""
+    if not len(positive) or not len(unlabelled):
+        return 0.5
+    x = expand(np.concatenate([positive, unlabelled]))
+    y = np.repeat([1.0, 0.0], [len(positive), len(unlabelled)])
+    w = np.zeros(x.shape[1])
+    for _ in range(25):  # Newton steps
+        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w -= np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x / len(x) + ridge * np.eye(len(w)), x.T @ (q - y) / len(x) + ridge * w)
+    ratio = np.exp(np.clip(expand(positive) @ w, -30, 30)) * len(unlabelled) / len(positive)
+    return float(np.clip(1 / np.median(ratio), 0.02, 0.98))
+
+
 def _features(texts: DataFrame, keep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -72,22 +87,23 @@ def train(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, unlabelled
     """Fit on at most ``trusted`` positives and ``unlabelled`` texts, both first in hash order.
 
     Only labels of documents outside the held-out fold are read, and of those only which are
-    positive and how many; the unlabelled texts are drawn from the same folds without their labels.
+    positive; the unlabelled texts are drawn from the same folds without their labels.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("q")).where(F.col("doc_id").isNotNull() & F.col("q").isin(0, 1) & (crc_fold("doc_id", folds) != held))
-    share = known.agg(F.avg(F.col("q").cast("double")).alias("p")).first().p
-    prior = min(0.98, max(0.02, share if share is not None else 0.5))
     some = known.where("q = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted).withColumn("kind", F.lit(1))
     other = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(crc_fold("doc_id", folds) != held).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(unlabelled).withColumn("kind", F.lit(0))
     drawn = F.broadcast(some.unionByName(other).distinct())  # at most trusted + unlabelled ids
     got = _features(id_text(docs).join(drawn, "doc_id"), "kind").collect()
     got.sort(key=lambda r: (r.doc_id, r.kind, r.x))
     rows = {v: np.array([np.frombuffer(r.x) for r in got if r.kind == v]).reshape(-1, len(DOC_FEATURES)) for v in (0, 1)}
-    return fit(rows[1], rows[0], prior)
+    return fit(rows[1], rows[0], estimate_prior(rows[1], rows[0]))
 
 
 def score(docs: DataFrame, model: QualityModel, threshold: float = 0.7, folds: int = FOLDS, held: int = HELD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every text; null and empty texts are scored as empty."""
+    """doc_id, held_out, score, predicted for every text; null and empty texts are scored as empty.
+
+    Texts are read whole whatever their length; a score of exactly the threshold counts as 1; repeated rows repeat.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

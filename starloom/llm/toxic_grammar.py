@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A lexicon transducer turns the words of a clause into classes (insult, threat, target, negation,
-report, other); context transducers read the classes and rewrite their weights: a negation close before
-an insult or threat takes most of its weight, a reporting verb some of it, and a target near it adds to
-it.  The transducers are composed into one machine before use, and a clause's score is the weight of its
-best path.  A text's score is a logistic function of its best clause and of the sum over its clauses.
+A lexicon turns the words of a clause into classes (insult, threat, target, negation,
+report, other), which five transducers read: one lets insults out as hits, one threats that have a target before
+or after them in the clause, and three rewrite the weights of hits: a negation close before
+takes most of it, a reporting verb some of it, and a target near it adds to
+it.  The five are composed into one machine before use, and a clause's score is the weight of its
+path.  A text's score is a logistic function of its best clause and of the sum over its clauses.
 
 Insult stems are learned from labelled texts: word beginnings and whole words that stand in
 toxic texts far more often than chance allows.  Threats, targets, negations and reporting verbs are
@@ -16,8 +17,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,30 +47,38 @@ _strip = ".,!?;:\"'()[]“”„«»¿¡*#$%&|"
 
 @dataclass(frozen=True)
 class Transducer:
-    """States 0..n-1, all final; arcs[state][class] = (state after, factor, bonus) applied to a hit."""
+    """States 0..n-1, all final; arcs[state][class] = (state after, hits let out, factor and bonus of hits)."""
 
-    arcs: tuple[tuple[tuple[int, float, float], ...], ...]
+    arcs: tuple[tuple[tuple[int, int, float, float], ...], ...]
+
+
+def _machine(states: int, arc: Callable[[int, int], tuple[int, int, float, float]]) -> Transducer:
+    return Transducer(tuple(tuple(arc(s, c) for c in range(6)) for s in range(states)))
+
+
+def insults() -> Transducer:
+    """An insult is a hit wherever it stands."""
+    return _machine(1, lambda s, c: (0, int(c == INSULT), 1.0, 0.0))
+
+
+def threats() -> Transducer:
+    """States: nothing yet, a threat without a target, a target.  A threat is a hit once it has a target."""
+    step = {(0, THREAT): (1, 0), (0, TARGET): (2, 0), (1, TARGET): (2, 1), (2, THREAT): (2, 1)}
+    return _machine(3, lambda s, c: (*step.get((s, c), (s, 0)), 1.0, 0.0))
 
 
 def context(opener: int, reach: int, factor: float, bonus: float) -> Transducer:
-    """After an opener, the next ``reach`` words' hits are scaled by factor and raised by bonus."""
-    arcs = []
-    for left in range(reach + 1):
-        row = []
-        for c in range(6):
-            on = left > 0 and c in (INSULT, THREAT)
-            row.append((reach if c == opener else max(0, left - 1), factor if on else 1.0, bonus if on else 0.0))
-        arcs.append(tuple(row))
-    return Transducer(tuple(arcs))
+    """After an opener, hits at the next ``reach`` words are scaled by factor and raised by bonus."""
+    return _machine(reach + 1, lambda left, c: (reach if c == opener else max(0, left - 1), 0, factor if left else 1.0, bonus if left else 0.0))
 
 
 def compose(a: Transducer, b: Transducer) -> Transducer:
-    """The machine that runs both over the same classes, with the effects of both."""
+    """The machine that runs both over the same classes, with the hits and effects of both."""
     m = len(b.arcs)
-    return Transducer(tuple(tuple((x * m + y, f * g, p + q) for (x, f, p), (y, g, q) in zip(ra, rb, strict=True)) for ra in a.arcs for rb in b.arcs))
+    return Transducer(tuple(tuple((x * m + y, h + k, f * g, p + q) for (x, h, f, p), (y, k, g, q) in zip(ra, rb, strict=True)) for ra in a.arcs for rb in b.arcs))
 
 
-GRAMMAR = compose(compose(context(NEGATION, 3, 0.3, 0.0), context(REPORT, 6, 0.6, 0.0)), context(TARGET, 4, 1.0, 0.5))
+GRAMMAR = reduce(compose, (insults(), threats(), context(NEGATION, 3, 0.3, 0.0), context(REPORT, 6, 0.6, 0.0), context(TARGET, 4, 1.0, 0.5)))
 
 
 @dataclass(frozen=True)
@@ -103,13 +113,13 @@ def classify(word: str, lexicon: Lexicon) -> tuple[int, float]:
 
 
 def clause_score(words: list[str], lexicon: Lexicon) -> float:
-    """Weight of the best path of a clause: hits add up along it; a threat counts only with a target."""
-    tags = [classify(w, lexicon) for w in words]
-    aimed = any(c == TARGET for c, _ in tags)
+    """Weight of a clause's path: its hits add up, an insult with its word's weight and a threat with 1."""
     state, total = 0, 0.0
-    for c, weight in tags:
-        state, factor, bonus = GRAMMAR.arcs[state][c]
-        if c == INSULT or c == THREAT and aimed:
+    for word in words:
+        c, weight = classify(word, lexicon)
+        state, hits, factor, bonus = GRAMMAR.arcs[state][c]
+        if hits:
+            weight = weight if c == INSULT else 1.0
             total += max(0.0, factor * weight + min(bonus, weight / 4))
     return total
 
@@ -229,7 +239,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
 
 
 def score(docs: DataFrame, model: ToxicModel, threshold: float = 0.5, folds: int = FOLDS, held: int = HELD) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_clauses for every text; null and empty texts score as empty."""
+    """doc_id, held_out, score, predicted, n_clauses for every text; null and empty texts score as empty.
+
+    Texts are read whole whatever their length; a score of exactly the threshold counts as toxic; repeated rows repeat.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Finder(model.lexicon)

@@ -85,6 +85,45 @@ def test_line_verdicts_follow_the_labels(spark, frames):
     assert line_crf.label_lines(empty, line_crf.train(empty, spark.createDataFrame([], LABELS))).count() == 0
 
 
+def test_boilerplate_lines_inside_good_texts_are_found(spark):
+    rnd = random.Random(8)
+    content = lambda: " ".join(f"w{rnd.randrange(3000)}" for _ in range(rnd.randint(9, 14))).capitalize() + "."
+    junk = lambda: rnd.choice([lambda: " | ".join(f"M{rnd.randrange(40)}" for _ in range(6)), lambda: " ".join(f"BUY{rnd.randrange(40)}!!" for _ in range(7))])()
+    rows, labels, truth = [], [], {}
+    for i in range(400):
+        good = rnd.random() < 0.6
+        n = rnd.randint(4, 12)
+        kinds = [1 if good else 0] * n
+        for k in rnd.sample(range(n), n // 4):  # a quarter of the lines is of the other kind
+            kinds[k] = 1 - kinds[k]
+        rows.append((i, "\n".join(content() if k else junk() for k in kinds), "s", "k"))
+        labels.append((i, int(good), 0, "clash"))
+        truth[i] = kinds
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    out = line_crf.label_lines(docs, line_crf.train(docs, spark.createDataFrame(labels, LABELS), 200)).collect()
+    agree = [a == b for r in out for a, b in zip(r.labels, truth[r.doc_id], strict=True)]
+    assert np.mean(agree) > 0.97 and sum(len(set(r.labels)) == 2 for r in out) > 350
+    assert np.mean([(r.content_share >= 0.5) == bool(labels[r.doc_id][1]) for r in out]) > 0.97
+
+
+def test_hidden_labels_keep_to_the_text():
+    odds, sizes = np.array([2.0, -1.0, -3.0, -0.5]), np.array([5.0, 5.0, 5.0, 5.0])
+    assert line_crf.hidden_labels(odds, sizes, 1).tolist() == [1, 0, 0, 1]
+    assert line_crf.hidden_labels(-odds, sizes, 0).tolist() == [0, 1, 1, 0]
+    assert line_crf.hidden_labels(np.array([1.0, 1.0, -1.0]), np.array([5.0, 5.0, 1.0]), 1).tolist() == [1, 1, 0]
+
+
+def test_the_prior_is_estimated_without_negatives():
+    rng = np.random.default_rng(2)
+    k = len(DOC_FEATURES)
+    make = lambda n, level: np.hstack([np.ones((n, 1)), np.clip(level + 0.05 * rng.standard_normal((n, k - 1)), 0, 1)])
+    for share in (0.3, 0.6, 0.9):
+        n = 4000
+        unlabelled = np.concatenate([make(int(share * n), 0.3), make(n - int(share * n), 0.7)])
+        assert abs(pu_quality.estimate_prior(make(2000, 0.3), unlabelled) - share) < 0.05
+    assert pu_quality.estimate_prior(np.zeros((0, k)), unlabelled) == 0.5
+
+
 def test_quality_on_the_held_out_fold(spark, frames):
     docs, labels, known = frames
     model = pu_quality.train(docs, labels, 300, 600)
@@ -118,5 +157,6 @@ def test_grammar_weighs_clauses():
     assert score("nothing here") == 0 and score("i will kill you") > 0 and score("time to kill") == 0
     own = toxic_grammar.Finder(lex)
     assert own.scores("Fine words. A BLORBISH thing; midiot. \n idiot! idiots") == [score("a blorbish thing"), score("idiot")]
+    assert score("you i will kill") >= score("i will kill you") > score("not kill you") > 0 and len(toxic_grammar.GRAMMAR.arcs) == 3 * 4 * 7 * 5
     both = toxic_grammar.compose(toxic_grammar.context(4, 2, 0.5, 0.0), toxic_grammar.context(3, 1, 1.0, 2.0))
     assert len(both.arcs) == 6
