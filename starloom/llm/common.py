@@ -102,10 +102,13 @@ _powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
 
 def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
-        _powers = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)])) for b in (_BASE, _BASE_INV))
-    return _powers
+    if len(_powers[0]) >= n:
+        return _powers
+    size = max(n, 2 * SLICE_BYTES + (SLICE_BYTES >> 2))
+    made = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)])) for b in (_BASE, _BASE_INV))
+    if n <= 4 * SLICE_BYTES:  # those for a longer text go with it
+        _powers = made
+    return made
 
 
 def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -116,9 +119,12 @@ def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def hashes_of(column: pa.Array) -> np.ndarray:
-    """64-bit hashes of the strings of a column without nulls."""
-    off = offsets_of(column)
-    return _hashed(bytes_of(column), off[:-1], off[1:])
+    """64-bit hashes of the strings of a column without nulls, made in parts of a slice's size."""
+    out = [np.zeros(0, np.uint64)]
+    for part in slices(iter([pa.record_batch([column], names=["text"])])):
+        off = offsets_of(part.column(0))
+        out.append(_hashed(bytes_of(part.column(0)), off[:-1], off[1:]))
+    return np.concatenate(out)
 
 
 _FOLD = np.arange(256, dtype=np.uint8)
