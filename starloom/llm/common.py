@@ -7,6 +7,7 @@ partition; a single longer text makes a slice of its own.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,8 +24,6 @@ SLICE_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-_BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 BATCH_BYTES = 4 << 20
@@ -86,6 +85,11 @@ class Spans:
     row: np.ndarray
     hash: np.ndarray
     bounds: np.ndarray
+    data: np.ndarray
+
+    def other_hash(self) -> np.ndarray:
+        """A second, independent hash of each."""
+        return _hashed(self.data, self.start, self.end, 1)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -97,25 +101,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-_powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
-
+#: Of a word's last chunk of 8 bytes, so many belong to it.
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
+_LANES = ((_U(0x9E3779B97F4A7C15), _U(0xE7037ED1A0B428DB)), (_U(0x8EBC6AF09C88C6E3), _U(0x589965CC75374CC3)))
+#: Words of more bytes are hashed one by one.
+_LONG = 512
 
-def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if len(_powers[0]) >= n:
-        return _powers
-    size = max(n, 2 * SLICE_BYTES + (SLICE_BYTES >> 2))
-    made = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)])) for b in (_BASE, _BASE_INV))
-    if n <= 4 * SLICE_BYTES:  # those for a longer text go with it
-        _powers = made
-    return made
 
+def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans; lane 1 is independent of lane 0.
 
-def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    up, down = _pow(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + _U(1)) * up[: len(data)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+    Each 8 bytes are scrambled into the state before the next ones come, and the length is part of the
+    first state; so, unlike sums over powers, no pattern of equal bytes in two words cancels.
+    """
+    step, salt = _LANES[lane]
+    size = end - start
+    chunk = np.ndarray(len(data) + 1, dtype="<u8", buffer=np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    state = mix((chunk[start] & _KEEP[np.minimum(size, 8)]) ^ mix(size.astype(np.uint64) * step + salt))
+    left = np.flatnonzero((size > 8) & (size <= _LONG))
+    at = 8
+    while len(left):
+        more = chunk[start[left] + at] & _KEEP[np.minimum(size[left] - at, 8)]
+        state[left] = mix((state[left] * step + salt) ^ more)
+        at += 8
+        left = left[size[left] > at]
+    for i in np.flatnonzero(size > _LONG):
+        state[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8, salt=bytes([lane])).digest(), "little")
+    return state
 
 
 def hashes_of(column: pa.Array) -> np.ndarray:
@@ -147,7 +159,7 @@ def split_words(column: pa.Array, folded: bool = False) -> Spans:
     n = len(data)
     if not n:
         empty = np.zeros(0, dtype=np.int64)
-        return Spans(empty, empty, empty, empty.astype(np.uint64), np.zeros(len(column) + 1, dtype=np.int64))
+        return Spans(empty, empty, empty, empty.astype(np.uint64), np.zeros(len(column) + 1, dtype=np.int64), data)
     inside = ~_SPACE[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -158,19 +170,19 @@ def split_words(column: pa.Array, folded: bool = False) -> Spans:
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     bounds = np.searchsorted(start, off, side="left")
     row = np.repeat(np.arange(len(column)), np.diff(bounds))
-    return Spans(start, end, row, _hashed(data, start, end), bounds)
+    return Spans(start, end, row, _hashed(data, start, end), bounds, data)
 
 
 def windows(words: Spans, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """For each run of k words of one row: the index of its first word, and a 64-bit hash."""
-    n = len(words.hash)
+    """For each run of k words of one row: the index of its first word, and a 64-bit hash; salt 1 builds on the words' other hash."""
+    n, each = len(words.hash), words.other_hash() if salt else words.hash
     if n < k:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     base = _U((0x9E3779B97F4A7C15 * (2 * salt + 3)) & (2**64 - 1) | 1)
-    h = words.hash[: n - k + 1].copy()
+    h = each[: n - k + 1].copy()
     for i in range(1, k):
         h *= base
-        h += words.hash[i : n - k + 1 + i]
+        h += each[i : n - k + 1 + i]
     at = np.flatnonzero(words.row[: n - k + 1] == words.row[k - 1 :])
     return at, mix(h[at])
 

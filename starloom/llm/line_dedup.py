@@ -8,7 +8,8 @@ Every distinct line emits its own hash and that of the line less each one of its
 meet in one group.  The edit is then verified: a variant at word i of one line must meet the whole of the
 other, or the variant at the same word i.  Before that, guards leave out lines that cannot meet
 any: two lines one edit apart share their first or their last half, so lines of which no half is
-found in another line emit no variants.  Whole lines have hashes of 128 bits, variants of 96.
+found in another line emit no variants.  Whole lines have hashes of 128 bits, variants of 96,
+from two independent hashes of each word.
 """
 
 from __future__ import annotations
@@ -27,40 +28,49 @@ from starloom.llm.text_stats import has_word
 
 MIN_WORDS = 8
 _U = np.uint64
-_M = (0x9FB21C651E98DF25, 0xD1342543DE82EF95)
-_M_INV = tuple(pow(m, -1, 1 << 64) for m in _M)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _pow(base: int, n: int) -> np.ndarray:
-    got = _powers.get(base)
-    if got is None or len(got) < n:
-        size = max(n, 1 << 20)
-        got = _powers[base] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, base, np.uint64)]))
-    return got
+_PLACE = (_U(0x9FB21C651E98DF25), _U(0xD1342543DE82EF95))
 
 
 @dataclass
 class Lines:
-    """The lines with a word of a text column: row, number in its text, word range, word hashes."""
+    """The lines with a word of a text column: row, number in its text, word range, two hashes of each word."""
 
     row: np.ndarray
     number: np.ndarray
     first: np.ndarray
     last: np.ndarray
-    words: np.ndarray
+    words: tuple[np.ndarray, np.ndarray]
+
+    def sums(self, which: int) -> Sums:
+        n = self.last - self.first
+        at = np.arange(len(self.words[which])) - np.repeat(self.first, n)
+        total = lambda place: np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.words[which] ^ mix(place.astype(np.uint64) * _PLACE[which])))])
+        return Sums(total(at), total(at - 1), total(at - np.repeat(n, n)))
+
+
+@dataclass
+class Sums:
+    """Running sums of hashes of (word, place): its place from the line's start, one less, and from its end.
+
+    A sequence's hash is the sum over its words, each scrambled with its place, so that patterns of
+    words do not cancel.
+    """
+
+    fore: np.ndarray
+    moved: np.ndarray
+    back: np.ndarray
 
-    def sums(self, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n = len(self.words) + 1
-        up, down = _pow(_M[which], n), _pow(_M_INV[which], n)
-        total = np.zeros(n, dtype=np.uint64)
-        np.cumsum(self.words * up[: n - 1], out=total[1:])
-        return total, up, down
+    def head(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the words [a, b), a being where the line starts."""
+        return self.fore[b] - self.fore[a]
 
-    def span(self, sums: tuple, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Hash of the word sequence [a, b), before mixing."""
-        total, _, down = sums
-        return (total[b] - total[a]) * down[a]
+    def tail(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the words [a, b), b being where the line ends."""
+        return self.back[b] - self.back[a]
+
+    def less(self, a: np.ndarray, at: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the line [a, b) without its word a + at, as head() gives it for a line that never had it."""
+        return self.fore[a + at] - self.fore[a] + self.moved[b] - self.moved[a + at + 1]
 
 
 def lines_of(column: pa.Array) -> Lines:
@@ -72,9 +82,9 @@ def lines_of(column: pa.Array) -> Lines:
     n = len(line)
     if not n:
         e = np.zeros(0, dtype=np.int64)
-        return Lines(e, e, e, e, words.hash)
+        return Lines(e, e, e, e, (words.hash, words.hash))
     first = np.flatnonzero(np.concatenate([[True], (line[1:] != line[:-1]) | (words.row[1:] != words.row[:-1])]))
-    return Lines(words.row[first], number[first], first, np.append(first[1:], n), words.hash)
+    return Lines(words.row[first], number[first], first, np.append(first[1:], n), (words.hash, words.other_hash()))
 
 
 def _sized(h: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -89,7 +99,7 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         s0, s1 = lines.sums(0), lines.sums(1)
         n = lines.last - lines.first
-        h1, h2 = _sized(lines.span(s0, lines.first, lines.last), n), _sized(lines.span(s1, lines.first, lines.last), n)
+        h1, h2 = _sized(s0.head(lines.first, lines.last), n), _sized(s1.head(lines.first, lines.last), n)
         ids, ths = batch.column("doc_id").to_numpy(), batch.column("th").to_numpy()
         order = np.lexsort((lines.number, ids[lines.row], h2, h1))
         a, b = h1[order], h2[order]
@@ -98,8 +108,8 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         guards = []
         for long in (size, size + 1):  # the longer line of a pair halves at its own middle
             q = long // 2
-            guards.append(_sized(lines.span(s0, first, np.minimum(first + q, last)), 4 * q))
-            guards.append(_sized(lines.span(s0, np.maximum(last - (long - q), first), last), 4 * (long - q) + 1))
+            guards.append(_sized(s0.head(first, np.minimum(first + q, last)), 4 * q))
+            guards.append(_sized(s0.tail(np.maximum(last - (long - q), first), last), 4 * (long - q) + 1))
         some = np.where(size >= MIN_WORDS, 4, 0)
         table = np.stack(guards, axis=1)[size >= MIN_WORDS].ravel()
         yield pa.record_batch(
@@ -127,8 +137,7 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         out = []
         for which in (0, 1):
             s = lines.sums(which)
-            less = lines.span(s, a, a + at) + lines.span(s, a + at + 1, b) * s[1][at]
-            out.append(np.concatenate([_sized(lines.span(s, first, last), n), _sized(less, n[owner] - 1)]))
+            out.append(np.concatenate([_sized(s.head(first, last), n), _sized(s.less(a, at, b), n[owner] - 1)]))
         who = np.concatenate([np.arange(len(row)), owner])
         spot = np.concatenate([np.full(len(row), -1), at])
         v1, v2 = signed(out[0]), signed(out[1]) >> 32
@@ -151,8 +160,8 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _mark() -> Column:
-    """A hash of the text in 31 bits, so that rows that share a doc_id stay apart."""
-    return F.coalesce(F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(1 << 31)), F.lit(0)).cast("int")  # not nullable: both joins read one exchange
+    """A hash of the text, so that rows that share a doc_id stay apart."""
+    return F.coalesce(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(0))  # not nullable: both joins read one exchange
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -163,12 +172,12 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """doc_id, th, kept array<int>: numbers of the lines with a word that stay in each text."""
     texts = _texts(docs)
     place = F.struct("doc_id", "line", "th")
-    rows = texts.mapInArrow(_line_rows, "h1 long, h2 long, doc_id long, th int, line int, guards array<long>")
+    rows = texts.mapInArrow(_line_rows, "h1 long, h2 long, doc_id long, th long, line int, guards array<long>")
     distinct = checkpoint(rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("guards").alias("guards")).select("first.*", "guards"))
     guarded = distinct.select("doc_id", "th", "line", F.explode(F.array_distinct("guards")).alias("guard"))
     met = guarded.groupBy("guard").agg(F.count("*").alias("n")).where("n > 1").select("guard")
     likely = guarded.join(met, "guard").groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines"))
-    variants = texts.join(likely, ["doc_id", "th"]).select("doc_id", "th", "text", "lines").mapInArrow(_variant_rows, "v1 long, v2 int, at int, doc_id long, th int, line int, told boolean")
+    variants = texts.join(likely, ["doc_id", "th"]).select("doc_id", "th", "text", "lines").mapInArrow(_variant_rows, "v1 long, v2 int, at int, doc_id long, th long, line int, told boolean")
     # one exchange brings equal variants together; each line sees the first of those it may be matched with
     group = Window.partitionBy("v1", "v2")
     seen = variants.withColumns({
@@ -184,13 +193,33 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     n_lines counts lines with a word, n_removed those taken out.  Null texts stay null and lose
     nothing; a text may end up without lines.  Of repeated rows of one doc_id all keep the same lines.
-    Rows without doc_id have no place in the order and stay as they are.
+    Rows without doc_id have no place in the order and stay as they are.  Columns of docs that are
+    themselves named n_lines or n_removed give way; ``with_repeats_gone`` keeps them.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed")]
+    return _rewritten(docs).select("doc_id", "text", "n_lines", "n_removed", *(F.col("rest")[c].alias(c) for c in others))
+
+
+def with_repeats_gone(docs: DataFrame) -> DataFrame:
+    """The columns of docs, whatever their names, with the repeated lines gone; a text that so loses all its words goes.
+
+    n_chars, if there is one, is counted anew where lines went.  Nulls, ties and repeated rows as above.
     """
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("th"), "text", F.struct(F.lit(0).alias("__"), *others).alias("rest"))
+    left = _rewritten(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    anew = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        anew["n_chars"] = F.when(F.col("n_removed") > 0, counted).otherwise(F.col("rest")["n_chars"])
+    return left.select(*(anew.get(c, F.col("rest")[c]).alias(c) for c in docs.columns))
+
+
+def _rewritten(docs: DataFrame) -> DataFrame:
+    """doc_id, text, n_lines, n_removed, and the other columns of docs in the struct ``rest``."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0).alias("none")]
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("th"), "text", F.struct(*others).alias("rest"))
     joined = base.join(kept_lines(docs), ["doc_id", "th"], "left").select("doc_id", "text", "kept", "rest")
     schema = T.StructType([joined.schema["doc_id"], joined.schema["text"], T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()), joined.schema["rest"]])
-    return joined.mapInArrow(_kept_rows, schema).select("doc_id", "text", "n_lines", "n_removed", *(F.col("rest")[c].alias(c) for c in others))
+    return joined.mapInArrow(_kept_rows, schema)
 
 
 def cleaned_texts(docs: DataFrame) -> DataFrame:

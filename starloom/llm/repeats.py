@@ -10,7 +10,7 @@ Before each shuffle the copies inside one task are settled: a seed or window tha
 hold leaves once, and the task remembers it, so a passage that stands in a third of all documents costs some
 rows a task and not one for each of its places.  What a task remembers is bounded; what it forgets is sent again.
 
-Windows are told apart by 128 bits (the hash of their words and that of their seed).
+Windows are told apart by 128 bits: the hash of their seed, and that of their words, built on another hash of each word.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array(np.concatenate([signed(h[alone]), signed(h[many]), signed(mix(has.astype(np.uint64) ^ ids[has].view(np.uint64)))])),
                 pa.array(np.concatenate([ids[row[alone]], np.zeros(m), ids[has]]).astype(np.int64), mask=np.concatenate([np.zeros(n, bool), np.ones(m, bool), np.zeros(k, bool)])),
-                pa.array(np.concatenate([ths[row[alone]], np.zeros(m, np.int32), ths[has]]).astype(np.int32)),
+                pa.array(np.concatenate([ths[row[alone]], np.zeros(m, np.int64), ths[has]])),
                 _told(signed(what), n + m, bounds, pa.int64()),
             ],
             names=["seed", "doc_id", "th", "known"],
@@ -134,7 +134,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, k = len(first), len(has)
         yield pa.record_batch(
             [
-                pa.array(np.concatenate([signed(seed[first]), signed(mix(has.astype(np.uint64) ^ ids[has].view(np.uint64)))])), pa.array(np.concatenate([ids[r[first]], ids[has]])), pa.array(np.concatenate([ths[r[first]], ths[has]]).astype(np.int32)),
+                pa.array(np.concatenate([signed(seed[first]), signed(mix(has.astype(np.uint64) ^ ids[has].view(np.uint64)))])), pa.array(np.concatenate([ids[r[first]], ids[has]])), pa.array(np.concatenate([ths[r[first]], ths[has]])),
                 pa.array(np.concatenate([p[first], np.zeros(k, np.int64)]), pa.int32()), as_list(signed(w), np.concatenate([first, np.full(k + 1, len(w))]), pa.int64()), _told(what, n, np.searchsorted(who, np.append(has, len(ids))), pa.int32()),
             ],
             names=["seed", "doc_id", "th", "at", "wins", "known"],
@@ -160,13 +160,13 @@ def _pair(h: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 def repeat_starts(docs: DataFrame) -> DataFrame:
     """doc_id, th, starts array<int>: word indexes at which a window starts that also starts in a
-    smaller document.  th is a hash of the text in 31 bits, so rows that share a doc_id stay apart."""
+    smaller document.  th is a hash of the text, so rows that share a doc_id stay apart."""
     texts = _texts(docs)
     # rows that tell what a slice has settled ride along under a key of their own
-    rows = texts.mapInArrow(_seed_rows, "seed long, doc_id long, th int, known array<long>")
+    rows = texts.mapInArrow(_seed_rows, "seed long, doc_id long, th long, known array<long>")
     met = F.count(F.when(F.col("known").isNull(), 1)).over(Window.partitionBy("seed"))
     shared = _gathered(rows.withColumn("n", met).where("known is not null or (n > 1 and doc_id is not null)"), "seed").withColumnRenamed("all", "seeds")
-    found = texts.join(shared, ["doc_id", "th"]).select("doc_id", "th", "text", "seeds").mapInArrow(_window_rows, "seed long, doc_id long, th int, at int, wins array<long>, known array<int>")
+    found = texts.join(shared, ["doc_id", "th"]).select("doc_id", "th", "text", "seeds").mapInArrow(_window_rows, "seed long, doc_id long, th long, at int, wins array<long>, known array<int>")
     # windows travel with their seed, some five to a row, and are taken apart where they meet
     each = found.repartition("seed").select("seed", "doc_id", "th", "known", "at", F.posexplode_outer("wins").alias("i", "win")).withColumn("at", F.col("at") + F.col("i"))
     least = F.min("doc_id").over(Window.partitionBy("seed", "win"))
@@ -182,7 +182,7 @@ def _gathered(rows: DataFrame, column: str) -> DataFrame:
 def _texts(docs: DataFrame) -> DataFrame:
     """The rows that have a place in the order of documents, the same frame for both joins, which then share
     one exchange of the texts (th is made not nullable, else the inner join would filter it apart)."""
-    return id_text(docs).select("doc_id", F.coalesce(F.pmod(F.xxhash64("text"), F.lit(1 << 31)), F.lit(0)).cast("int").alias("th"), "text").where("doc_id is not null")
+    return id_text(docs).select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"), "text").where("doc_id is not null")
 
 
 def spans_of(starts: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:

@@ -7,7 +7,7 @@ import plain
 import pyarrow as pa
 import pytest
 
-from starloom.llm import line_dedup, repeats
+from starloom.llm import common, line_dedup, repeats
 
 SCHEMA = "doc_id long, text string, lang string, kept string"
 
@@ -98,3 +98,49 @@ def test_line_dedup_edges(spark):
     assert got == [(0, long, 0), (5, long, 0), (5, long, 0), (6, "", 1), (7, None, 0)]
     d = line_dedup.digests(line_dedup.without_repeated_lines(spark.createDataFrame(rows[2:3], SCHEMA))).first()
     assert d.kept_sha256 == hashlib.sha256((long + " b").encode()).hexdigest()
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two different strings of n letters whose sums over powers agree modulo 2^64, whatever the odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_words_of_cancelling_patterns_stay_apart(spark, size):
+    x, y = thue_morse(size)
+    start = " ".join(f"p{i}" for i in range(12))
+    texts = {1: f"{start} {x}", 2: f"{start} {y}", 3: f"{start} {x}", 4: f"{x}\n{y}", 5: y}
+    df = frame(spark, texts)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in repeats.digests(repeats.without_repeats(df)).collect()}
+    assert got == plain.repeats(texts) and [got[i][1] for i in (1, 2, 3)] == [0, 0, 13]
+    assert {r.doc_id: r.text for r in line_dedup.cleaned_texts(df).collect()} == plain.line_dedup(texts)
+
+
+def test_lines_of_cancelling_patterns_of_words_stay_apart(spark):
+    x, y = (" ".join("left" if c == "a" else "right" for c in w) for w in thue_morse(2048))
+    texts = {1: x, 2: y, 3: x + " more", 4: y.replace("left", "other", 1)}
+    df = frame(spark, texts)
+    assert {r.doc_id: r.text for r in line_dedup.cleaned_texts(df).collect()} == plain.line_dedup(texts) == {1: x, 2: y, 3: "", 4: ""}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in repeats.digests(repeats.without_repeats(df)).collect()}
+    assert got == plain.repeats(texts)
+
+
+def test_word_hashes_see_every_byte_and_the_length():
+    rnd = random.Random(4)
+    words = {"".join(rnd.choice("aé\x00") for _ in range(rnd.choice([1, 2, 7, 8, 9, 16, 17, 40, 600]))) for _ in range(4000)}
+    words = [w for w in words if w]
+    found = common.split_words(pa.array(words))
+    assert len(found.hash) == len(words) == len(set(found.hash.tolist())) == len(set(found.other_hash().tolist()))
+    assert not set(found.hash.tolist()) & set(found.other_hash().tolist())
+    again = common.split_words(pa.array([" ".join(words)]))
+    assert np.array_equal(again.hash, found.hash) and np.array_equal(again.other_hash(), found.other_hash())
+
+
+def test_texts_of_one_doc_id_and_clashing_columns(spark):
+    line = " ".join(f"w{i}" for i in range(9))
+    rows = [(1, line, 5, "x", 90), (1, "head\nother " + line, 6, "y", 91), (2, f"{line}\nnew", 7, "z", 92), (3, line, 8, "z", 93), (None, line, 9, None, 94), (4, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_removed long, rest string, n_chars long")
+    got = sorted(map(tuple, line_dedup.with_repeats_gone(docs).collect()), key=repr)
+    assert line_dedup.with_repeats_gone(docs).columns == docs.columns
+    assert got == sorted([(1, line, 5, "x", 90), (1, "head", 6, "y", 4), (2, "new", 7, "z", 3), (None, line, 9, None, 94), (4, None, None, None, None)], key=repr)
