@@ -1,8 +1,8 @@
-"""All registered queries over the reference's data work, and their SQL."""
+"""All registered queries over timestreams and maps, and their SQL."""
 
 from __future__ import annotations
 
-from starloom.jobs import sky_queries, stream_queries
+from starloom.jobs import map_queries, sky_queries, stream_queries
 from starloom.jobs.base import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "sky_queries", "stream_queries"]
+__all__ = ["QUERIES", "SQL", "map_queries", "sky_queries", "stream_queries"]
