@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Names that are bodies of the solar system.
-SOLAR_SYSTEM = ("sun", "moon", "mercury", "venus", "mars", "jupiter", "saturn", "uranus", "neptune", "pluto")
+SOLAR_SYSTEM = ("sun", "moon", "mercury", "venus", "mars", "jupiter", "saturn", "uranus", "neptune")
 
 
 def finite(x: Column) -> Column:

@@ -206,11 +206,16 @@ def weights_summary(spark, sf_dir):
     return rounded(detectors.weight_summary(detectors.detector_weights(state_of(spark, sf_dir), 2.0)), 9)
 
 
-@query(f"WITH {TOD}, px AS (SELECT *, {PX} FROM tod WHERE flags = 0 AND signal IS NOT NULL) SELECT iy, ix, round(sum(signal), 6) + 0.0 AS naive_data, CAST(count(*) AS BIGINT) AS naive_hits, round(sum((1 + det_idx) * (signal - 5)), 6) + 0.0 AS data, round(sum(1.0 + det_idx), 6) + 0.0 AS hits, round(sum((1 + det_idx) * (signal - 5) * (signal - 5)), 5) + 0.0 AS sumsq FROM px WHERE {ON_GRID} GROUP BY iy, ix")
+@query(f"""WITH {TOD}, px AS (SELECT *, {PX}, CASE det_idx WHEN 1 THEN 0 WHEN 4 THEN 0 ELSE 1.0 + det_idx END AS w, signal - 5 AS y, sample_idx % 13 <> 2 AS plain, sample_idx % 17 <> 3 AS sound FROM tod WHERE flags = 0 AND signal IS NOT NULL)
+SELECT iy, ix, round(sum(CASE WHEN plain THEN signal END), 6) + 0.0 AS naive_data, count(*) FILTER (plain) AS naive_hits, round(sum(CASE WHEN sound THEN w * y ELSE 0 END), 6) + 0.0 AS data, round(sum(CASE WHEN sound THEN w ELSE 0 END), 6) + 0.0 AS hits,
+round(sum(CASE WHEN sound THEN w * y * y ELSE 0 END), 5) + 0.0 AS sumsq FROM px WHERE {ON_GRID} AND (plain OR sound) GROUP BY iy, ix""")
 def naive_and_weighted_map(spark, sf_dir):
+    """Detector 1 weighs 0 and detector 4 has no weight, so both are in the plain map only; NaN in either column leaves the other alone."""
     t = tod_of(spark, sf_dir)
-    w = t.select("det_idx").distinct().select("det_idx", (F.lit(1.0) + F.col("det_idx")).alias("weight"))
-    m = binning.bin_map_pair(t.withColumn("signal_naive", F.col("signal")).withColumn("signal", F.col("signal") - 5), EVENTS_GRID, w)
+    w = t.select("det_idx").distinct().where("det_idx <> 4").select("det_idx", F.when(F.col("det_idx") == 1, 0.0).otherwise(F.lit(1.0) + F.col("det_idx")).alias("weight"))
+    nan = lambda c, n, k: F.when(F.col("signal").isNotNull() & (F.col("sample_idx") % n == k), F.lit(float("nan"))).otherwise(c)
+    both = t.withColumns({"signal_naive": nan(F.col("signal"), 13, 2), "signal": nan(F.col("signal") - 5, 17, 3)})
+    m = binning.bin_map_pair(both, EVENTS_GRID, w)
     return m.select("iy", "ix", r("naive_data").alias("naive_data"), "naive_hits", r("data").alias("data"), r("hits").alias("hits"), r("sumsq", 5).alias("sumsq"))
 
 

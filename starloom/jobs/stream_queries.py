@@ -132,16 +132,16 @@ def spectra_quartiles(spark, sf_dir):
     return q.select("bin", r("freq_hz", 12).alias("freq_hz"), *(r(F.col(c) / 1e6, 5).alias(c) for c in ("p25", "median", "p75")))
 
 
-#: A line planted in bins 6 and 7; the level is the median of five bins, end bins standing for those beyond.
+#: A line planted in bins 6 and 7; the level is the median of eleven bins, end bins standing for those beyond.
 ANOMALY = f"""{PSD}, mb AS (SELECT bin, log10(median(power * CASE bin WHEN 6 THEN 1000 WHEN 7 THEN 300 ELSE 1 END)) AS lg FROM psd WHERE bin >= 1 GROUP BY bin), mi AS (SELECT *, row_number() OVER (ORDER BY bin) AS i, count(*) OVER () AS n FROM mb),
-lv AS (SELECT a.i, a.bin, a.lg - median(b.lg) AS res FROM mi a CROSS JOIN (SELECT unnest([-2, -1, 0, 1, 2]) AS o) JOIN mi b ON b.i = greatest(1, least(a.n, a.i + o)) GROUP BY a.i, a.bin, a.lg),
+lv AS (SELECT a.i, a.bin, a.lg - median(b.lg) AS res FROM mi a CROSS JOIN (SELECT unnest(range(-5, 6)) AS o) JOIN mi b ON b.i = greatest(1, least(a.n, a.i + o)) GROUP BY a.i, a.bin, a.lg),
 ma AS (SELECT median(abs(res - m)) AS mad FROM lv, (SELECT median(res) AS m FROM lv)), ht AS (SELECT lv.*, i - row_number() OVER (ORDER BY i) AS isl FROM lv, ma WHERE mad > 0 AND res > 2 * 1.4826 * mad)"""
 
 
 @query(f"WITH {TOD}, {ANOMALY} SELECT round(bin / 86400.0, 12) AS freq_hz, round(10 * res, 5) + 0.0 AS power_db FROM ht QUALIFY row_number() OVER (PARTITION BY isl ORDER BY res DESC, i) = 1")
 def spectral_anomalies(spark, sf_dir):
     p = _psd(spark, sf_dir).withColumn("power", F.col("power") * F.when(F.col("bin") == 6, 1000.0).when(F.col("bin") == 7, 300.0).otherwise(1.0))
-    return spectra.psd_anomalies(p, sigma=2.0, width=5, skip_hz=0.5 / 86400).select(r("freq_hz", 12).alias("freq_hz"), r("power_db", 5).alias("power_db"))
+    return spectra.psd_anomalies(p, sigma=2.0, width=11, skip_hz=0.5 / 86400).select(r("freq_hz", 12).alias("freq_hz"), r("power_db", 5).alias("power_db"))
 
 
 SEG = f"""{FILL}, cm AS (SELECT *, signal - coalesce(avg(CASE WHEN flags = 0 THEN signal END) OVER (PARTITION BY sample_idx), 0) AS after FROM filled),
@@ -263,12 +263,13 @@ def frequency_shift_hybrid(spark, sf_dir):
 
 @query("""WITH b AS (SELECT DISTINCT user_id % 3 AS b FROM events) SELECT 'B' || b AS block, CAST(r AS INTEGER) AS res_id, 'tone outside the sweep' AS problem FROM b, (SELECT range AS r FROM range(5)) WHERE r % 2 = 1
 UNION ALL SELECT 'B' || b, 0, 'more than one comb tone' FROM b WHERE b = 0 UNION ALL SELECT 'B' || b, 2, 'more than one sweep' FROM b WHERE b = 1 UNION ALL SELECT 'B' || b, 9, 'no sweep' FROM b
-UNION ALL SELECT 'B' || b, 4, 'frequencies must rise from above 0' FROM b WHERE b = 2 UNION ALL SELECT 'B' || b, 4, 'values missing' FROM b WHERE b = 1""")
+UNION ALL SELECT 'B' || b, 4, 'frequencies must rise from above 0' FROM b WHERE b = 2 UNION ALL SELECT 'B' || b, 4, 'values missing' FROM b WHERE b < 2 UNION ALL SELECT 'B' || b, 2, 'values missing' FROM b WHERE b = 2""")
 def sweep_violations(spark, sf_dir):
     t = _tones(spark, sf_dir).withColumn("f_tone", F.when(F.col("res_id") % 2 == 1, 1000.0).otherwise(F.col("f_tone")))
     t = t.unionByName(t.where("block = 'B0' and res_id = 0")).unionByName(t.where("res_id = 0").withColumn("res_id", F.lit(9)))
     s = _sweep(spark, sf_dir).withColumn("sweep_id", F.when(F.expr("block = 'B1' and res_id = 2"), F.col("pt") % 2).otherwise(0))
-    s = s.withColumns({"freq": F.when(F.expr("block = 'B2' and res_id = 4 and pt = 0"), 301.0).otherwise(F.col("freq")), "q": F.when(F.expr("block = 'B1' and res_id = 4 and pt = 20"), F.lit(None)).otherwise(F.col("q"))})
+    s = s.withColumns({"freq": F.when(F.expr("block = 'B2' and res_id = 4 and pt = 0"), 301.0).otherwise(F.col("freq")), "q": F.when(F.expr("block = 'B1' and res_id = 4 and pt = 20"), F.lit(None)).when(F.expr("block = 'B2' and res_id = 2 and pt = 3"), F.lit(float("inf"))).otherwise(F.col("q")),
+                       "i": F.when(F.expr("block = 'B0' and res_id = 4 and pt = 20"), F.lit(float("nan"))).otherwise(F.col("i"))})
     return readout.validate_sweep(s, t)
 
 
@@ -310,9 +311,9 @@ def aligned_streams(spark, sf_dir):
 
 
 @query(f"""WITH {STREAM}, sp AS (SELECT stream, min(t) AS a, max(t) AS b FROM st GROUP BY stream), c AS (SELECT median(d) AS cad FROM (SELECT t - lag(t) OVER (ORDER BY t) AS d FROM st WHERE stream = (SELECT min(stream) FROM st)))
-SELECT round(origin + i * cad, 3) AS t FROM (SELECT max(a) AS origin, min(b) AS e FROM sp), c, (SELECT range AS i FROM range(1000000)) WHERE i < CAST(floor((e - origin) / cad + 1e-9) AS BIGINT) + 1""")
+SELECT round(origin + i * cad, 3) AS t FROM (SELECT origin, cad, unnest(range(CAST(floor((e - origin) / cad + 1e-9) AS BIGINT) + 1)) AS i FROM (SELECT max(a) AS origin, min(b) AS e FROM sp), c)""")
 def shared_time_grid(spark, sf_dir):
-    return align.common_grid(_streams(spark, sf_dir)).select(r("t", 3).alias("t"))
+    return align.common_grid(_streams(spark, sf_dir), bucket=20_000.0).select(r("t", 3).alias("t"))
 
 
 HK = "hk AS (SELECT k * 600.0 AS t, (355.0 + k * 0.37) % 360 AS az, 45 + 10 * sin(k / 50.0) AS el FROM (SELECT unnest(range(0, CAST(floor(max(t) / 600) AS BIGINT) + 2)) AS k FROM st))"
@@ -333,6 +334,32 @@ def unwrapped_angles(spark, sf_dir):
     return align.unwrap(d, "a", t="row").select("stream", "row", r("a", 4).alias("a"))
 
 
+HOUSEKEEPING = """hb AS (SELECT CAST(o_orderkey AS DOUBLE) AS t, o_orderkey AS k, CASE WHEN o_orderkey % 17 = 7 THEN NULL ELSE o_totalprice % 360 END AS az, o_totalprice % 90 AS el FROM orders),
+hx AS (SELECT t, k, az, el FROM hb UNION ALL SELECT t, k, az, el FROM hb WHERE k % 11 = 3 UNION ALL SELECT t, k, az / 2, el FROM hb WHERE k % 13 = 5 AND az > 0)"""
+
+
+def _housekeeping(spark, sf_dir):
+    """Blocks by customer, so that they overlap in time; some rows come twice, some again with half the azimuth, some without a number."""
+    o = read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    az = F.when(k % 17 == 7, F.when(k % 2 == 0, float("nan")).otherwise(float("inf"))).otherwise(F.col("o_totalprice") % 360)
+    rows = o.select((F.col("o_custkey") % 4).alias("block"), k.cast("double").alias("t"), k.alias("k"), az.alias("az"), (F.col("o_totalprice") % 90).alias("el"))
+    again = rows.where("k % 11 = 3").withColumn("block", F.lit(4).cast("long"))
+    other = rows.where("k % 13 = 5 and k % 17 <> 7 and az > 0").withColumns({"block": F.lit(5).cast("long"), "az": F.col("az") / 2})
+    return rows.unionByName(again).unionByName(other).repartition(7, "az")
+
+
+@query(f"WITH {HOUSEKEEPING}, g AS (SELECT t, min(az) AS az, min(el) AS el FROM hx GROUP BY t HAVING count(DISTINCT az) = 1 AND count(*) = count(az)) SELECT row_number() OVER (ORDER BY t) AS seq, t, round(az, 4) + 0.0 AS az, round(el, 4) + 0.0 AS el FROM g")
+def ordered_housekeeping(spark, sf_dir):
+    return align.order_housekeeping(_housekeeping(spark, sf_dir), bucket=5000.0).select("seq", "t", r("az", 4).alias("az"), r("el", 4).alias("el"))
+
+
+@query(f"""WITH {HOUSEKEEPING}, g AS (SELECT t, count(*) AS n_rows, count(DISTINCT az) AS n_az, count(az) AS n_good FROM hx GROUP BY t)
+SELECT t, CASE WHEN n_az > 1 THEN 'contradicting values' ELSE 'repeated' END AS problem, n_rows FROM g WHERE n_rows > 1 UNION ALL SELECT t, 'no pointing', n_rows FROM g WHERE n_good < n_rows""")
+def housekeeping_problems(spark, sf_dir):
+    return align.housekeeping_problems(_housekeeping(spark, sf_dir))
+
+
 FILES = "fl AS (SELECT CAST(s_suppkey AS INTEGER) AS file_idx, s_suppkey * 100.0 - s_nationkey AS t_start, s_suppkey * 100.0 + 90 AS t_stop, 200.0 + CASE WHEN s_acctbal > 9000 THEN 1 ELSE 0 END AS rate FROM supplier)"
 
 
@@ -402,7 +429,7 @@ def icrs_from_altaz(spark, sf_dir):
     return rounded(pointing.altaz_to_radec(e, -22.9586, -67.7875), 6)
 
 
-@query("SELECT n_name, lower(trim(n_name)) IN ('sun', 'moon', 'mercury', 'venus', 'mars', 'jupiter', 'saturn', 'uranus', 'neptune', 'pluto') AS body, translate(p, '/\\: ', '____') AS safe FROM (SELECT n_name, 'B1D1:' || n_name || '/r 0' AS p FROM nation)")
+@query("SELECT n_name, lower(trim(n_name)) IN ('sun', 'moon', 'mercury', 'venus', 'mars', 'jupiter', 'saturn', 'uranus', 'neptune') AS body, translate(p, '/\\: ', '____') AS safe FROM (SELECT n_name, 'B1D1:' || n_name || '/r 0' AS p FROM nation)")
 def names(spark, sf_dir):
     n = read(spark, sf_dir, "nation").select("n_name", F.concat(F.lit("B1D1:"), "n_name", F.lit("/r 0")).alias("p"))
     return n.select("n_name", g.is_solar_system_body(F.col("n_name")).alias("body"), g.safe_name(F.col("p")).alias("safe"))

@@ -83,9 +83,19 @@ def finish_map(sums_: DataFrame) -> DataFrame:
 
 
 def bin_map_pair(tod: DataFrame, grid: Grid, weights: DataFrame | None, naive: str = "signal_naive") -> DataFrame:
-    """The plain map of one column and the weighted map of signal, in one pass: five sums a pixel."""
-    px = pixels(weighted(good_samples(tod), weights), grid)
-    return px.groupBy("iy", "ix").agg(F.sum(naive).alias("naive_data"), F.count("*").alias("naive_hits"), *sums())
+    """The plain map of one column and the weighted map of signal, in one pass: five sums a pixel.
+
+    The plain map has the samples of all detectors alike, also of those without a weight or of weight 0; each map leaves out
+    what is not finite in its own column only.
+    """
+    one = weights if weights is None else weights.select("det_idx", F.col("weight").alias("w"))
+    use = usable(F.col("flags"), F.col("clean_flags") if "clean_flags" in tod.columns else None)
+    good = tod.where(use & (is_finite(F.col("signal")) | is_finite(F.col(naive))))
+    px = pixels(good.withColumn("w", F.lit(1.0)) if one is None else good.join(one, "det_idx", "left"), grid)
+    w = F.when(is_finite(F.col("signal")), F.coalesce("w", F.lit(0.0))).otherwise(0.0)
+    signal = F.when(is_finite(F.col("signal")), F.col("signal")).otherwise(0.0)
+    plain = is_finite(F.col(naive))
+    return px.withColumns({"w": w, "signal": signal}).groupBy("iy", "ix").agg(F.sum(F.when(plain, F.col(naive))).alias("naive_data"), F.count_if(plain).alias("naive_hits"), *sums())
 
 
 def bin_edges(tod: DataFrame, ra_edges: list[float], dec_edges: list[float], weights: DataFrame | None = None) -> DataFrame:

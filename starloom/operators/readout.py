@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.flags import is_finite
 from starloom.functions.medians import exact_median
 
 CHANNEL = r"^r(\d+)_([IQ])$"
@@ -47,7 +48,7 @@ def validate_sweep(sweep: DataFrame, tones: DataFrame) -> DataFrame:
     not exactly one sweep (where sweeps have a sweep_id), more than one comb tone."""
     w = Window.partitionBy("block", "res_id").orderBy("pt")
     s = sweep.withColumn("prev", F.lag("freq").over(w))
-    stats = s.groupBy("block", "res_id").agg(F.count("*").alias("n"), F.min("freq").alias("lo"), F.max("freq").alias("hi"), F.bool_or(F.col("prev") >= F.col("freq")).alias("falls"), F.bool_or(F.col("freq").isNull() | F.col("i").isNull() | F.col("q").isNull()).alias("holes"))
+    stats = s.groupBy("block", "res_id").agg(F.count("*").alias("n"), F.min("freq").alias("lo"), F.max("freq").alias("hi"), F.bool_or(F.col("prev") >= F.col("freq")).alias("falls"), F.bool_or(~(is_finite(F.col("freq")) & is_finite(F.col("i")) & is_finite(F.col("q")))).alias("holes"))
     ref = tone_reference(sweep, tones).select("block", "res_id", (F.col("di") ** 2 + F.col("dq") ** 2).alias("g2"))
     j = stats.join(tones, ["block", "res_id"], "left").join(ref, ["block", "res_id"], "left")
     tests = [(F.col("n") < 2, "fewer than two points"), (F.coalesce(F.col("falls"), F.lit(False)) | (F.col("lo") <= 0), "frequencies must rise from above 0"), (F.col("holes"), "values missing"), ((F.col("f_tone") < F.col("lo")) | (F.col("f_tone") > F.col("hi")), "tone outside the sweep"), ((F.col("g2") == 0) & F.col("f_tone").between(F.col("lo"), F.col("hi")), "no gradient at the tone")]

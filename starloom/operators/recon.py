@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import arrays
 from starloom.functions import geometry as g
+from starloom.functions.scans import BUCKET, bucketed, with_previous
 from starloom.operators.binning import Grid, bin_per_detector
 from starloom.operators.quality import detector_centroids
 
@@ -131,12 +132,13 @@ def residual_stats(residuals: DataFrame, beam_sigma_arcsec: float) -> DataFrame:
     return residuals.groupBy("method").agg(F.count("*").alias("n"), F.avg("dx").alias("mean_x"), F.avg("dy").alias("mean_y"), F.stddev_pop("dx").alias("std_x"), F.stddev_pop("dy").alias("std_y"), rms.alias("rms"), (100 * rms / (2.355 * beam_sigma_arcsec)).alias("rms_pct_fwhm"))
 
 
-def scan_direction(boresight: DataFrame) -> DataFrame:
+def scan_direction(boresight: DataFrame, bucket: int = 4096) -> DataFrame:
     """Adds right: whether RA grows into the sample; the first sample of an observation counts as left.
 
-    Runs over the per-time table in time order, on over chunks.
+    Runs over the per-time table in time order, on over chunks, in buckets of samples.
     """
-    return boresight.withColumn("right", F.coalesce(F.col("ra_bore") > F.lag("ra_bore").over(Window.partitionBy("obs_id").orderBy("sample_idx")), F.lit(False)))
+    rows = with_previous(bucketed(boresight, "sample_idx", bucket), ["obs_id"], "sample_idx", "ra_bore", "__last")
+    return rows.withColumn("right", F.coalesce(F.col("ra_bore") > F.col("__last"), F.lit(False))).drop("__last", BUCKET)
 
 
 def scan_asymmetry(tod: DataFrame, boresight: DataFrame, *carry: str) -> DataFrame:
