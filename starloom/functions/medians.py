@@ -21,7 +21,7 @@ def exact_median(df: DataFrame, keys: list[str], column: str, accuracy: int = AC
     """
     x = F.col(column).cast("double")
     rows = df.select(*keys, x.alias("__x")).where("__x is not null and not isnan(__x)")
-    margin = 2.0 / accuracy
+    margin = min(0.5, 2.0 / accuracy)
     pivots = rows.groupBy(*keys).agg(F.percentile_approx("__x", [0.5 - margin, 0.5 + margin], accuracy).alias("__p"))
     spread = pivots.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     placed = rows.withColumn("__salt", F.pmod(F.xxhash64("__x"), F.lit(SALTS)).cast("int")).join(spread, [*keys, "__salt"])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from starloom.operators import align, binning, clean, detectors, nulls, pointing
 from starloom.operators.binning import Grid, bin_per_detector
 from starloom.operators.common_mode import common_mode
 from starloom.operators.quality import top_k
-from starloom.sources import tables
+from starloom.sources import snapshots, tables
 from starloom.sources.adapters import RATE, boresight, read, tod_from_lineitem
 from starloom.streaming import maps as streams
 
@@ -48,6 +46,17 @@ def gaps_filled(spark, sf_dir):
     return clean.fill_gaps(tod_of(spark, sf_dir)).select("det", "sample_idx", r("signal", 5).alias("signal"), "clean_flags")
 
 
+DEVIATE = "sqrt(-2 * ln(({u1} + 0.5) / 4503599627370496)) * cos(2 * pi() * ({u2} + 0.5) / 4503599627370496)".format(**{f"u{k}": f"CAST('0x' || substr(md5('7:{k}:ev:' || f.det_idx || ':' || f.sample_idx), 1, 13) AS BIGINT)" for k in (1, 2)})
+
+
+@query(f"""WITH {TOD}, {FILL}, nd AS (SELECT det_idx, CASE WHEN flags = 0 AND lag(flags) OVER w = 0 THEN signal - lag(signal) OVER w END AS d FROM tod WINDOW w AS (PARTITION BY chunk_index, det_idx ORDER BY sample_idx)),
+nz AS (SELECT det_idx, stddev_pop(d) / sqrt(2) AS noise FROM nd GROUP BY det_idx)
+SELECT det, sample_idx, round(signal + CASE WHEN gapbit = 2 AND noise > 0 THEN noise * {DEVIATE} ELSE 0 END, 5) + 0.0 AS signal, gapbit AS clean_flags FROM filled f LEFT JOIN nz USING (det_idx)""")
+def gaps_filled_with_noise(spark, sf_dir):
+    t = tod_of(spark, sf_dir)
+    return clean.fill_gaps(t, noise=detectors.detector_noise(t), seed=7).select("det", "sample_idx", r("signal", 5).alias("signal"), "clean_flags")
+
+
 SPIKES = f"""{FILL},
 sp0 AS (SELECT *, signal - lag(signal) OVER w AS d, 1.5 * stddev_pop(signal) OVER q AS s, max(CASE WHEN signal IS NULL THEN 1 ELSE 0 END) OVER q AS miss FROM filled
   WINDOW w AS (PARTITION BY chunk_index, det_idx ORDER BY sample_idx), q AS (PARTITION BY chunk_index, det_idx)),
@@ -429,6 +438,22 @@ def icrs_from_altaz(spark, sf_dir):
     return rounded(pointing.altaz_to_radec(e, -22.9586, -67.7875), 6)
 
 
+@query(f"WITH {STREAM} SELECT stream, round(t, 4) AS t, round(v % 360, 6) + 0.0 AS az, round(20 + v % 60, 6) + 0.0 AS el FROM st")
+def altaz_there_and_back(spark, sf_dir):
+    """Az, El to ICRS at the site, and back."""
+    e = _streams(spark, sf_dir).select("stream", (F.col("t") + 1_704_067_200).alias("t"), (F.col("v") % 360).alias("az"), (20 + F.col("v") % 60).alias("el"))
+    icrs = pointing.altaz_to_radec(e, -22.9586, -67.7875).drop("az", "el")
+    back = pointing.radec_to_altaz(icrs, -22.9586, -67.7875)
+    return back.select("stream", r(F.col("t") - 1_704_067_200, 4).alias("t"), r("az").alias("az"), r("el").alias("el"))
+
+
+@query("SELECT event_id, round(epoch_us(ts) / 1e6, 6) AS t FROM events")
+def tick_times(spark, sf_dir):
+    """Times in ticks of 10 ns as Unix seconds."""
+    e = read(spark, sf_dir, "events").select("event_id", (F.unix_micros(F.col("ts").cast("timestamp")) * 100).alias("ticks"))
+    return e.select("event_id", r(g.ticks_to_unix(F.col("ticks")), 6).alias("t"))
+
+
 @query("SELECT n_name, lower(trim(n_name)) IN ('sun', 'moon', 'mercury', 'venus', 'mars', 'jupiter', 'saturn', 'uranus', 'neptune') AS body, translate(p, '/\\: ', '____') AS safe FROM (SELECT n_name, 'B1D1:' || n_name || '/r 0' AS p FROM nation)")
 def names(spark, sf_dir):
     n = read(spark, sf_dir, "nation").select("n_name", F.concat(F.lit("B1D1:"), "n_name", F.lit("/r 0")).alias("p"))
@@ -494,11 +519,37 @@ def residual_statistics(spark, sf_dir):
     return rounded(recon.residual_stats(d.unionByName(half), 15.0), 5)
 
 
-TRACK = "tk AS (SELECT DISTINCT sample_idx, ra_bore, (10.5 - ra_bore) AS du, (20.3 - dec_bore) AS dv FROM tod), dr AS (SELECT *, coalesce(ra_bore > lag(ra_bore) OVER (ORDER BY sample_idx), false) AS rt FROM tk)"
+#: The source at (10.5, 20.3) in the frame of a boresight that also turns about its own axis, by 3 degrees more each two days.
+ROLL = "20 + 3 * ((sample_idx // 96) % 10)"
+TRACK = f"""tk0 AS (SELECT DISTINCT sample_idx, ra_bore, dec_bore, radians(10.5 - ra_bore) AS a, radians(90 - dec_bore) AS b, radians({ROLL}) AS ro FROM tod),
+tk1 AS (SELECT *, cos(b) * cos(radians(20.3)) * cos(a) - sin(b) * sin(radians(20.3)) AS x1, cos(radians(20.3)) * sin(a) AS y1, sin(b) * cos(radians(20.3)) * cos(a) + cos(b) * sin(radians(20.3)) AS z1 FROM tk0),
+tk AS (SELECT sample_idx, ra_bore, degrees(atan2(cos(ro) * x1 + sin(ro) * y1, z1)) AS du, degrees(atan2(cos(ro) * y1 - sin(ro) * x1, z1)) AS dv FROM tk1), dr AS (SELECT *, coalesce(ra_bore > lag(ra_bore) OVER (ORDER BY sample_idx), false) AS rt FROM tk)"""
+
+
+def _turning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boresight with quaternions that also turn about its own axis, stored as it would arrive: one column, not an expression in each use."""
+    b = boresight(spark, sf_dir)
+    q, half = _quat(F.col("ra_bore"), F.col("dec_bore")), F.radians(20 + 3 * (F.floor(F.col("sample_idx") / 96) % 10)) / 2
+    c, s = F.cos(half), F.sin(half)
+    turned = b.withColumn("p", q).withColumn("q", g.quat(c * F.col("p.x") + s * F.col("p.y"), c * F.col("p.y") - s * F.col("p.x"), c * F.col("p.z") + s * F.col("p.w"), c * F.col("p.w") - s * F.col("p.z"))).drop("p")
+    return _stored(turned)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """One row a time sample, written once: what joins it reads columns, not the arithmetic behind them."""
+    at = snapshots.shared_folder(df.sparkSession)
+    snapshots.publish(df, at)
+    return snapshots.latest(df.sparkSession, at)
 
 
 def _track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boresight(spark, sf_dir).withColumns({"du": F.lit(10.5) - F.col("ra_bore"), "dv": F.lit(20.3) - F.col("dec_bore")})
+    return _stored(recon.source_track(_turning(spark, sf_dir), 10.5, 20.3))
+
+
+@query(f"WITH {TOD}, {TRACK} SELECT sample_idx, round(du, 7) + 0.0 AS du, round(dv, 7) + 0.0 AS dv FROM tk")
+def source_tracks(spark, sf_dir):
+    seen = tod_of(spark, sf_dir).select("obs_id", "sample_idx").distinct()
+    return rounded(_track(spark, sf_dir).join(seen, ["obs_id", "sample_idx"], "left_semi").select("sample_idx", "du", "dv"), 7)
 
 
 @query(f"WITH {TOD}, {TRACK} SELECT rt AS \"right\", count(*) AS n FROM dr WHERE sample_idx IN (SELECT sample_idx FROM tod) GROUP BY rt")
@@ -513,10 +564,18 @@ def left_right_asymmetry(spark, sf_dir):
     return rounded(recon.scan_asymmetry(tod_of(spark, sf_dir), _track(spark, sf_dir)))
 
 
-FP_GRID = Grid(-0.575, -0.325, 0.05, 0.05, 24, 14)
-FP = f"""{TRACK}, md AS (SELECT chunk_index, det_idx, median(signal) AS m FROM tod WHERE flags = 0 GROUP BY ALL),
-fp AS (SELECT det_idx, CAST(floor((du + 0.575) / 0.05) AS INTEGER) AS ix, CAST(floor((dv + 0.325) / 0.05) AS INTEGER) AS iy, signal - m AS x FROM tod JOIN md USING (chunk_index, det_idx) JOIN tk USING (sample_idx) WHERE flags = 0 AND signal IS NOT NULL),
-fm AS (SELECT det_idx, iy, ix, sum(x) AS data, CAST(count(*) AS DOUBLE) AS hits FROM fp WHERE ix BETWEEN 0 AND 23 AND iy BETWEEN 0 AND 13 GROUP BY det_idx, iy, ix)"""
+FP_GRID = Grid(-0.7, -0.7, 0.0475, 0.0475, 30, 30)
+#: A round source of 2,000 in each detector, which sits 0.05 degrees from the next.
+SEEN = "signal + 2000 * exp(-(power(du - 0.05 * (det_idx - 2), 2) + dv * dv) / (2 * 0.08 * 0.08))"
+
+
+def _fp_sql(signal: str = "signal") -> str:
+    return f"""{TRACK}, sn AS (SELECT tod.chunk_index, det_idx, flags, du, dv, {signal} AS signal FROM tod JOIN tk USING (sample_idx)), md AS (SELECT chunk_index, det_idx, median(signal) AS m FROM sn WHERE flags = 0 GROUP BY ALL),
+fp AS (SELECT det_idx, CAST(floor((du + 0.7) / 0.0475) AS INTEGER) AS ix, CAST(floor((dv + 0.7) / 0.0475) AS INTEGER) AS iy, signal - m AS x FROM sn JOIN md USING (chunk_index, det_idx) WHERE flags = 0 AND signal IS NOT NULL),
+fm AS (SELECT det_idx, iy, ix, sum(x) AS data, CAST(count(*) AS DOUBLE) AS hits FROM fp WHERE ix BETWEEN 0 AND 29 AND iy BETWEEN 0 AND 29 GROUP BY det_idx, iy, ix)"""
+
+
+FP = _fp_sql()
 
 
 @query(f"WITH {TOD}, {FP} SELECT det_idx, iy, ix, round(data, 6) + 0.0 AS data, hits FROM fm")
@@ -524,40 +583,47 @@ def focalplane_detector_maps(spark, sf_dir):
     return rounded(recon.focalplane_maps(tod_of(spark, sf_dir), _track(spark, sf_dir), FP_GRID))
 
 
-@query(f"""WITH {TOD}, {FP}, v AS (SELECT *, data / hits AS value FROM fm), q AS (SELECT det_idx, median(value) AS m FROM v GROUP BY det_idx), rm AS (SELECT det_idx, sqrt(avg(value * value)) AS rms FROM v JOIN q USING (det_idx) WHERE value < m GROUP BY det_idx),
+@query(f"""WITH {TOD}, {_fp_sql(SEEN)}, v AS (SELECT *, data / hits AS value FROM fm), q AS (SELECT det_idx, median(value) AS m FROM v GROUP BY det_idx), rm AS (SELECT det_idx, sqrt(avg(value * value)) AS rms FROM v JOIN q USING (det_idx) WHERE value < m GROUP BY det_idx),
 pk AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY det_idx ORDER BY value DESC, iy, ix) = 1)
-SELECT det_idx, iy, ix, hits, round(value / rms, 5) AS snr FROM pk JOIN rm USING (det_idx) WHERE ix BETWEEN 1 AND 22 AND iy BETWEEN 1 AND 12 AND hits >= 2 AND value / rms >= 0.5""")
+SELECT det_idx, iy, ix, hits, round(value / rms, 5) AS snr FROM pk JOIN rm USING (det_idx) WHERE ix BETWEEN 5 AND 24 AND iy BETWEEN 5 AND 24 AND hits >= 1 AND value / rms >= 5""")
 def picked_peaks(spark, sf_dir):
-    p = recon.pick_peaks(recon.focalplane_maps(tod_of(spark, sf_dir), _track(spark, sf_dir), FP_GRID), FP_GRID, 1, 2, 0.5)
+    track = _track(spark, sf_dir)
+    d2 = (F.col("du") - 0.05 * (F.col("det_idx") - 2)) ** 2 + F.col("dv") ** 2
+    seen = tod_of(spark, sf_dir).join(track.select("obs_id", "sample_idx", "du", "dv"), ["obs_id", "sample_idx"]).withColumn("signal", F.col("signal") + 2000 * F.exp(-d2 / (2 * 0.08 * 0.08))).drop("du", "dv")
+    p = recon.pick_peaks(recon.focalplane_maps(seen, track, FP_GRID), FP_GRID, min_hits=1)
     return p.select("det_idx", "iy", "ix", "hits", r("snr", 5).alias("snr"))
 
 
 def _source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem positions with a round source in each detector, and the sample's own value as noise."""
-    t = tod_from_lineitem(spark, sf_dir).withColumn("det_idx", (F.col("det_idx") % 8).cast("int"))
-    i = F.col("sample_idx")
-    x, y = (F.xxhash64(i, "signal", F.lit(1)) % 4001) / 40000.0, (F.xxhash64(i, "signal", F.lit(2)) % 4001) / 40000.0
-    s = t.withColumns({"du": x, "dv": y})
+    i = read(spark, sf_dir, "lineitem")
+    one = F.col("l_orderkey") * 8 + F.col("l_linenumber")  # a moment of its own for each row
+    place = lambda k: (F.xxhash64(one, F.lit(k)) % 4001) / 40000.0
+    s = i.select(F.lit("li").alias("obs_id"), one.alias("sample_idx"), (F.col("l_suppkey") % 8).cast("int").alias("det_idx"), F.lit(0).alias("flags"), F.col("l_extendedprice").alias("signal"), place(1).alias("du"), place(2).alias("dv"))
     r2 = (F.col("du") - 0.004 * F.col("det_idx")) ** 2 + (F.col("dv") + 0.003 * F.col("det_idx")) ** 2
     return s.withColumn("signal", 50 * F.exp(-r2 / (2 * 0.02**2)) + F.col("signal") / 1e6)
 
 
-@query()
+SOURCES = """so AS (SELECT CAST(s_suppkey AS INTEGER) AS det_idx, 5.0 + s_suppkey % 11 AS amp, (s_suppkey % 7 - 3) * 0.0031 AS x, (s_nationkey % 5 - 2) * 0.0047 AS y, 0.012 + 0.0005 * (s_suppkey % 9) AS sigma, s_acctbal / 1000 AS background FROM supplier)"""
+
+
+@query(f"WITH {SOURCES} SELECT det_idx, round(amp, 4) AS amp, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y, round(sigma, 6) AS sigma, round(background, 4) + 0.0 AS background, CAST(0 AS DOUBLE) AS residual FROM so")
 def gaussian_centroids(spark, sf_dir):
-    s, grid = _source_scan(spark, sf_dir), Grid(-0.1, -0.1, 0.01, 0.01, 20, 20)
-    m = bin_per_detector(s, grid, ra="du", dec="dv")
-    peaks = recon.pick_peaks(m, grid, 3, 1, 3.0)
-    return rounded(recon.gauss_centroid(m, peaks, grid, whole=False), 4)
+    """A round source without noise for each supplier, so that the fit must find what it was made of."""
+    grid, k = Grid(-0.075, -0.075, 0.01, 0.01, 15, 15), F.col("s_suppkey")
+    made = read(spark, sf_dir, "supplier").select(k.cast("int").alias("det_idx"), (5 + k % 11).alias("amp"), ((k % 7 - 3) * 0.0031).alias("cx"), ((F.col("s_nationkey") % 5 - 2) * 0.0047).alias("cy"), (0.012 + 0.0005 * (k % 9)).alias("sigma"), (F.col("s_acctbal") / 1000).alias("bg"), (1.0 + k % 3).alias("hits"))
+    px = made.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(224)))).withColumns({"iy": F.floor(F.col("p") / 15).cast("int"), "ix": (F.col("p") % 15).cast("int")})
+    r2 = (g.pixel_center(grid.ra_lo, grid.step_ra, F.col("ix")) - F.col("cx")) ** 2 + (g.pixel_center(grid.dec_lo, grid.step_dec, F.col("iy")) - F.col("cy")) ** 2
+    m = px.select("det_idx", "iy", "ix", (F.col("hits") * (F.col("amp") * F.exp(-r2 / (2 * F.col("sigma") ** 2)) + F.col("bg"))).alias("data"), "hits")
+    c = recon.gauss_centroid(m, recon.pick_peaks(m, grid, 4, 1, 0.0), grid)
+    return c.select("det_idx", r("amp", 4).alias("amp"), r("x").alias("x"), r("y").alias("y"), r("sigma").alias("sigma"), r("background", 4).alias("background"), r("residual").alias("residual"))
 
 
 @query()
 def fine_centroids(spark, sf_dir):
     s = _source_scan(spark, sf_dir)
     coarse = s.select("det_idx").distinct().select("det_idx", (0.004 * F.col("det_idx") + 0.001).alias("x"), (-0.003 * F.col("det_idx")).alias("y"))
-    track = s.select("obs_id", "sample_idx", "du", "dv").distinct()
-    scan = s.drop("du", "dv")
-    one = scan.join(track.groupBy("obs_id", "sample_idx").count().where("count = 1"), ["obs_id", "sample_idx"], "left_semi")
-    return rounded(recon.fine_centroid(one, track, coarse, res=0.005, half=0.05, reach=5), 4)
+    return rounded(recon.fine_centroid(s.drop("du", "dv"), s.select("obs_id", "sample_idx", "du", "dv"), coarse, res=0.005, half=0.05, reach=5), 4)
 
 
 @query(f"WITH {TOD}, {BEST}, {TRACK} SELECT det_idx, round(du, 6) + 0.0 AS x, round(dv, 6) + 0.0 AS y FROM bs JOIN tk USING (sample_idx)")
@@ -565,11 +631,11 @@ def peak_time_positions(spark, sf_dir):
     return rounded(recon.peak_time_position(tod_of(spark, sf_dir), _track(spark, sf_dir)))
 
 
-#: With the turn used here the focal plane's x axis points to lower Dec along the meridian at every sample.
-@query(f"WITH {TOD} SELECT CAST(-90.0 AS DOUBLE) + 0.0 AS mean, CAST(0.0 AS DOUBLE) AS std, CAST(0.0 AS DOUBLE) AS range FROM tod LIMIT 1")
+#: Without its own turn the focal plane's x axis points to lower Dec along the meridian; a turn moves it on by its angle.
+@query(f"WITH {TOD}, s AS (SELECT DISTINCT sample_idx, -90.0 + {ROLL} AS pa FROM tod) SELECT round(avg(pa), 6) AS mean, round(stddev_pop(pa), 6) AS std, CAST(max(pa) - min(pa) AS DOUBLE) AS range FROM s")
 def position_angles(spark, sf_dir):
     seen = tod_of(spark, sf_dir).select("obs_id", "sample_idx").distinct()
-    return rounded(recon.position_angle(_bore(spark, sf_dir).join(seen, ["obs_id", "sample_idx"], "left_semi")))
+    return rounded(recon.position_angle(_turning(spark, sf_dir).join(seen, ["obs_id", "sample_idx"], "left_semi")))
 
 
 @query(f"WITH {LINES} SELECT iy, ix, round(sum(signal), 2) + 0.0 AS data, count(*) AS n_samples FROM li WHERE flags = 0 AND sample_idx % 11 > 6 GROUP BY iy, ix")
@@ -624,25 +690,56 @@ def strongest_samples(spark, sf_dir):
     return top_k(tod_from_lineitem(spark, sf_dir).select("sample_idx", "det_idx", r("signal", 2).alias("signal")), "signal", 20)
 
 
-@query(f"WITH {TOD} SELECT CAST(chunk_index AS BIGINT) AS chunk_index, CAST(to_json(struct_pack(n := count(*), bad := NULL)) AS VARCHAR) AS value FROM tod GROUP BY chunk_index")
+@query(f"WITH {TOD} SELECT CAST(to_json(struct_pack(chunk_index := chunk_index, n := count(*), bad := NULL, name := 'a/b', t_start := strftime(to_timestamp(min(t)) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S'))) AS VARCHAR) AS value FROM tod GROUP BY chunk_index")
 def metadata_texts(spark, sf_dir):
-    m = tod_of(spark, sf_dir).groupBy("chunk_index").agg(F.count("*").alias("n"), F.lit(float("nan")).alias("bad"))
-    both = m.select("chunk_index", F.struct("n", "bad").alias("s"))
-    return both.select("chunk_index", F.to_json(F.struct(F.col("s.n"), g.finite(F.col("s.bad")).alias("bad")), {"ignoreNullFields": "false"}).alias("value"))
-
+    """Metadata written as JSON lines and read back: a number that is not finite is null, a time is an ISO text."""
+    m = tod_of(spark, sf_dir).groupBy("chunk_index").agg(F.count("*").alias("n"), F.lit(float("nan")).alias("bad"), F.lit("a/b").alias("name"), F.timestamp_seconds(F.min("t")).alias("t_start"))
+    at = snapshots.shared_folder(spark)
+    tables.write_metadata(m, f"{at}/metadata")
+    return spark.read.text(f"{at}/metadata")
+
+
+@query(f"WITH {LINES} SELECT chunk_index AS stage, iy, ix, round(sum(signal), 2) + 0.0 AS data, CAST(count(*) AS DOUBLE) AS hits FROM (SELECT chunk_index % 3 AS chunk_index, iy, ix, signal FROM li WHERE flags = 0) GROUP BY chunk_index, iy, ix")
+def saved_maps(spark, sf_dir):
+    """Maps of three stages written, written again under the same version, and read back."""
+    at, maps = f"{snapshots.shared_folder(spark)}/maps", None
+    for k in range(3):
+        m = binning.bin_map(tod_from_lineitem(spark, sf_dir).where(F.col("chunk_index") % 3 == k), LINES_GRID).withColumn("stage", F.lit(k).cast("long"))
+        maps = m if maps is None else maps.unionByName(m)
+    tables.write_maps(maps, at)
+    tables.write_maps(maps.limit(0), at)
+    return snapshots.latest(spark, at).select(F.col("stage").cast("long").alias("stage"), "iy", "ix", r("data", 2).alias("data"), "hits")
+
+
+@query(f"WITH {TOD}, {PSD} SELECT det_idx, bin, round(power / 1e6, 5) + 0.0 AS power FROM psd")
+def saved_spectra(spark, sf_dir):
+    at = f"{snapshots.shared_folder(spark)}/psd"
+    tables.write_psd(_psd(spark, sf_dir), at)
+    return snapshots.latest(spark, at).select("det_idx", "bin", r(F.col("power") / 1e6, 5).alias("power"))
+
+
+@query(f"WITH {CENT} SELECT det, ra, round(dec, 6) AS dec, round(snr, 6) + 0.0 AS snr FROM cz")
+def saved_centroids(spark, sf_dir):
+    s = read(spark, sf_dir, "supplier")
+    at = f"{snapshots.shared_folder(spark)}/centroids"
+    tables.write_centroids(s.select(F.col("s_name").alias("det"), (10 + F.col("s_suppkey") / 1000.0).alias("ra"), (20 + F.col("s_nationkey") / 100.0).alias("dec"), (F.col("s_acctbal") / 1000).alias("snr")), at)
+    return rounded(tables.read_centroids(spark, at))
 
-# ---------------------------------------------------------------- streaming
 
+@query(f"WITH {LINES}, l AS (SELECT *, CASE WHEN sample_idx % 5 = 0 THEN NULL ELSE signal END AS x FROM li) SELECT CASE WHEN chunk_index % 2 = 0 THEN 'even' ELSE 'odd' END AS part, count(*) AS n, count(x) AS filled, round(sum(x), 2) + 0.0 AS total FROM l GROUP BY 1")
+def nested_files_read(spark, sf_dir):
+    """Samples in folders at two depths, read from two paths as one observation beside a file of another kind; NaN is missing."""
+    at, t = snapshots.shared_folder(spark), tod_from_lineitem(spark, sf_dir)
+    signal = F.when(F.col("sample_idx") % 5 == 0, float("nan")).otherwise(F.col("signal"))
+    rows = t.select("obs_id", F.lit(0).alias("file_idx"), "chunk_index", "sample_idx", F.col("sample_idx").cast("double").alias("t"), "det", F.col("det_idx").cast("int").alias("det_idx"), signal.alias("signal"), "flags")
+    rows.where("chunk_index % 2 = 0").write.parquet(f"{at}/a/deep/er")
+    rows.where("chunk_index % 2 = 1").write.parquet(f"{at}/b")
+    rows.limit(5).select("det").write.text(f"{at}/b/notes")
+    read_ = tables.read_tod(spark, [f"{at}/a", f"{at}/b"])
+    return read_.groupBy(F.when(F.col("chunk_index") % 2 == 0, "even").otherwise("odd").alias("part")).agg(F.count("*").alias("n"), F.count("signal").alias("filled"), r(F.sum("signal"), 2).alias("total"))
 
-def _shared(spark: SparkSession) -> str:
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
 
-        folder = tempfile.mkdtemp(prefix="starloom-")
-    return f"{folder}/stream-{uuid.uuid4().hex}"
+# ---------------------------------------------------------------- streaming
 
 
 def _arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -653,17 +750,34 @@ def _arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def streamed_map(spark, sf_dir):
     from starloom.sources.adapters import lineitem_samples
 
-    at = _shared(spark)
+    at = snapshots.shared_folder(spark)
     streams.run_to_table(streams.stream_map(lineitem_samples(_arriving(spark, sf_dir, "lineitem")), LINES_GRID), f"{at}/state", f"{at}/map")
-    return spark.read.parquet(f"{at}/map").select("iy", "ix", r("data", 2).alias("data"), "hits", "n_samples")
+    return snapshots.latest(spark, f"{at}/map").select("iy", "ix", r("data", 2).alias("data"), "hits", "n_samples")
 
 
 @query("""WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS t_start, event_type AS det, value FROM events)
 SELECT t_start, t_start + INTERVAL 1 DAY AS t_stop, det, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM w GROUP BY t_start, det""")
 def streamed_chunk_stats(spark, sf_dir):
-    at = _shared(spark)
+    at = snapshots.shared_folder(spark)
     e = _arriving(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("det"), F.col("value").alias("signal"))
     day = streams.stream_chunk_stats(e, "1 day", "10 days")
     # complete mode: the last windows are shown without a row that closes them
     streams.run_to_table(day, f"{at}/state", f"{at}/stats")
-    return rounded(spark.read.parquet(f"{at}/stats").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("t_start", "t_stop")}))
+    return rounded(snapshots.latest(spark, f"{at}/stats").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("t_start", "t_stop")}))
+
+
+#: Events arrive in six batches by number; a batch knows the last time of each type in the batches before.
+ARRIVALS = """ar AS (SELECT event_id, event_type AS det, ts, value, event_id % 6 AS batch FROM events), tops AS (SELECT det, batch, max(ts) AS top FROM ar GROUP BY ALL),
+marked AS (SELECT ar.*, coalesce(ts < (SELECT max(top) FROM tops WHERE tops.det = ar.det AND tops.batch < ar.batch) - INTERVAL 20 DAY, false) AS late FROM ar)"""
+
+
+@query(f"WITH {ARRIVALS} SELECT batch, det, late, count(*) AS n, round(sum(value), 4) + 0.0 AS total FROM marked GROUP BY ALL")
+def late_and_on_time(spark, sf_dir):
+    """A stream of six files, one a batch; rows over 20 days behind their type's last time go apart, and none is lost."""
+    at = snapshots.shared_folder(spark)
+    e = read(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("det"), F.col("ts").cast("timestamp").alias("ts"), "value", (F.col("event_id") % 6).alias("batch"))
+    for k in range(6):  # files one after another, as they would arrive
+        e.where(F.col("batch") == k).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    arriving = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    streams.run_with_late(arriving, f"{at}/out", f"{at}/state", "20 DAY")
+    return streams.arrived(spark, f"{at}/out").groupBy("batch", "det", "late").agg(F.count("*").alias("n"), r(F.sum("value"), 4).alias("total"))

@@ -54,8 +54,9 @@ def _through(x: Column, pts: list[tuple[Column, Column]]) -> Column:
 
 
 def gaussian(seed: int, *keys: str) -> Column:
-    """A standard normal number that depends on the seed and the keys only."""
-    unit = lambda salt: (F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), *keys), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    """A standard normal number that depends on the seed and the keys only, by MD5, so that any engine can repeat it."""
+    text = lambda salt: F.concat_ws(":", F.lit(str(seed)), F.lit(str(salt)), *(F.col(k).cast("string") for k in keys))
+    unit = lambda salt: (F.conv(F.substring(F.md5(text(salt)), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
     return F.sqrt(-2 * F.log(unit(1))) * F.cos(2 * F.lit(3.141592653589793) * unit(2))
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions import arrays
 from starloom.functions import geometry as g
@@ -29,14 +30,21 @@ def boresight_to_radec(boresight: DataFrame) -> DataFrame:
 
 def altaz_to_radec(boresight: DataFrame, lat: float, lon: float, dut1: float = 0.0) -> DataFrame:
     """Adds ra_bore, dec_bore from az, el and t; once a time sample, before any join with detectors."""
+    return _with_pair(boresight, arrays.altaz_to_radec, ("az", "el"), ("ra_bore", "dec_bore"), lat, lon, dut1)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            ra, dec = arrays.altaz_to_radec(p["az"].to_numpy(float), p["el"].to_numpy(float), p["t"].to_numpy(float), lat, lon, dut1)
-            yield p.assign(ra_bore=ra, dec_bore=dec)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in boresight.schema)
-    return boresight.mapInPandas(run, f"{fields}, ra_bore double, dec_bore double")
+def radec_to_altaz(boresight: DataFrame, lat: float, lon: float, dut1: float = 0.0) -> DataFrame:
+    """Adds az, el from ra_bore, dec_bore and t."""
+    return _with_pair(boresight, arrays.radec_to_altaz, ("ra_bore", "dec_bore"), ("az", "el"), lat, lon, dut1)
+
+
+def _with_pair(df: DataFrame, turn: Callable, given: tuple[str, str], made: tuple[str, str], lat: float, lon: float, dut1: float) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y, t = (b.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in (*given, "t"))
+            yield pa.record_batch([*b.columns, *map(pa.array, turn(x, y, t, lat, lon, dut1))], names=[*b.schema.names, *made])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *(T.StructField(c, T.DoubleType()) for c in made)]))
 
 
 def map_center(stats: DataFrame, targets: DataFrame | None = None, target: str | None = None, pair: tuple[float, float] | None = None) -> DataFrame:

@@ -66,7 +66,3 @@ def flag_detectors(centroids: DataFrame, k: float = 3.0) -> DataFrame:
 def top_k(df: DataFrame, by: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(by)).limit(k)
 
-
-def first_rows(df: DataFrame, keys: list[str], order: list[str], n: int = 1) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from starloom.functions import geometry as g
 from starloom.functions.scans import BUCKET, bucketed, with_previous
 from starloom.operators.binning import Grid, bin_per_detector
 from starloom.operators.quality import detector_centroids
+from starloom.operators.spectra import matrices
 
 ARCSEC = 3600.0
 
@@ -43,25 +47,27 @@ def pick_peaks(det_maps: DataFrame, grid: Grid, border: int = 5, min_hits: float
 def gauss_centroid(det_maps: DataFrame, peaks: DataFrame, grid: Grid, reach: int = 3, whole: bool = True, min_pixels: int = 10) -> DataFrame:
     """det_idx, amp, x, y, sigma, background, residual: a round Gaussian fitted to the pixels about each peak.
 
-    With whole, all pixels of the window must be there, else at least min_pixels; a group has at most
-    (2 reach + 1) squared rows.  residual is the RMS of the fit over its amplitude.
+    With whole, all pixels of the window must be there, else at least min_pixels; a cut-out has at most
+    (2 reach + 1) squared of them, and all cut-outs of a batch are fitted at once.  residual is the RMS of the fit over its amplitude.
     """
     p = peaks.select("det_idx", F.col("iy").alias("py"), F.col("ix").alias("px"))
     near = det_maps.join(p, "det_idx").where((F.abs(F.col("iy") - F.col("py")) <= reach) & (F.abs(F.col("ix") - F.col("px")) <= reach))
     cut = near.select("det_idx", g.pixel_center(grid.ra_lo, grid.step_ra, F.col("ix")).alias("x"), g.pixel_center(grid.dec_lo, grid.step_dec, F.col("iy")).alias("y"), (F.col("data") / F.col("hits")).alias("z"))
-    least, step = (2 * reach + 1) ** 2 if whole else min_pixels, grid.step_ra
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        names = ["det_idx", "amp", "x", "y", "sigma", "background", "residual"]
-        part = part.sort_values(["y", "x"])
-        x, y, z = (part[c].to_numpy(float) for c in ("x", "y", "z"))
-        fit = arrays.gauss2d_fit(x, y, z, step) if len(z) >= least else None
-        if fit is None or fit[0] <= 0:
-            return pd.DataFrame(columns=names)
-        model = fit[0] * arrays.np.exp(-((x - fit[1]) ** 2 + (y - fit[2]) ** 2) / (2 * fit[3] ** 2)) + fit[4]
-        return pd.DataFrame([(part["det_idx"].iloc[0], *fit, float(arrays.np.sqrt(((z - model) ** 2).mean()) / fit[0]))], columns=names)
-
-    return cut.groupBy("det_idx").applyInPandas(run, "det_idx int, amp double, x double, y double, sigma double, background double, residual double")
+    least, step = max(6, (2 * reach + 1) ** 2 if whole else min_pixels), grid.step_ra
+    packed = cut.where("z is not null").groupBy("det_idx").agg(F.array_sort(F.collect_list(F.struct("y", "x", "z"))).alias("c")).where(F.size("c") >= least).select("det_idx", *(F.col("c")[k].alias(k) for k in "xyz"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = np.full((batch.num_rows, 6), np.nan)
+            for (at, x), (_, y), (_, z) in zip(*(matrices(batch.column(k)) for k in "xyz"), strict=True):
+                fit = arrays.gauss2d_fits(x, y, z, step)
+                model = fit[:, :1] * np.exp(-((x - fit[:, 1:2]) ** 2 + (y - fit[:, 2:3]) ** 2) / (2 * fit[:, 3:4] ** 2)) + fit[:, 4:]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    fits[at] = np.column_stack([fit, np.sqrt(((z - model) ** 2).mean(axis=1)) / fit[:, 0]])
+            good = np.flatnonzero(fits[:, 0] > 0)
+            yield pa.record_batch([batch.column("det_idx").take(pa.array(good)), *(pa.array(fits[good, k]) for k in range(6))], names=["det_idx", "amp", "x", "y", "sigma", "background", "residual"])
+
+    return packed.mapInArrow(run, "det_idx int, amp double, x double, y double, sigma double, background double, residual double")
 
 
 def fine_centroid(tod: DataFrame, track: DataFrame, coarse: DataFrame, res: float = 6 / ARCSEC, half: float = 0.05, reach: int = 5) -> DataFrame:

@@ -44,10 +44,10 @@ def versions(spark: SparkSession, path: str) -> dict[int, str]:
     return {int(v): f"{path}/{folder}" for v, folder in sorted((n.split("=", 1) for n in names if n[:1].isdigit()), key=lambda x: int(x[0]))}
 
 
-def publish(df: DataFrame, path: str, version: int = 0, keep: int = 2, partition_by: tuple[str, ...] = ()) -> bool:
+def publish(df: DataFrame, path: str, version: int = 0, keep: int | None = 2, partition_by: tuple[str, ...] = ()) -> bool:
     """Write a version and commit it; False, and nothing done, if it is committed already.
 
-    Of older versions the last ``keep - 1`` stay for readers that have begun; folders without a commit go with the others.
+    Of older versions the last ``keep - 1`` stay for readers that have begun (all with keep None); folders without a commit go with the others.
     """
     spark = df.sparkSession
     before = versions(spark, path)
@@ -56,6 +56,8 @@ def publish(df: DataFrame, path: str, version: int = 0, keep: int = 2, partition
     folder = f"data-{version}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
     commit(spark, path, version, folder)
+    if keep is None:
+        return True
     now = versions(spark, path)
     stay = {f.rsplit("/", 1)[-1] for f in list(now.values())[-keep:]}
     fs, p = _at(spark, path)
@@ -81,3 +83,11 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     if not found:
         raise FileNotFoundError(f"no committed version under {path}")
     return spark.read.parquet(found[-1])
+
+
+def everything(spark: SparkSession, path: str) -> DataFrame:
+    """All committed versions together, for results of which each version is a part."""
+    found = list(versions(spark, path).values())
+    if not found:
+        raise FileNotFoundError(f"no committed version under {path}")
+    return spark.read.schema(spark.read.parquet(found[-1]).schema).parquet(*found)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.geometry import boresight_dir, finite
+from starloom.sources import snapshots
 
 TOD = T.StructType([
     T.StructField("obs_id", T.StringType()), T.StructField("file_idx", T.IntegerType()), T.StructField("chunk_index", T.LongType()), T.StructField("sample_idx", T.LongType()),
@@ -53,12 +54,13 @@ def pack_blocks(tod: DataFrame, keys: list[str]) -> DataFrame:
     return tod.groupBy(*keys).agg(rows.alias("__r")).select(*keys, F.col("__r")[0]["sample_idx"].alias("first_sample"), F.col("__r.signal").alias("signal"), F.col("__r.flags").alias("flags"))
 
 
-def write_maps(maps: DataFrame, path: str) -> None:
-    maps.write.mode("overwrite").partitionBy("stage").parquet(path)
+def write_maps(maps: DataFrame, path: str, version: int = 0) -> None:
+    """Maps (stage, iy, ix, ..) by stage, as a snapshot that ``snapshots.latest`` reads."""
+    snapshots.publish(maps, path, version, partition_by=("stage",))
 
 
-def write_psd(psd: DataFrame, path: str) -> None:
-    psd.write.mode("overwrite").parquet(path)
+def write_psd(psd: DataFrame, path: str, version: int = 0) -> None:
+    snapshots.publish(psd, path, version)
 
 
 def metadata_json(df: DataFrame) -> DataFrame:
