@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -31,8 +30,8 @@ from starloom.llm.common import WORD, crc_fold, id_text, labelled_sample, slices
 SAMPLE_PER_CLASS = 4000
 FOLDS, HELD = 5, 0
 MIN_STEM, MAX_STEM = 4, 7
-MAX_ENTRIES = 5000
-ROUNDS, MIN_SHARE = 3, 0.02
+#: An entry's toxic texts must be that unlikely at the base rate, and hold it in so many different clauses.
+CHANCE, MIN_CLAUSES = 1e-4, 4
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Closed word classes.
 THREATS = "kill hurt beat shoot stab strangle destroy töten schlagen umbringen tuer frapper matar golpear".split()
@@ -162,13 +161,12 @@ def features_of(text: str) -> set[tuple[int, str]]:
     return {(0, w) for w in words if len(w) > 2} | {(1, w[:k]) for w in words for k in range(MIN_STEM, min(MAX_STEM, len(w)) + 1)}
 
 
-def lexicon_from(sample: DataFrame, entries: int = MAX_ENTRIES) -> Lexicon:
-    """Words and word beginnings far commoner in toxic texts than chance allows.
+def lexicon_from(sample: DataFrame) -> Lexicon:
+    """Words and word beginnings far commoner in toxic texts than chance allows, all of them, weighed by their log odds.
 
-    A feature in a toxic and b clean texts is taken if its toxic share is at least 0.9 and, at the base
-    rate of toxic texts, as many toxic texts would hold it by chance fewer than once in 20 samples.
-    Of those (at most ``entries``, of a sample of bounded size), the fewest that explain the toxic texts are
-    kept, the one that explains most first, whole words and longer beginnings before shorter ones, in ROUNDS turns.
+    A feature in a toxic and b clean texts is taken if its toxic share is at least 0.9, if a toxic texts hold it by
+    chance with a probability under CHANCE at the base rate, and if it stands in MIN_CLAUSES different clauses of toxic texts at least,
+    so that copies of one text do not make an insult of what they share.  The sample is bounded, and so is what comes to the driver.
     """
     tot = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = tot.get(1, 0), tot.get(0, 0)
@@ -184,33 +182,23 @@ def lexicon_from(sample: DataFrame, entries: int = MAX_ENTRIES) -> Lexicon:
             keys = list(count)
             yield pa.record_batch([pa.array([k for k, _ in keys], pa.int32()), pa.array([w for _, w in keys], pa.string()), pa.array([count[k][1] for k in keys], pa.int64()), pa.array([count[k][0] for k in keys], pa.int64())], names=["kind", "word", "a", "b"])
 
-    least = max(3, math.ceil(math.log(1e-6) / math.log(toxic / (toxic + clean))) if toxic < clean else 12)
-    rows = sample.select("y", "text").mapInArrow(run, "kind int, word string, a long, b long").groupBy("kind", "word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.col("a") >= least) & (F.col("a") >= 9 * F.col("b"))).orderBy(F.desc(F.col("a") - 9 * F.col("b")), "kind", "word").limit(entries).collect()
+    least = max(MIN_CLAUSES, math.ceil(math.log(CHANCE) / math.log(toxic / (toxic + clean))))
+    rows = sample.select("y", "text").mapInArrow(run, "kind int, word string, a long, b long").groupBy("kind", "word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.col("a") >= least) & (F.col("a") >= 9 * F.col("b"))).collect()
     if not rows:
         return Lexicon({}, {})
-    number = {(r.kind, r.word): i for i, r in enumerate(rows)}
+    number = {(r.kind, r.word): i for i, r in enumerate(sorted(rows))}
 
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def clauses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            got = [sorted({number[f] for f in features_of(t) if f in number}) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([pa.array(got, pa.list_(pa.int32()))], names=["hits"])
-
-    held = [set(r.hits) for r in sample.where("y = 1").select("text").mapInArrow(hits, "hits array<int>").collect() if r.hits]
-    # words that toxic texts only share because they are copies are no insults: take what explains most texts that
-    # nothing explains yet, and then, as insults come together, what would explain most without the ones taken
-    whole, stems, taken = {}, {}, set()
-    for turn in range(ROUNDS):
-        enough = max(3, least / 2) if turn == 0 else max(least, MIN_SHARE * toxic)
-        left = [h - taken for h in held]
-        while left:
-            cover = Counter(i for h in left for i in h)
-            best = max(cover, key=lambda i: (cover[i] - 3 * rows[i].b, -rows[i].kind, len(rows[i].word), rows[i].word), default=None)
-            if best is None or cover[best] < enough:
-                break
-            r = rows[best]
+            seen = {(number[f], clause.strip()) for text in batch.column("text").to_pylist() for clause in _clause.findall(text.lower()) for f in features_of(clause) if f in number}
+            yield pa.record_batch([pa.array([i for i, _ in seen], pa.int32()), pa.array([c for _, c in seen], pa.string())], names=["entry", "clause"])
+
+    found = sample.where("y = 1").select("text").mapInArrow(clauses, "entry int, clause string").groupBy("entry").agg(F.countDistinct("clause").alias("n")).where(F.col("n") >= MIN_CLAUSES).collect()
+    kept = {r.entry for r in found}
+    whole, stems = {}, {}
+    for r in rows:
+        if number[r.kind, r.word] in kept:
             (stems if r.kind else whole)[r.word] = math.log((r.a + 0.5) / (toxic + 1)) - math.log((r.b + 0.5) / (clean + 1))
-            taken |= {i for i, o in enumerate(rows) if o.word.startswith(r.word) or r.word.startswith(o.word)}  # its family
-            left = [h for h in left if best not in h]
     return Lexicon(whole, stems)
 
 

@@ -160,3 +160,29 @@ def test_grammar_weighs_clauses():
     assert score("you i will kill") >= score("i will kill you") > score("not kill you") > 0 and len(toxic_grammar.GRAMMAR.arcs) == 3 * 4 * 7 * 5
     both = toxic_grammar.compose(toxic_grammar.context(4, 2, 0.5, 0.0), toxic_grammar.context(3, 1, 1.0, 2.0))
     assert len(both.arcs) == 6
+
+
+def test_composed_grammar_is_the_five_machines_side_by_side():
+    rnd = random.Random(11)
+    machines = [toxic_grammar.insults(), toxic_grammar.threats(), toxic_grammar.context(toxic_grammar.NEGATION, 3, 0.3, 0.0), toxic_grammar.context(toxic_grammar.REPORT, 6, 0.6, 0.0), toxic_grammar.context(toxic_grammar.TARGET, 4, 1.0, 0.5)]
+    assert len(toxic_grammar.GRAMMAR.arcs) == 1 * 3 * 4 * 7 * 5
+    for _ in range(300):
+        at, whole = [0] * 5, 0
+        for c in [rnd.randrange(6) for _ in range(rnd.randint(1, 25))]:
+            hits, factor, bonus = 0, 1.0, 0.0
+            for k, m in enumerate(machines):
+                at[k], h, f, b = m.arcs[at[k]][c]
+                hits, factor, bonus = hits + h, factor * f, bonus + b
+            whole, *got = toxic_grammar.GRAMMAR.arcs[whole][c]
+            assert got == pytest.approx([hits, factor, bonus])
+
+
+def test_what_copies_share_is_no_insult(spark):
+    rnd = random.Random(2)
+    line = lambda: " ".join(f"w{rnd.randrange(4000)}" for _ in range(12))
+    copied = line() + " oddword"
+    rows = [(i, f"{line()}. you {rnd.choice(['blorbish', 'blorbface'])} {line()}. {copied}.", 1) for i in range(60)] + [(i, line() + ". " + line(), 0) for i in range(60, 300)]
+    sample = spark.createDataFrame([(i, t, y) for i, t, y in rows], "doc_id long, text string, y int")
+    lexicon = toxic_grammar.lexicon_from(sample)
+    assert "blorb" in lexicon.stems and "blorbish" in lexicon.whole
+    assert "oddword" not in lexicon.whole and not any(w in lexicon.whole for w in copied.split())
