@@ -2,8 +2,9 @@
 
 A candidate block is the stretch of a text, over line breaks, round words that only licence notices use.  Each block is
 compressed with zstandard on its own and with every template as a raw dictionary; templates are ranked by
-the bytes they save.  Every template is then held against the block by word differences, save those of which the
-block lacks more words than there may be edits, and all fits that do not overlap are confirmed.
+the bytes they save.  In that order they are held against the block by word differences, and the first that fits
+is the winner; of those that save as much within MARGIN bytes (versions of one notice), the wording decides.  What the
+winners leave of the block is compressed and ranked anew, until no template fits, so every notice of a block is found.
 """
 
 from __future__ import annotations
@@ -64,10 +65,25 @@ TEMPLATES = {
     "CC-BY-SA-4.0-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0-work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     "all-rights-reserved": "All rights reserved.",
+    "MIT-Licensed": "MIT Licensed",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "BSL-1.0-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "EPL-2.0-title": "Eclipse Public License - v 2.0",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Apache-2.0-de": "Lizenziert unter der Apache-Lizenz, Version 2.0",
+    "CC-BY-4.0-de": "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung 4.0 International Lizenz",
 }
-CUES = re.compile(r"licen[sc]e|copyright|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|creative\W+commons|\bCC\W+BY|(?-i:\bMIT\b)|\bGPL|\bapache\b|\bmozilla\b|waived\W+all", re.I)
+#: Identifiers of the public list, which stand behind a fixed tag; and short forms of GNU licences.
+SPDX = "AGPL-3.0-only AGPL-3.0-or-later BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC0-1.0 EPL-2.0 GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MPL-2.0 Unlicense Zlib".split()
+GNU_FORMS = ("{g}v{n} or later", "GNU {g} v{n}", "GNU {g}v{n}", "GNU {g} version {n}", "licensed under the {g}v{n}", "licensed under {g}v{n}")
+TEMPLATES |= {f"{k}-SPDX": f"SPDX-License-Identifier: {k}" for k in SPDX}
+TEMPLATES |= {f"{g}-{n}.0-short-{i}": form.format(g=g, n=n) for g, n in (("GPL", 2), ("GPL", 3), ("LGPL", 3), ("AGPL", 3)) for i, form in enumerate(GNU_FORMS)}
+#: Templates that save as many bytes as the best that fits, less these at most, are judged by their wording.
+MARGIN = 16
+CUES = re.compile(r"licen[sc]e|copyright|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|creative\W+commons|\bCC\W+BY|(?-i:\bMIT\b)|\b[AL]?GPL|\bapache\b|\bmozilla\b|waived\W+all|unencumbered", re.I)
 #: Each match of CUES holds one of these, or _cc, in lower case, or MIT in upper case, which are far quicker to look for.
-HINTS = ("licen", "copyright", "rights", "permission", "redistribution", "commons", "gpl", "apache", "mozilla", "waived")
+HINTS = ("licen", "copyright", "rights", "permission", "redistribution", "commons", "gpl", "apache", "mozilla", "waived", "unencumbered")
 _cc = re.compile(r"cc\W+by")
 REACH = 24
 MAX_EDIT_SHARE = 0.15
@@ -142,6 +158,7 @@ class Scanner:
         # a template with its edits lies in the block whichever of its words is the cue
         self.reach = max(REACH, *(len(ws) + int(MAX_EDIT_SHARE * len(ws)) for ws in self.words.values()))
         self.counts = {k: Counter(ws) for k, ws in self.words.items()}
+        self.most = {k: int(MAX_EDIT_SHARE * len(ws)) for k, ws in self.words.items()}
 
     def rank(self, block: str) -> list[tuple[int, str]]:
         """(bytes saved, template), most first; equal savings in order of name."""
@@ -149,30 +166,38 @@ class Scanner:
         alone = len(self.bare.compress(raw))
         return sorted(((alone - len(c.compress(raw)), k) for k, c in self.primed.items()), key=lambda x: (-x[0], x[1]))
 
-    def confirmed(self, words: list[str], saved: dict[str, int]) -> list[tuple[int, int, str, int]]:
-        """(first word, end, template, word edits) of fits that do not overlap, in order.
+    def within(self, k: str, part: list[str], have: Counter) -> list[tuple[int, int, int]]:
+        """(word edits, first word, end) of all stretches of a part that a template fits."""
+        most = self.most[k]
+        if sum((self.counts[k] - have).values()) > most:  # each word that the part lacks is an edit
+            return []
+        row = fits(self.words[k], part)
+        return [(int(row[b]) >> 32, int(row[b]) & 0xFFFFFFFF, b) for b in np.flatnonzero(row >> 32 <= most).tolist()]
 
-        Fits with more of a template's words unchanged go first, then those with fewer edits and more bytes saved;
-        what they leave is searched again until nothing more is found.
+    def confirmed(self, block: str, spots: list[tuple[int, int]], words: list[str]) -> list[tuple[int, int, str, int, int]]:
+        """(first word, end, template, word edits, bytes saved) of notices that do not overlap, in order.
+
+        Of a stretch, the templates are tried in order of bytes saved until one fits; with it compete those that save as much within
+        MARGIN, and go by the words they keep, then by fewer edits, then by bytes saved.  All that they fit is taken at once.
         """
         found, gaps = [], [(0, len(words))]
         while gaps:
             lo, hi = gaps.pop()
             part = words[lo:hi]
-            have, tried = Counter(part), []
-            for k, own in self.words.items():
-                most = int(MAX_EDIT_SHARE * len(own))
-                if sum((self.counts[k] - have).values()) > most:  # each word that the part lacks is an edit
-                    continue
-                row = fits(own, part)
-                for b in np.flatnonzero(row >> 32 <= most).tolist():
-                    edits, a = int(row[b]) >> 32, int(row[b]) & 0xFFFFFFFF
-                    tried.append((edits - len(own), edits, -saved[k], k, b - a, lo + a, lo + b))
+            have, tried, floor = Counter(part), [], None
+            if not any(sum((own - have).values()) <= self.most[k] for k, own in self.counts.items()):
+                continue  # each template lacks more words here than there may be edits
+            for saved, k in self.rank(block[spots[lo][0] : spots[hi - 1][1]]):
+                if floor is not None and saved < floor:
+                    break
+                for edits, a, b in self.within(k, part, have):
+                    floor = saved - MARGIN if floor is None else floor
+                    tried.append((edits - len(self.words[k]), edits, -saved, k, b - a, lo + a, lo + b))
             taken: list[tuple[int, int]] = []
-            for _, edits, _, k, _, a, b in sorted(tried):
+            for _, edits, saved, k, _, a, b in sorted(tried):
                 if all(b <= x or a >= y for x, y in taken):
                     taken.append((a, b))
-                    found.append((a, b, k, edits))
+                    found.append((a, b, k, edits, -saved))
             if taken:
                 taken.sort()
                 gaps += [(x, y) for x, y in zip([lo, *(b for _, b in taken)], [*(a for a, _ in taken), hi], strict=True) if x < y]
@@ -182,14 +207,12 @@ class Scanner:
         """(first word, template, bytes saved, word edits, differing words, confirmed) for each notice of a block, and for each stretch that they leave and that holds a cue."""
         spots = spots_of(block)
         words = normal([block[a:b] for a, b in spots])
-        ranked = self.rank(block)
-        saved = {k: s for s, k in ranked}
-        found = [(a, a, b, k, edits, saved[k], True) for a, b, k, edits in self.confirmed(words, saved)]
+        found = [(a, a, b, k, edits, saved, True) for a, b, k, edits, saved in self.confirmed(block, spots, words)]
         for lo, hi in zip([0, *(x[2] for x in found)], [*(x[1] for x in found), len(words)], strict=True):
             rest = block[spots[lo][0] : spots[hi - 1][1]] if lo < hi else ""
             cue = CUES.search(rest)
             if cue:
-                gain, k = (self.rank(rest) if found else ranked)[0]
+                gain, k = self.rank(rest)[0]
                 edits, a, b = best_fit(self.words[k], words[lo:hi])
                 first = next(i for i in range(lo, hi) if spots[i][1] > spots[lo][0] + cue.start())
                 found.append((first, lo + a, lo + b, k, edits, gain, False))
@@ -205,9 +228,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, line, block, license, bytes_saved, n_edits, differences, confirmed: one row for each notice.
 
     block counts the blocks of a text from 0; a block has a row for each template that is confirmed, and one for each
-    stretch before, between and after those that holds a cue, whose license is the one that saves most.  line is that of
+    stretch before, between and after those that holds a cue, whose license is the one that saves most bytes.  line is that of
     the notice's first word, or of the stretch's first cue, among the text's \\n-split lines from 0.  Null, empty and licence-free texts give no rows;
-    repeated rows repeat theirs.  Ties of savings go by template name.
+    repeated rows repeat theirs.  Ties of savings go by template name.  Texts are read whole whatever their length.
     """
     own_templates = TEMPLATES if templates is None else templates
 

@@ -1,3 +1,5 @@
+import random
+
 from starloom.llm import license_scan as scan
 
 SCHEMA = "doc_id long, text string, license string"
@@ -77,3 +79,41 @@ def test_apache_mozilla_and_upper_case_mit_are_cues_and_bodies_are_known(spark):
         [(0, "MIT-body"), (1, "MIT-notice"), (2, "MIT-warranty")], [(0, "GPL-2.0-notice"), (1, "GPL-warranty"), (2, "GPL-copy")],
     ]
     assert scan.blocks_of(texts[2]) == []
+
+
+def test_nothing_that_fits_is_left_over():
+    """Brute force over all templates: what a scan leaves of a block has no template within its edits, and each notice has the template of fewest edits."""
+    own, rnd = scan.Scanner(scan.TEMPLATES), random.Random(7)
+    names = list(scan.TEMPLATES)
+    for _ in range(60):
+        parts = []
+        for k in rnd.sample(names, rnd.randint(1, 4)):
+            ws = scan.TEMPLATES[k].split()
+            if len(ws) > 12:
+                ws[rnd.randrange(len(ws))] = "altered"
+            parts += [" ".join(ws), " ".join(rnd.choice(["licence", "lorem", "ipsum", "version", "the"]) for _ in range(rnd.randint(0, 6)))]
+        block = "\n".join(parts)
+        spots = scan.spots_of(block)
+        words = scan.normal([block[a:b] for a, b in spots])
+        found = own.confirmed(block, spots, words)
+        ends = [0, *(b for _, b, *_ in found)], [*(a for a, *_ in found), len(words)]
+        for lo, hi in zip(*ends, strict=True):
+            assert lo <= hi
+            for k, ws in own.words.items():
+                assert scan.best_fit(ws, words[lo:hi])[0] > own.most[k], (k, words[lo:hi])
+        for a, b, k, edits, _ in found:
+            assert scan.best_fit(own.words[k], words[a:b])[0] == edits <= own.most[k]
+            same = [o for o, ws in own.words.items() if len(ws) == len(own.words[k]) and scan.best_fit(ws, words[a:b])[0] < edits]
+            assert not same, (k, same)
+
+
+def test_usual_wordings_are_named():
+    own = scan.Scanner(scan.TEMPLATES)
+    texts = {
+        "This code is licensed under GPLv3 or later": "GPL-3.0", "SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause", "Distributed under the Boost Software License, Version 1.0": "BSL-1.0", "MIT Licensed": "MIT", "under GNU GPL v2 by its author": "GPL-2.0",
+        "made available under the terms of the Eclipse Public License 2.0 This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0": "EPL-2.0", "This is free and unencumbered software released into the public domain.": "Unlicense", "Lizenziert unter der Apache-Lizenz, Version 2.0": "Apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "the GNU Affero licence: GNU AGPLv3": "AGPL-3.0",
+    }
+    for text, name in texts.items():
+        got = [k for j, (block, _) in enumerate(scan.blocks_of(text, own.reach)) for _, k, _, _, _, good in own.judge(block) if good]
+        assert got and all(k.startswith(name) for k in got), (text, got)
