@@ -69,6 +69,13 @@ tod0 AS (SELECT sample_idx // 48 AS chunk_index, sample_idx, 1704067200.0::DOUBL
     FROM grid LEFT JOIN cells USING (det, sample_idx)),
 tod AS (SELECT *, ra_bore + 0.05::DOUBLE * (det_idx - 2) AS ra, dec_bore AS dec FROM tod0)"""
 
+DENSE = """
+prices AS (SELECT l_orderkey AS sample_idx, CAST(l_linenumber - 1 AS INTEGER) AS det_idx, avg(l_extendedprice) AS price, max(CASE WHEN l_returnflag = 'R' AND l_quantity > 47 THEN 4 ELSE 0 END) AS flagged FROM lineitem GROUP BY 1, 2),
+spots AS (SELECT o_orderkey AS sample_idx, o_totalprice, CAST(range AS INTEGER) AS det_idx FROM orders CROSS JOIN range(7)),
+tod AS (SELECT sample_idx // 512 AS chunk_index, sample_idx, CAST(sample_idx AS DOUBLE) AS t, 'd' || det_idx AS det, det_idx, CASE WHEN (sample_idx * 7 + det_idx) % 97 >= 3 THEN coalesce(price, o_totalprice / 4) END AS signal, coalesce(flagged, 0) AS flags,
+    10.0::DOUBLE + 0.05::DOUBLE * (sample_idx % 20) AS ra_bore, 20.0::DOUBLE + 0.05::DOUBLE * ((sample_idx // 20) % 12) AS dec_bore,
+    10.0::DOUBLE + 0.05::DOUBLE * (sample_idx % 20) + 0.05::DOUBLE * (det_idx - 3) AS ra, 20.0::DOUBLE + 0.05::DOUBLE * ((sample_idx // 20) % 12) AS dec FROM spots LEFT JOIN prices USING (sample_idx, det_idx))"""
+
 PX = "CAST(floor((ra - 9.875) / 0.05) AS INTEGER) AS ix, CAST(floor((dec - 19.975) / 0.05) AS INTEGER) AS iy"
 ON_GRID = "ix BETWEEN 0 AND 23 AND iy BETWEEN 0 AND 11"
 

@@ -29,8 +29,7 @@ def detector_offsets(tod: DataFrame) -> DataFrame:
 
 def detector_noise(tod: DataFrame) -> DataFrame:
     """det_idx, noise: population deviation of good first differences over the square root of two."""
-    w = Window.partitionBy(*CHUNK_DET).orderBy("sample_idx")
-    d = tod.withColumn("__d", F.when((F.col("flags") == 0) & (F.lag("flags").over(w) == 0), F.col("signal") - F.lag("signal").over(w)))
+    d = first_difference(tod.withColumn("signal", F.when(F.col("flags") == 0, F.col("signal"))), "__d")
     return d.groupBy("det_idx").agg((F.stddev_pop("__d") / F.sqrt(F.lit(2.0))).alias("noise"))
 
 

@@ -2,6 +2,8 @@
 
 events: a detector for each event type, half-hour samples from the epoch to the last event's day, chunks of a day; a sample without
 events is a gap.  The boresight scans a raster of 20 x 12 pixels, and detectors sit a pixel apart in RA.
+orders: seven detectors (an order's lines), a sample for each order, chunks of 512 samples and some planted gaps: timestreams as
+dense as an instrument's, whose length follows the table.
 lineitem: a dense sample for each row, detector = supplier, for work whose size follows the table.
 """
 
@@ -77,3 +79,21 @@ def lineitem_samples(i: DataFrame) -> DataFrame:
         F.col("l_extendedprice").alias("signal"), F.when(F.col("l_returnflag") == "R", 4).otherwise(0).alias("flags"),
         (F.lit(10.025) + F.lit(0.05) * (F.col("l_partkey") % 40)).alias("ra"), (F.lit(20.025) + F.lit(0.05) * (F.col("l_orderkey") % 30)).alias("dec"),
     )
+
+
+DENSE_CHUNK, DENSE_DETECTORS = 512, 7
+
+
+def tod_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """obs_id, chunk_index, sample_idx, t, det, det_idx, signal (null in planted gaps), flags, pointed on the events' raster."""
+    lines = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("sample_idx"), (F.col("l_linenumber") - 1).cast("int").alias("det_idx")).agg(
+        F.avg("l_extendedprice").alias("price"), F.max(F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 47), 4).otherwise(0)).alias("flagged")
+    )
+    i, d = F.col("sample_idx"), F.col("det_idx")
+    grid = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sample_idx"), "o_totalprice", F.explode(F.sequence(F.lit(0), F.lit(DENSE_DETECTORS - 1))).alias("det_idx"))
+    j = grid.join(lines, ["sample_idx", "det_idx"], "left")
+    signal = F.when((i * 7 + d) % 97 >= 3, F.coalesce("price", F.col("o_totalprice") / 4))
+    out = j.select(
+        F.lit("or").alias("obs_id"), F.floor(i / DENSE_CHUNK).cast("long").alias("chunk_index"), "sample_idx", i.cast("double").alias("t"), F.concat(F.lit("d"), d.cast("string")).alias("det"), "det_idx", signal.alias("signal"), F.coalesce("flagged", F.lit(0)).alias("flags"),
+    )
+    return out.withColumns({"ra_bore": raster_ra(i), "dec_bore": raster_dec(i)}).withColumn("ra", F.col("ra_bore") + F.lit(0.05) * (d - 3)).withColumn("dec", F.col("dec_bore"))
