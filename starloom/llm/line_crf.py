@@ -12,7 +12,7 @@ this the whole field is fitted to the line labels, so that its moves are learned
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,13 +82,53 @@ def fit_hidden(sequences: list[np.ndarray], sizes: list[np.ndarray], texts: list
     """The field of texts whose own labels are known and whose lines' are not; sizes are the lines' words."""
     labels = [np.full(len(s), y) for s, y in zip(sequences, texts, strict=True)]
     for _ in range(turns):
-        field = fit(sequences, labels, chain=False)
+        field = fit_lines(sequences, labels)
         odds = [s @ (field.weights[:, CONTENT] - field.weights[:, BOILERPLATE]) for s in sequences]
         labels = [hidden_labels(o, n, y) for o, n, y in zip(odds, sizes, texts, strict=True)]
     return fit(sequences, labels)
 
 
-def fit(sequences: list[np.ndarray], labels: list[np.ndarray], rounds: int = 120, rate: float = 0.3, decay: float = 1e-3, chain: bool = True) -> LineField:
+ROUNDS, RATE, DECAY = 120, 0.3, 1e-3
+
+
+def _climb(params: list[np.ndarray], slope: Callable[[], list[np.ndarray]]) -> None:
+    """ROUNDS steps up, with momentum, scaled by the slopes' size so far; params change in place."""
+    vel, sq = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    for it in range(1, ROUNDS + 1):
+        for p, d, v, s in zip(params, slope(), vel, sq, strict=True):
+            v *= 0.9
+            v += 0.1 * d
+            s *= 0.99
+            s += 0.01 * d * d
+            p += RATE * (v / (1 - 0.9**it)) / (np.sqrt(s / (1 - 0.99**it)) + 1e-6)
+
+
+def _shares(labels: list[np.ndarray]) -> np.ndarray:
+    """The weight of a line of each text: a text counts once, classes alike."""
+    kind = np.array([s.mean() >= 0.5 for s in labels]).astype(int)
+    return np.array([0.5 / max(1, (kind == v).sum()) for v in (0, 1)])[kind] / np.maximum([len(s) for s in labels], 1)
+
+
+def fit_lines(sequences: list[np.ndarray], labels: list[np.ndarray]) -> LineField:
+    """The field without its chain: a logistic model of single lines."""
+    w = np.zeros((len(LINE_FEATURES), 2))
+    if not sequences:
+        w[0, CONTENT] = 1.0
+        return LineField(w, np.zeros((2, 2)), np.zeros(2))
+    x, y, share = np.concatenate(sequences), np.concatenate(labels), np.repeat(_shares(labels), [len(s) for s in labels])
+    want = np.zeros((len(x), 2))
+    want[np.arange(len(x)), y] = 1
+
+    def slope() -> list[np.ndarray]:
+        z = x @ w
+        post = np.exp(z - np.logaddexp(z[:, 0], z[:, 1])[:, None])
+        return [x.T @ ((want - post) * share[:, None]) - DECAY * w]
+
+    _climb([w], slope)
+    return LineField(w, np.zeros((2, 2)), np.zeros(2))
+
+
+def fit(sequences: list[np.ndarray], labels: list[np.ndarray]) -> LineField:
     """Gradient ascent on the conditional likelihood of line labels, by forward-backward over all sequences at once."""
     k = len(LINE_FEATURES)
     if not sequences:
@@ -102,12 +142,10 @@ def fit(sequences: list[np.ndarray], labels: list[np.ndarray], rounds: int = 120
     alive = [int((sizes > t).sum()) for t in range(longest)]
     x = [np.stack([s[t] for s in sequences[: alive[t]]]) for t in range(longest)]
     y = [np.array([s[t] for s in labels[: alive[t]]]) for t in range(longest)]
-    kind = np.array([s.mean() >= 0.5 for s in labels]).astype(int)
-    share = np.array([0.5 / max(1, (kind == v).sum()) for v in (0, 1)])[kind] / np.maximum(sizes, 1)  # a text counts once, classes alike
+    share = _shares(labels)
     w, moves, start = np.zeros((k, 2)), np.zeros((2, 2)), np.zeros(2)
-    vel = [np.zeros_like(p) for p in (w, moves, start)]
-    sq = [np.zeros_like(p) for p in (w, moves, start)]
-    for it in range(1, rounds + 1):
+
+    def slope() -> list[np.ndarray]:
         emit = [r @ w for r in x]
         fwd = [start + emit[0]]
         for t in range(1, longest):
@@ -115,12 +153,13 @@ def fit(sequences: list[np.ndarray], labels: list[np.ndarray], rounds: int = 120
             fwd.append(np.logaddexp(p[:, 0], p[:, 1]) + emit[t])
         bwd = [np.zeros((alive[-1], 2))]
         for t in range(longest - 1, 0, -1):
-            nxt = moves + (emit[t] + bwd[0])[:, None, :]
+            nxt = moves + (emit[t] + bwd[-1])[:, None, :]
             b = np.zeros((alive[t - 1], 2))
             b[: alive[t]] = np.logaddexp(nxt[:, :, 0], nxt[:, :, 1])
-            bwd.insert(0, b)
+            bwd.append(b)
+        bwd.reverse()
         logz = np.logaddexp(*(fwd[0] + bwd[0]).T)
-        g = [-decay * p for p in (w, moves, start)]
+        g = [-DECAY * p for p in (w, moves, start)]
         for t in range(longest):
             n = alive[t]
             post = np.exp(fwd[t] + bwd[t] - logz[:n, None])
@@ -135,12 +174,9 @@ def fit(sequences: list[np.ndarray], labels: list[np.ndarray], rounds: int = 120
                 both = np.zeros((n, 2, 2))
                 both[np.arange(n), y[t - 1][:n], y[t]] = 1
                 g[1] += ((both - pair) * share[:n, None, None]).sum(0)
-        for p, d, v, s in list(zip((w, moves, start), g, vel, sq, strict=True))[: 3 if chain else 1]:
-            v *= 0.9
-            v += 0.1 * d
-            s *= 0.99
-            s += 0.01 * d * d
-            p += rate * (v / (1 - 0.9**it)) / (np.sqrt(s / (1 - 0.99**it)) + 1e-6)
+        return g
+
+    _climb([w, moves, start], slope)
     return LineField(w, moves, start)
 
 
