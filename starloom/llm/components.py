@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import checkpoint
 
-#: Groups that the neighbours of a vertex are dealt to.
-PARTS = 32
-
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One round on edges (u > v): each vertex hands its (larger or other) neighbours to its least one."""
@@ -17,10 +14,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         near = edges
-    near = near.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int"))
-    inside = near.groupBy("u", "part").agg(F.min("v").alias("m"))
-    least = inside.select("u", "part", F.least(F.min("m").over(Window.partitionBy("u")), "u").alias("m"))
-    joined = near.join(least, ["u", "part"])
+    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    joined = near.join(least, "u")
     moved = joined.where("v > u") if large else joined
     out = moved.select(F.col("v").alias("a"), F.col("m").alias("b"))
     if not large:
@@ -31,8 +26,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     """(id, component): each vertex of an edge with the least vertex of its component.
 
-    A vertex of very many edges is split: its neighbours meet in PARTS groups, of which one row each meets the others, so
-    no task sees them all.  The rounds needed
+    Sums and joins only; the edges of one vertex meet in one task of a join, unless Spark splits it as skewed.  The rounds needed
     grow with the logarithm of the graph's size; running out of them is an error, not a cut.
     """
     e = checkpoint(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
