@@ -320,8 +320,9 @@ def noisy_map_detectors(spark, sf_dir):
 h AS (SELECT CAST(ceil(round(greatest(abs(a - 10.44), abs(b - 10.44)) / 0.07, 9)) AS INTEGER) + 1 AS hx, CAST(ceil(round(greatest(abs(c - 20.23), abs(d - 20.23)) / 0.07, 9)) AS INTEGER) + 1 AS hy FROM e)
 SELECT round(10.44 - hx * 0.07, 6) AS ra_lo, round(20.23 - hy * 0.07, 6) AS dec_lo, 2 * hx AS nx, 2 * hy AS ny FROM h""")
 def automatic_grid(spark, sf_dir):
-    g = binning.auto_grid(detectors.pointing_extent(tod_of(spark, sf_dir)), 10.44, 20.23, 0.07)
-    return spark.createDataFrame([(round(g.ra_lo, 6), round(g.dec_lo, 6), g.nx, g.ny)], "ra_lo double, dec_lo double, nx int, ny int")
+    """One row; of nulls where all samples are flagged."""
+    g = binning.grid_round(detectors.pointing_extent(tod_of(spark, sf_dir)), 10.44, 20.23, 0.07)
+    return spark.createDataFrame([(round(g.ra_lo, 6), round(g.dec_lo, 6), g.nx, g.ny) if g else (None,) * 4], "ra_lo double, dec_lo double, nx int, ny int")
 
 
 @query(f"""WITH {TOD}, s AS (SELECT * FROM tod WHERE flags = 0 AND signal IS NOT NULL), a AS (SELECT iy, ix, avg(signal) AS value_det, CAST(count(*) AS DOUBLE) AS hits_det FROM (SELECT *, {PX} FROM s) WHERE {ON_GRID} GROUP BY iy, ix),

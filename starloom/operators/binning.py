@@ -32,10 +32,18 @@ def make_grid(ra: float, dec: float, xlen: float, ylen: float, res: float) -> Gr
 
 
 def auto_grid(extent: DataFrame, ra: float, dec: float, res: float, xlen: float | None = None, ylen: float | None = None) -> Grid:
-    """The grid round a centre that holds all kept detectors' positions; an axis with a length is fixed."""
+    """The grid round a centre that holds all kept detectors' positions; an axis with a length is fixed.  Without any position it is an error."""
+    found = grid_round(extent, ra, dec, res, xlen, ylen)
+    if found is None:
+        raise ValueError("no pointing to take the map's extent from")
+    return found
+
+
+def grid_round(extent: DataFrame, ra: float, dec: float, res: float, xlen: float | None = None, ylen: float | None = None) -> Grid | None:
+    """The same, or None without any position."""
     e = extent.agg(*(f(c).alias(c) for c, f in (("ra_min", F.min), ("ra_max", F.max), ("dec_min", F.min), ("dec_max", F.max)))).first()
     if e.ra_min is None:
-        raise ValueError("no pointing to take the map's extent from")
+        return None
     hx, hy = (math.ceil(max(abs(lo - c), abs(hi - c)) / res) + 1 for lo, hi, c in ((e.ra_min, e.ra_max, ra), (e.dec_min, e.dec_max, dec)))
     fixed = make_grid(ra, dec, xlen or res, ylen or res, res)
     g = Grid(ra - hx * res, dec - hy * res, res, res, 2 * hx, 2 * hy)
