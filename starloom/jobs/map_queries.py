@@ -40,7 +40,7 @@ EVENTS_PREP = _prep_sql(TOD)
 
 def _run(t):
     weights = t.select("det_idx").distinct().select("det_idx", F.when(F.col("det_idx") == 3, 0.0).otherwise(1.0 + F.col("det_idx")).alias("weight"))
-    return mapmaking.make_maps(t, EVENTS_GRID, TURNS, weights, nulls.detector_halves(t), detectors.detector_offsets(t), [clean.cosmic_ray_step(sigma=1.5)])
+    return mapmaking.make_maps(t, EVENTS_GRID, TURNS, weights, nulls.detector_halves(t), detectors.detector_offsets(t), [clean.cosmic_ray_step(sigma=1.5)], may_be_empty=True)
 
 
 @query(f"{EVENTS_PREP}, {turns_sql(TURNS, 24)} SELECT stage, name, iy, ix, round(hits, 6) AS hits, n_samples, round(value, 5) + 0.0 AS value FROM maps")
@@ -76,7 +76,7 @@ LINES_PREP = f"""WITH {LINES}, prep AS (SELECT chunk_index, sample_idx, det_idx,
 
 @query(f"{LINES_PREP}, {turns_sql(TURNS, 40)} SELECT stage, name, iy, ix, hits, n_samples, round(value, 3) + 0.0 AS value FROM maps")
 def iterated_map_lineitem(spark, sf_dir):
-    run = mapmaking.make_maps(tod_from_lineitem(spark, sf_dir), LINES_GRID, TURNS)
+    run = mapmaking.make_maps(tod_from_lineitem(spark, sf_dir), LINES_GRID, TURNS, may_be_empty=True)
     return run.maps.select("stage", "name", "iy", "ix", "hits", "n_samples", r("value", 3).alias("value"))
 
 

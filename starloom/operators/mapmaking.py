@@ -109,13 +109,14 @@ def change(new: DataFrame, old: DataFrame) -> float | None:
 
 def make_maps(
     tod: DataFrame, grid: Grid, iterations: int = 3, weights: DataFrame | None = None, halves: DataFrame | None = None, offsets: DataFrame | None = None, steps: list[Step] = (),
-    tolerance: float | None = None, folder: str | None = None, buckets: int | None = None,
+    tolerance: float | None = None, folder: str | None = None, buckets: int | None = None, may_be_empty: bool = False,
 ) -> MapRun:
     """A naive map, a map with the plain common mode removed (it_0), and up to ``iterations`` maps with the last one as sky model.
 
     tod has obs_id, chunk_index, sample_idx, det_idx, signal, flags, ra, dec; weights (det_idx, weight); halves (det_idx,
     det_half); offsets (det_idx, offset).  Turns end early when a map's RMS change is at most ``tolerance``.  With the folder of a
-    run that was lost, and the same arguments, it goes on where that run stopped.  Without a sample in any pixel it is an error.
+    run that was lost, and the same arguments, it goes on where that run stopped.  Without a sample in any pixel it is an error, unless
+    maps may be empty.
     """
     spark: SparkSession = tod.sparkSession
     folder = folder or snapshots.shared_folder(spark)
@@ -134,9 +135,9 @@ def make_maps(
             snapshots.publish(finish_map(turn(cleaned, sky).where("hits <> 0")), at(name))
         new = snapshots.latest(spark, at(name))
         names.append(name)
-        if sky is None:
+        if sky is None and not may_be_empty:
             require_coverage(new, f"{grid.ra_lo}, {grid.dec_lo}, {grid.nx} x {grid.ny}")
-        else:
+        if sky is not None:
             changes.append(change(new, sky))
             if tolerance is not None and changes[-1] is not None and changes[-1] <= tolerance:
                 break

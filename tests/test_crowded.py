@@ -42,3 +42,8 @@ def flagged(tmp_path_factory):
 
 def test_no_extent_when_all_is_flagged(spark, flagged):
     assert same(spark, flagged, "automatic_grid") == [(None, None, None, None)]
+
+
+@pytest.mark.parametrize("name", ["iterated_map", "iterated_convergence", "iterated_nulls"])
+def test_runs_without_a_good_sample(spark, flagged, name):
+    assert same(spark, flagged, name) == []
