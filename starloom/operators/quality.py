@@ -48,12 +48,18 @@ def convergence(maps: DataFrame, final: str) -> DataFrame:
 
 
 def detector_centroids(det_maps: DataFrame, grid: Grid) -> DataFrame:
-    """det_idx, peak position, RMS of the pixels below the detector's median, and their ratio."""
-    v = det_maps.withColumn("value", F.col("data") / F.col("hits"))
-    med = v.groupBy("det_idx").agg(F.expr("percentile(value, 0.5)").alias("__m"))
-    rms = v.join(med, "det_idx").where("value < __m").groupBy("det_idx").agg(F.sqrt(F.avg(F.col("value") * F.col("value"))).alias("rms_off"))
-    return peak_pixel(v, "det_idx").join(rms, "det_idx", "left").select(
-        "det_idx", "peak", "iy", "ix", pixel_center(grid.ra_lo, grid.step_ra, F.col("ix")).alias("ra"), pixel_center(grid.dec_lo, grid.step_dec, F.col("iy")).alias("dec"), "rms_off", (F.col("peak") / F.col("rms_off")).alias("snr"),
+    """det_idx, peak position, RMS of the pixels below the detector's median, their ratio, and the hits of the peak.
+
+    A detector's map, of at most the grid's pixels, is one group of a window, so pixels are exchanged once and joined to nothing, and
+    the sums that the median is taken of are those that are held against it: made twice, they may differ in the last digit.
+    """
+    v = det_maps.withColumn("value", F.col("data") / F.col("hits")).where("value is not null")
+    v = v.withColumn("__m", F.expr("percentile(value, 0.5)").over(Window.partitionBy("det_idx")))
+    rms = F.sqrt(F.avg(F.when(F.col("value") < F.col("__m"), F.col("value") * F.col("value")))).alias("rms_off")
+    best = F.max(F.struct(F.col("value").alias("v"), (-F.col("iy")).alias("y"), (-F.col("ix")).alias("x"), "hits")).alias("__b")
+    c = v.groupBy("det_idx").agg(best, rms).select("det_idx", F.col("__b.v").alias("peak"), (-F.col("__b.y")).alias("iy"), (-F.col("__b.x")).alias("ix"), "rms_off", F.col("__b.hits").alias("hits"))
+    return c.select(
+        "det_idx", "peak", "iy", "ix", "hits", pixel_center(grid.ra_lo, grid.step_ra, F.col("ix")).alias("ra"), pixel_center(grid.dec_lo, grid.step_dec, F.col("iy")).alias("dec"), "rms_off", (F.col("peak") / F.col("rms_off")).alias("snr"),
     )
 
 

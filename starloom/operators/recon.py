@@ -39,7 +39,7 @@ def focalplane_maps(tod: DataFrame, track: DataFrame, grid: Grid) -> DataFrame:
 
 def pick_peaks(det_maps: DataFrame, grid: Grid, border: int = 5, min_hits: float = 5, min_snr: float = 5.0) -> DataFrame:
     """Centroids that are off the border, well hit and clear of the noise."""
-    c = detector_centroids(det_maps, grid).join(det_maps.select("det_idx", "iy", "ix", "hits"), ["det_idx", "iy", "ix"])
+    c = detector_centroids(det_maps, grid)
     inside = F.col("ix").between(border, grid.nx - 1 - border) & F.col("iy").between(border, grid.ny - 1 - border)
     return c.where(inside & (F.col("hits") >= min_hits) & (F.col("snr") >= min_snr))
 
@@ -51,7 +51,8 @@ def gauss_centroid(det_maps: DataFrame, peaks: DataFrame, grid: Grid, reach: int
     (2 reach + 1) squared of them, and all cut-outs of a batch are fitted at once.  residual is the RMS of the fit over its amplitude.
     """
     p = peaks.select("det_idx", F.col("iy").alias("py"), F.col("ix").alias("px"))
-    near = det_maps.join(p, "det_idx").where((F.abs(F.col("iy") - F.col("py")) <= reach) & (F.abs(F.col("ix") - F.col("px")) <= reach))
+    # neither side is sent to all tasks: maps that are exploded or made in tasks are larger than Spark takes them for
+    near = det_maps.join(p.hint("merge"), "det_idx").where((F.abs(F.col("iy") - F.col("py")) <= reach) & (F.abs(F.col("ix") - F.col("px")) <= reach))
     cut = near.select("det_idx", g.pixel_center(grid.ra_lo, grid.step_ra, F.col("ix")).alias("x"), g.pixel_center(grid.dec_lo, grid.step_dec, F.col("iy")).alias("y"), (F.col("data") / F.col("hits")).alias("z"))
     least, step = max(6, (2 * reach + 1) ** 2 if whole else min_pixels), grid.step_ra
     packed = cut.where("z is not null").groupBy("det_idx").agg(F.array_sort(F.collect_list(F.struct("y", "x", "z"))).alias("c")).where(F.size("c") >= least).select("det_idx", *(F.col("c")[k].alias(k) for k in "xyz"))

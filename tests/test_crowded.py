@@ -47,3 +47,11 @@ def test_no_extent_when_all_is_flagged(spark, flagged):
 @pytest.mark.parametrize("name", ["iterated_map", "iterated_convergence", "iterated_nulls"])
 def test_runs_without_a_good_sample(spark, flagged, name):
     assert same(spark, flagged, name) == []
+
+
+def test_centroids_broadcast_no_map(spark, tmp_path):
+    """Maps that are made of few rows are not sent to all tasks; the threshold is Spark's own."""
+    put(tmp_path, "supplier", "s_suppkey BIGINT, s_nationkey INTEGER, s_acctbal DOUBLE", [(k, k % 25, 10.0 * k) for k in range(40)])
+    assert len(same(spark, tmp_path, "gaussian_centroids")) == 40
+    plan = QUERIES["gaussian_centroids"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
