@@ -33,9 +33,10 @@ def detector_noise(tod: DataFrame) -> DataFrame:
     return d.groupBy("det_idx").agg((F.stddev_pop("__d") / F.sqrt(F.lit(2.0))).alias("noise"))
 
 
-def mean_boresight(boresight: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Mean position over samples of chunks that are not wholly flagged; missing values play no part."""
-    return boresight.join(flagged, ["obs_id", "chunk_index"], "left_anti").agg(F.avg("ra_bore").alias("ra"), F.avg("dec_bore").alias("dec"))
+def mean_boresight(boresight: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
+    """Mean position over samples, without those of the wholly flagged chunks that are given; missing values play no part."""
+    kept = boresight if flagged is None else boresight.join(flagged, ["obs_id", "chunk_index"], "left_anti")
+    return kept.agg(F.avg("ra_bore").alias("ra"), F.avg("dec_bore").alias("dec"))
 
 
 def pointing_extent(tod: DataFrame) -> DataFrame:

@@ -61,3 +61,7 @@ def test_azimuth_north_is_zero(spark, tmp_path):
     start = datetime.datetime(2024, 1, 1)
     put(tmp_path, "events", EVENTS, [(i, start + datetime.timedelta(minutes=7 * i), i, "abcde"[i % 5], 360.0 * (i % 4), "{}") for i in range(400)])
     assert {r[2] for r in same(spark, tmp_path, "altaz_there_and_back")} == {0.0}
+
+
+def test_centre_when_all_is_flagged(spark, flagged):
+    assert all(None not in row for row in same(spark, flagged, "map_centres"))
