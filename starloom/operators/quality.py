@@ -69,6 +69,7 @@ def flag_detectors(centroids: DataFrame, k: float = 3.0) -> DataFrame:
     return centroids.crossJoin(F.broadcast(med)).withColumn("ratio", F.col("rms_off") / F.col("__m")).where(F.col("ratio") > k).drop("__m")
 
 
-def top_k(df: DataFrame, by: str, k: int) -> DataFrame:
-    return df.orderBy(F.desc(by)).limit(k)
+def top_k(df: DataFrame, by: str, k: int, *ties: str) -> DataFrame:
+    """The k rows of the largest values; of equal ones, the first by the columns of ties."""
+    return df.orderBy(F.desc(by), *ties).limit(k)
 

@@ -69,3 +69,11 @@ def test_centre_when_all_is_flagged(spark, flagged):
 
 def test_overlap_without_a_good_sample(spark, flagged):
     assert same(spark, flagged, "null_overlap") == [(None, None, 0, True)]
+
+
+LINEITEM = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INTEGER, l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag VARCHAR"
+
+
+def test_strongest_of_equals(spark, tmp_path):
+    put(tmp_path, "lineitem", LINEITEM, [(1000 - i, i, i % 7, 1, 1.0, 5.0 if i % 3 else 4.0, "N") for i in range(300)])
+    assert len(same(spark, tmp_path, "strongest_samples")) == 20
