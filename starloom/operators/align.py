@@ -29,11 +29,13 @@ def bracket_join(src: DataFrame, targets: DataFrame, value: str, factor: float =
     asked = targets.select("t").distinct().withColumn("k", b("t"))
     keys = asked.select("k").distinct().crossJoin(s.select("stream").distinct()).unionByName(edges.select("k", "stream")).distinct()
     w = Window.partitionBy("stream").orderBy("k")  # one row a bucket
-    ends = keys.join(edges, ["stream", "k"], "left").withColumns({"before": F.last("hi", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "after": F.first("lo", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
+    back = Window.partitionBy("stream").orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = keys.join(edges, ["stream", "k"], "left").withColumns({"before": F.last("hi", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "after": F.last("lo", ignorenulls=True).over(back)})
     rows = own.select("stream", "k", F.struct("t", "v").alias("p"), "t", F.lit(False).alias("ask")).unionByName(asked.join(keys.select("k", "stream"), "k").select("stream", "k", F.lit(None).cast("struct<t: double, v: double>").alias("p"), F.col("t"), F.lit(True).alias("ask")))
     at = Window.partitionBy("stream", "k").orderBy("t").rangeBetween(Window.unboundedPreceding, 0)
-    up = Window.partitionBy("stream", "k").orderBy("t").rangeBetween(0, Window.unboundedFollowing)
-    near = rows.withColumns({"l": F.last("p", ignorenulls=True).over(at), "r": F.first("p", ignorenulls=True).over(up)}).where("ask")
+    # what comes after is read in falling order of time: a frame up to a bucket's end would be gone through anew for each row
+    up = Window.partitionBy("stream", "k").orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
+    near = rows.withColumns({"l": F.last("p", ignorenulls=True).over(at), "r": F.last("p", ignorenulls=True).over(up)}).where("ask")
     full = near.join(ends.select("stream", "k", "before", "after"), ["stream", "k"], "left")
     full = full.select("stream", "t", F.coalesce("l", "before").alias("l"), F.coalesce("r", "after").alias("r")).join(median_cadence(s, "stream", bucket=bucket), "stream", "left")
     hit = F.when(F.col("t") - F.col("l.t") <= tol, F.col("l")).when(F.col("r.t") - F.col("t") <= tol, F.col("r"))

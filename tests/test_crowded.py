@@ -1,6 +1,7 @@
 """Queries on tables as crowded as large ones, and on ties: each against its SQL."""
 
 import datetime
+import re
 
 import duckdb
 import pytest
@@ -86,3 +87,15 @@ def test_pixels_are_summed_once(spark, tmp_path, name):
     same(spark, tmp_path, name)
     plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") == (1 if name == "centroids_per_detector" else 2)
+
+
+def forward(df):
+    """Window frames that begin at a row and go on to the end of its group: they are gone through anew for each row."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    return [f for f in re.findall(r"specifiedwindowframe\(\w+, (\S+), unboundedfollowing", plan) if not f.startswith("unboundedpreceding")]
+
+
+@pytest.mark.parametrize("name", ["as_of_brackets", "aligned_streams"])
+def test_brackets_are_read_once(spark, flagged, name):
+    same(spark, flagged, name)
+    assert forward(QUERIES[name](spark, str(flagged))) == []
