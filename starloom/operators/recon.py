@@ -72,10 +72,13 @@ def gauss_centroid(det_maps: DataFrame, peaks: DataFrame, grid: Grid, reach: int
 
 
 def fine_centroid(tod: DataFrame, track: DataFrame, coarse: DataFrame, res: float = 6 / ARCSEC, half: float = 0.05, reach: int = 5) -> DataFrame:
-    """Positions from a finer grid about each detector's coarse centre (det_idx, x, y)."""
+    """Positions from a finer grid about each detector's coarse centre (det_idx, x, y).
+
+    The centres, a row a detector, go to all tasks: dealt by detector, all samples of one would go to one task.
+    """
     n = int(round(2 * half / res))
     grid = Grid(-half, -half, res, res, n, n)
-    j = tod.join(track.select("obs_id", "sample_idx", "du", "dv"), ["obs_id", "sample_idx"]).join(coarse.select("det_idx", F.col("x").alias("cx"), F.col("y").alias("cy")), "det_idx")
+    j = tod.join(track.select("obs_id", "sample_idx", "du", "dv"), ["obs_id", "sample_idx"]).join(F.broadcast(coarse.select("det_idx", F.col("x").alias("cx"), F.col("y").alias("cy"))), "det_idx")
     m = bin_per_detector(j.withColumns({"du": F.col("du") - F.col("cx"), "dv": F.col("dv") - F.col("cy")}), grid, ra="du", dec="dv")
     fit = gauss_centroid(m, detector_centroids(m, grid), grid, reach, whole=False)
     return fit.join(coarse.select("det_idx", F.col("x").alias("cx"), F.col("y").alias("cy")), "det_idx").withColumns({"x": F.col("x") + F.col("cx"), "y": F.col("y") + F.col("cy")}).drop("cx", "cy")
