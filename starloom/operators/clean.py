@@ -1,6 +1,7 @@
 """Cleaning of timestreams inside each (chunk, detector): gaps, cosmic rays, and an ordered list of steps.
 
-All windows share one partitioning and order, so a chain of steps plans one exchange and one sort.
+All windows share one partitioning, so a chain of steps plans one exchange.  What comes after a sample is read in falling
+order, at a sort of its own: a frame up to a chunk's end would be gone through anew for each of its samples.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ def _before() -> WindowSpec:
 
 
 def _after() -> WindowSpec:
-    return _by().rowsBetween(1, Window.unboundedFollowing)
+    """The samples after one, the nearest last."""
+    return _whole().orderBy(F.desc("sample_idx")).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def gap_runs(tod: DataFrame) -> DataFrame:
@@ -72,8 +74,10 @@ def fill_gaps(tod: DataFrame, min_cubic: int = 4, noise: DataFrame | None = None
     at = F.when(F.col("signal").isNotNull(), F.struct(i.alias("p"), F.col("signal").alias("y")))
     # each sample carries the valid sample before and after it, which give the second ones at a gap's edge
     placed = own.withColumn("__p", F.row_number().over(_by())).withColumn("__v", at)
-    near = placed.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before()), "__r": F.first("__v", ignorenulls=True).over(_after())})
-    second = near.withColumns({"__ll": F.last(F.when(F.col("__v").isNotNull(), F.struct("__l")), ignorenulls=True).over(_before())["__l"], "__rr": F.first(F.when(F.col("__v").isNotNull(), F.struct("__r")), ignorenulls=True).over(_after())["__r"]})
+    second = placed
+    for one, two, side in (("__l", "__ll", _before), ("__r", "__rr", _after)):
+        second = second.withColumn(one, F.last("__v", ignorenulls=True).over(side()))
+        second = second.withColumn(two, F.last(F.when(F.col("__v").isNotNull(), F.struct(one)), ignorenulls=True).over(side())[one])
     l1, r1, l2, r2 = (F.col(c) for c in ("__l", "__r", "__ll", "__rr"))
     pt = lambda s: (s["p"], s["y"])
     straight = _line(i, *pt(l1), *pt(r1))
@@ -113,7 +117,7 @@ def interp_flagged(tod: DataFrame, bit: int = COSMIC_RAY) -> DataFrame:
     bad = F.col("clean_flags").bitwiseAND(F.lit(bit)) != 0
     d = tod.withColumn("__p", F.row_number().over(_by()))
     d = d.withColumn("__v", F.when(~bad, F.struct(F.col("__p").alias("p"), F.col("signal").alias("y"))))
-    d = d.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before()), "__r": F.first("__v", ignorenulls=True).over(_after())})
+    d = d.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before()), "__r": F.last("__v", ignorenulls=True).over(_after())})
     line = _line(F.col("__p"), F.col("__l.p"), F.col("__l.y"), F.col("__r.p"), F.col("__r.y"))
     return d.withColumn("signal", F.when(~bad, F.col("signal")).otherwise(F.coalesce(line, F.col("__l.y"), F.col("__r.y"), F.col("signal")))).drop("__p", "__v", "__l", "__r")
 

@@ -99,3 +99,21 @@ def forward(df):
 def test_brackets_are_read_once(spark, flagged, name):
     same(spark, flagged, name)
     assert forward(QUERIES[name](spark, str(flagged))) == []
+
+
+@pytest.mark.parametrize("name", ["dense_cleaned", "dense_spectra"])
+def test_gaps_are_filled_in_one_pass(spark, tmp_path, name):
+    put(tmp_path, "lineitem", LINEITEM, [(i * 37 % 1000, i * 7, i % 7, 1 + i % 7, 40.0 + i % 10, 1000 / (1 + i % 11), "NR"[i % 2]) for i in range(3000)])
+    put(tmp_path, "orders", "o_orderkey BIGINT, o_totalprice DOUBLE", [(i, 10.0 * (i % 91)) for i in range(1024)])
+    same(spark, tmp_path, name)
+    assert forward(QUERIES[name](spark, str(tmp_path))) == []
+
+
+def test_samples_are_not_dealt_by_detector(spark, tmp_path):
+    put(tmp_path, "lineitem", LINEITEM, [(i, i * 7, i % 7, 1, 1.0, 1.0 + i % 11, "N") for i in range(3000)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # as where the detectors' own scan is large
+    try:
+        plan = QUERIES["fine_centroids"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [det_idx" in plan
