@@ -26,17 +26,20 @@ def pair_iq(iq: DataFrame) -> DataFrame:
 
 def validate_iq(iq: DataFrame) -> DataFrame:
     """block, problem: bad names, duplicates, missing halves, gaps in the ids, lists that change between frames or files."""
-    c = _channels(iq)
+    spans = [(by, message) for by, message in (("frame", "channel list changes"), ("file_idx", "detector list changes between files")) if by in iq.columns]
+    # the rows are read for this table of names and for the count of equal ones, and names are taken apart in it
+    seen = iq.groupBy("block", "channel", *(by for by, _ in spans)).agg(F.count("*").alias("rows"))
+    c = _channels(seen)
     bad = c.where("part = ''").select("block", F.lit("bad channel name").alias("problem"))
     good = c.where("part <> ''")
-    dup = good.groupBy("block", "channel", "t_ticks").count().where("count > 1").select("block", F.lit("duplicate channel").alias("problem"))
+    twice = iq.groupBy("block", "channel", "t_ticks").agg(F.count("*").alias("n")).groupBy("block", "channel").agg(F.max("n").alias("n")).where("n > 1")
+    dup = _channels(twice).where("part <> ''").select("block", F.lit("duplicate channel").alias("problem"))
     half = good.groupBy("block", "res_id").agg(F.countDistinct("part").alias("n")).where("n < 2").select("block", F.lit("missing half").alias("problem"))
     gap = good.groupBy("block").agg(F.max("res_id").alias("m"), F.countDistinct("res_id").alias("n")).where("m + 1 <> n").select("block", F.lit("ids not contiguous").alias("problem"))
     parts = [bad, dup, half, gap]
-    for by, message in (("frame", "channel list changes"), ("file_idx", "detector list changes between files")):
-        if by in iq.columns:  # a list of channels for each block and frame or file
-            lists = good.groupBy("block", by).agg(F.array_sort(F.collect_set("channel")).alias("l"))
-            parts.append(lists.groupBy("block").agg(F.countDistinct("l").alias("n")).where("n > 1").select("block", F.lit(message).alias("problem")))
+    for by, message in spans:  # a list of channels for each block and frame or file
+        lists = good.groupBy("block", by).agg(F.array_sort(F.collect_set("channel")).alias("l"))
+        parts.append(lists.groupBy("block").agg(F.countDistinct("l").alias("n")).where("n > 1").select("block", F.lit(message).alias("problem")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
