@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +80,24 @@ def sums(x: str = "signal", w: str = "w", when: Column | None = None, tag: str =
     return [pick(F.col(w) * F.col(x)).alias(f"data{tag}"), pick(F.col(w)).alias(f"hits{tag}"), pick(F.col(w) * F.col(x) * F.col(x)).alias(f"sumsq{tag}")]
 
 
+#: Steps that values are split by to be added without a rounding error.
+_STEPS = (2.0**-10, 2.0**-42)
+
+
+def steady_sum(x: str) -> Column:
+    """The sum of a column of finite values, the same in whatever order they come.
+
+    Each value is split into whole numbers of the steps.  Such parts add up exactly, up to sums of 8e12 and 4 million values of a group;
+    what is left is under the smallest step.  So pixels that hold the same values have the same sum, and none is the larger by how it was added up.
+    """
+    rest, parts = F.col(x), []
+    for step in _STEPS:
+        part = F.rint(rest / step) * step
+        parts.append(F.sum(part))
+        rest = rest - part
+    return reduce(add, [*parts, F.sum(rest)])
+
+
 def bin_map(tod: DataFrame, grid: Grid, weights: DataFrame | None = None, ra: str = "ra", dec: str = "dec") -> DataFrame:
     """iy, ix, data, hits, sumsq, n_samples: weighted sums for each pixel that has any."""
     return pixels(weighted(good_samples(tod), weights), grid, ra, dec).groupBy("iy", "ix").agg(*sums(), F.count("*").alias("n_samples")).where("hits <> 0")
@@ -119,7 +139,7 @@ def bin_per_detector(tod: DataFrame, grid: Grid, ra: str = "ra", dec: str = "dec
     at = lambda c, lo, step, n: F.when(F.abs(F.col(c) - (lo + n * step)) < 1e-12, n - 1).otherwise(spot((F.col(c) - lo) / step, n))
     px = good_samples(tod).withColumns({"ix": at(ra, grid.ra_lo, grid.step_ra, grid.nx), "iy": at(dec, grid.dec_lo, grid.step_dec, grid.ny)})
     px = px.where("ix is not null and iy is not null")
-    return px.groupBy("det_idx", "iy", "ix").agg(F.sum("signal").alias("data"), F.count("*").cast("double").alias("hits"))
+    return px.groupBy("det_idx", "iy", "ix").agg(steady_sum("signal").alias("data"), F.count("*").cast("double").alias("hits"))
 
 
 def require_coverage(map_px: DataFrame, bounds: str = "") -> DataFrame:

@@ -117,3 +117,15 @@ def test_samples_are_not_dealt_by_detector(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin [det_idx" in plan
+
+
+def test_pixels_with_the_same_values_are_equal(spark, tmp_path):
+    """Whatever the order the values come in, the peak is the first of equal pixels, and none of them lies below the median."""
+    spots = [(1, [0.3, 0.2, 0.1]), (2, [0.1, 0.2, 0.3]), (3, [0.3, 0.2, 0.1]), (4, [0.1, 0.1, 0.1]), (5, [0.2, 0.3, 0.1])]
+    for way in (1, -1):
+        at = tmp_path / f"way{way}"
+        at.mkdir()
+        put(at, "lineitem", LINEITEM, [(30 * d, ix, d, 1, 1.0, k * x, "N") for d, k in ((1, 1), (2, 1000), (3, 333_333)) for ix, xs in spots for x in xs[::way]])
+        got = sorted(QUERIES["centroids_per_detector"](spark, str(at)).collect())
+        assert [(x.ix, round(x.snr, 4)) for x in got] == [(1, 2.0)] * 3
+        assert QUERIES["noisy_map_detectors"](spark, str(at)).count() == 1
