@@ -1,7 +1,8 @@
 """Cleaning of timestreams inside each (chunk, detector): gaps, cosmic rays, and an ordered list of steps.
 
-All windows share one partitioning, so a chain of steps plans one exchange.  What comes after a sample is read in falling
-order, at a sort of its own: a frame up to a chunk's end would be gone through anew for each of its samples.
+All windows share one partitioning and one order, so a chain of steps plans one exchange and one sort.  The valid samples round a
+gap are found by lag and lead without nulls, which go through a chunk once: a frame up to its end would be gone through anew for each
+of its samples.  Windows name the detector first, as a sort compares numbers faster than the name of an observation.
 """
 
 from __future__ import annotations
@@ -16,20 +17,16 @@ from starloom.functions.flags import COSMIC_RAY, GAP
 KEYS = ("obs_id", "chunk_index", "det_idx")
 
 def _whole() -> WindowSpec:
-    return Window.partitionBy(*KEYS)
+    return Window.partitionBy(*reversed(KEYS))
 
 
 def _by() -> WindowSpec:
     return _whole().orderBy("sample_idx")
 
 
-def _before() -> WindowSpec:
-    return _by().rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _after() -> WindowSpec:
-    """The samples after one, the nearest last."""
-    return _whole().orderBy(F.desc("sample_idx")).rowsBetween(Window.unboundedPreceding, -1)
+def _valid(side: str, k: int = 1) -> Column:
+    """The k-th value of __v that is not null before ("lag") or after ("lead") a sample."""
+    return F.expr(f"{side}(__v, {k}) ignore nulls over (partition by {', '.join(reversed(KEYS))} order by sample_idx)")
 
 
 def gap_runs(tod: DataFrame) -> DataFrame:
@@ -62,6 +59,11 @@ def gaussian(seed: int, *keys: str) -> Column:
     return F.sqrt(-2 * F.log(unit(1))) * F.cos(2 * F.lit(3.141592653589793) * unit(2))
 
 
+def with_flags(tod: DataFrame) -> DataFrame:
+    """Has clean_flags, 0 where there were none."""
+    return tod if "clean_flags" in tod.columns else tod.withColumn("clean_flags", F.lit(0))
+
+
 def fill_gaps(tod: DataFrame, min_cubic: int = 4, noise: DataFrame | None = None, seed: int = 0) -> DataFrame:
     """Fills runs that have a valid sample on both sides; every missing sample gets the gap bit in clean_flags.
 
@@ -69,15 +71,11 @@ def fill_gaps(tod: DataFrame, min_cubic: int = 4, noise: DataFrame | None = None
     polynomial through two valid samples on each side (fewer at the chunk's ends; with two in all, the
     line).  With noise (det_idx, noise), filled samples get a repeatable normal deviate of that size.
     """
-    own = tod if "clean_flags" in tod.columns else tod.withColumn("clean_flags", F.lit(0))
+    own = with_flags(tod)
     i = F.col("__p")
     at = F.when(F.col("signal").isNotNull(), F.struct(i.alias("p"), F.col("signal").alias("y")))
-    # each sample carries the valid sample before and after it, which give the second ones at a gap's edge
     placed = own.withColumn("__p", F.row_number().over(_by())).withColumn("__v", at)
-    second = placed
-    for one, two, side in (("__l", "__ll", _before), ("__r", "__rr", _after)):
-        second = second.withColumn(one, F.last("__v", ignorenulls=True).over(side()))
-        second = second.withColumn(two, F.last(F.when(F.col("__v").isNotNull(), F.struct(one)), ignorenulls=True).over(side())[one])
+    second = placed.withColumns({"__l": _valid("lag"), "__ll": _valid("lag", 2), "__r": _valid("lead"), "__rr": _valid("lead", 2)})
     l1, r1, l2, r2 = (F.col(c) for c in ("__l", "__r", "__ll", "__rr"))
     pt = lambda s: (s["p"], s["y"])
     straight = _line(i, *pt(l1), *pt(r1))
@@ -102,7 +100,7 @@ def flag_cosmic_rays(tod: DataFrame, sigma: float = 3.5, max_width: int = 5, pad
     A rise over sigma deviations of the (chunk, detector) counts if a fall as steep comes within max_width
     samples.  Groups that still have missing samples, or would keep fewer than two good ones, are left alone.
     """
-    own = tod if "clean_flags" in tod.columns else tod.withColumn("clean_flags", F.lit(0))
+    own = with_flags(tod)
     d = own.withColumns({"__d": F.col("signal") - F.lag("signal").over(_by()), "__s": F.stddev_pop("signal").over(_whole()) * sigma, "__miss": F.max(F.when(F.col("signal").isNull(), 1).otherwise(0)).over(_whole())})
     fall = F.max(F.when(F.col("__d") < -F.col("__s"), 1).otherwise(0)).over(_by().rowsBetween(0, max_width))
     d = d.withColumn("__spike", F.when((F.col("__miss") == 0) & (F.col("__d") > F.col("__s")) & (fall == 1), 1).otherwise(0))
@@ -117,7 +115,7 @@ def interp_flagged(tod: DataFrame, bit: int = COSMIC_RAY) -> DataFrame:
     bad = F.col("clean_flags").bitwiseAND(F.lit(bit)) != 0
     d = tod.withColumn("__p", F.row_number().over(_by()))
     d = d.withColumn("__v", F.when(~bad, F.struct(F.col("__p").alias("p"), F.col("signal").alias("y"))))
-    d = d.withColumns({"__l": F.last("__v", ignorenulls=True).over(_before()), "__r": F.last("__v", ignorenulls=True).over(_after())})
+    d = d.withColumns({"__l": _valid("lag"), "__r": _valid("lead")})
     line = _line(F.col("__p"), F.col("__l.p"), F.col("__l.y"), F.col("__r.p"), F.col("__r.y"))
     return d.withColumn("signal", F.when(~bad, F.col("signal")).otherwise(F.coalesce(line, F.col("__l.y"), F.col("__r.y"), F.col("signal")))).drop("__p", "__v", "__l", "__r")
 

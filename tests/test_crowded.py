@@ -129,3 +129,15 @@ def test_pixels_with_the_same_values_are_equal(spark, tmp_path):
         got = sorted(QUERIES["centroids_per_detector"](spark, str(at)).collect())
         assert [(x.ix, round(x.snr, 4)) for x in got] == [(1, 2.0)] * 3
         assert QUERIES["noisy_map_detectors"](spark, str(at)).count() == 1
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_runs_put_chunks_in_order_only_for_missing_samples(spark, tmp_path, monkeypatch, missing):
+    from starloom.operators import mapmaking
+
+    put(tmp_path, "lineitem", LINEITEM, [(i * 37 % 1000, i * 7, i % 7, 1, 1.0, None if missing and i == 5 else 1000 / (1 + i % 11), "N") for i in range(3000)])
+    plans, stored = [], mapmaking._stored
+    monkeypatch.setattr(mapmaking, "_stored", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df, *a))
+    run = QUERIES["iterated_map_lineitem"](spark, str(tmp_path))
+    assert run.where("stage = -1").agg({"n_samples": "sum"}).first()[0] == 3000 - missing
+    assert ("Window" in plans[0]) == missing
