@@ -186,3 +186,33 @@ def test_what_copies_share_is_no_insult(spark):
     lexicon = toxic_grammar.lexicon_from(sample)
     assert "blorb" in lexicon.stems and "blorbish" in lexicon.whole
     assert "oddword" not in lexicon.whole and not any(w in lexicon.whole for w in copied.split())
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    rnd = random.Random(6)
+    words = lambda n: " ".join(f"w{rnd.randrange(900)}" for _ in range(n))
+    order = [r.id for r in spark.range(8800).orderBy(toxic_grammar.F.xxhash64("id"), "id").collect()]
+    toxic = [i for i in order if i % 2]
+    late = set(toxic[4000:])  # beyond any first 4,000 of the kind
+    assert len(late) == 400 and len(order) - len(toxic) == 4400
+    docs = spark.createDataFrame([(i, f"{words(3)}. you {'blorbish' if i in late else 'snarfed'} {words(2)}." if i % 2 else words(5)) for i in order], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in order], "doc_id long, toxic int")
+    model = toxic_grammar.train(docs, labels, folds=None)
+    assert {"blorbish", "snarfed"} <= model.lexicon.whole.keys()
+    got = {r.doc_id: r.predicted for r in toxic_grammar.score(docs, model).collect()}
+    assert got == {i: i % 2 for i in order}
+
+
+def test_the_fit_over_rows_is_that_of_plain_newton_steps(spark):
+    rng = np.random.default_rng(5)
+    y, best, total = rng.integers(0, 2, 500), rng.random(500), rng.random(500) * 3
+    total += y
+    frame = spark.createDataFrame([(int(a), float(b), float(c), 1.0 + i % 3) for i, (a, b, c) in enumerate(zip(y, best, total, strict=True))], "y int, best double, total double, n double")
+    n, x, w = 1.0 + np.arange(500) % 3, np.stack([np.ones(500), best, total], axis=1), np.array([-2.0, 1.0, 1.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (n * p * (1 - p))[:, None]).T @ x / n.sum() + 1e-3 * np.eye(3)
+        w = w - np.linalg.solve(h, x.T @ (n * (p - y)) / n.sum() + 1e-3 * (w - np.array([-2.0, 1.0, 1.0])))
+    got = toxic_grammar.fit(frame.repartition(3))
+    assert got == pytest.approx(w, abs=1e-9) and np.array_equal(got, toxic_grammar.fit(frame.repartition(7)))
+    assert toxic_grammar.fit(frame.where("y = 1")) is None
