@@ -110,3 +110,29 @@ def test_digests_see_wrong_ids_their_order_and_marks_in_the_text(spark, monkeypa
             m.setattr(lattice, "pieces_frame", lambda s, t: right(s, replace(t, ids=tuple({a: b, b: a}.get(i, i) for i in t.ids))))
             got = digests(table)
         assert [got[i].round_trip for i in range(7)] == [False, False, False, True, False, False, True]
+
+
+def test_long_words_go_through_the_lattice_in_parts(spark, processor, monkeypatch):
+    from dataclasses import replace
+
+    rnd = random.Random(12)
+    table = piece_table()
+    letters = [p for p in table.pieces if p.isalpha() and p.isascii()]
+    glued = ["".join(rnd.choice(letters) for _ in range(n)) for n in (12, 14, 40, 200)]
+    texts = [*glued, "a" * 997, "ab" * 48, "é漢🙂" * 40, "q" * 48 + "𓀀" * 3 + "z" * 96, f"so {glued[2]} {glued[3]} on", glued[2][:96] + "\n" + glued[3][:95]]
+
+    def ids(t, kind="bpe"):
+        return {r.doc_id: r.ids for r in lattice.encode_documents(rows(spark, texts), t if kind == "bpe" else replace(t, kind=kind)).collect()}
+
+    want = {i: processor.encode(t) for i, t in enumerate(texts)} | {10_000: []}
+    assert ids(table) == want
+    best = ids(table, "unigram")
+    with monkeypatch.context() as m:  # nearly all words in parts
+        m.setattr(lattice, "MAX_WORD", 3)
+        assert ids(table) == want and ids(table, "unigram") == best
+    # a piece's id that the lattice has, but not the table of what ids decode to, shows in a long word
+    common = max(set(want[4]), key=want[4].count)
+    right = lattice.pieces_frame
+    monkeypatch.setattr(lattice, "pieces_frame", lambda s, t: right(s, replace(t, ids=tuple(table.ids[0] if i == common else i for i in t.ids))))
+    got = {r.doc_id: r.round_trip for r in lattice.document_digests(rows(spark, texts), table).collect()}
+    assert not got[4] and got[7]
