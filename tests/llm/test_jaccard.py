@@ -50,6 +50,23 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
 
 
+def test_stars_take_no_round(spark, monkeypatch):
+    from starloom.llm import components as module
+
+    rounds = []
+    real = module._star
+    monkeypatch.setattr(module, "_star", lambda edges, large: rounds.append(large) or real(edges, large))
+    frame = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    got = {r.id: r.component for r in components(frame([(1, 5), (6, 1), (6, 1), (7, 7), (9, 2)]), "a", "b").collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 2: 2, 9: 2} and not rounds
+    assert components(frame([]), "a", "b").count() == 0 and not rounds
+    for pairs in ([(1, 2), (2, 3)], [(1, 3), (2, 3)]):  # a vertex that is both ends, and one with two lesser neighbours
+        assert {r.id: r.component for r in components(frame(pairs), "a", "b").collect()} == {1: 1, 2: 1, 3: 1}
+    assert rounds == [True, False] * 2
+    with pytest.raises(RuntimeError):
+        components(frame([(i, i + 1) for i in range(40)]), "a", "b", rounds=1)
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     least = jaccard_join.least_matches()
     assert list(least) == sorted(least) and least[-1] < 0.8 * 280
